@@ -51,9 +51,10 @@ def ngrams(tokens: Column, n: int) -> Column:
     """Word n-grams joined by one blank.
 
     ``tokens`` must be a plain column, or the lambda would re-tokenise per n-gram.
+    Words are picked by index, because a slice would copy the whole array each time.
     """
-    starts = F.sequence(F.lit(1), F.size(tokens) - F.lit(n - 1))
-    grams = F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+    starts = F.sequence(F.lit(0), F.size(tokens) - F.lit(n))
+    grams = F.transform(starts, lambda i: F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)]))
     return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 

@@ -33,7 +33,7 @@ def shock(s: DataFrame, share: float = 0.5) -> DataFrame:
     c = changes(s)
     out = c.groupBy("metric").agg(
         F.max(-F.col("change")).alias("largest_drop"),
-        F.min_by("period", F.struct("change", "period")).cast("string").alias("drop_period"),
+        F.min_by("period", F.when(F.col("change").isNotNull(), F.struct("change", "period"))).cast("string").alias("drop_period"),
         F.regr_slope("mean", "idx").alias("slope"),
         (F.max("mean") - F.min("mean")).alias("range"))
     sudden = F.col("largest_drop") > share * F.col("range")
@@ -61,7 +61,9 @@ def version_at(ts: Column, timeline) -> Column:
 
 
 def as_of_versions(facts: DataFrame, versions: DataFrame, ts: str, start: str, name: str) -> DataFrame:
-    """As-of join to a version table of any size, by day buckets.
+    """As-of join to a version table, by day buckets.
+
+    Versions are a dimension: only their start times meet in one ordering.
 
     Each version's validity range is cut into days, so facts meet versions in an
     equi-join on the day; the time inside the day decides the rest.

@@ -111,9 +111,10 @@ def host_score(cpu_dev: Column, mem_dev: Column) -> Column:
 
 def golden_diff(left: DataFrame, right: DataFrame, key, value: str, rel=1e-9, abs_=1e-12) -> DataFrame:
     """Keyed comparison of two result tables: strict and within tolerance."""
-    a = left.select(key, F.col(value).alias("a"))
-    b = right.select(key, F.col(value).alias("b"))
-    both = a.join(b, key, "full_outer")
+    keys = [key] if isinstance(key, str) else list(key)
+    a = left.select(*keys, F.col(value).alias("a"))
+    b = right.select(*keys, F.col(value).alias("b"))
+    both = a.join(b, keys, "full_outer")
     bound = F.greatest(rel * F.greatest(F.abs("a"), F.abs("b")), F.lit(abs_))
     return both.withColumns({
         "strict": F.coalesce(F.col("a") == F.col("b"), F.lit(False)),

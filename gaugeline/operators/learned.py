@@ -1,10 +1,17 @@
 """Fitted models: linear text classifier, latent semantic space, 2-D map."""
 
+from concurrent.futures import ThreadPoolExecutor
+
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import PCA, CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from gaugeline.functions.text import word_tokens
 
@@ -48,15 +55,18 @@ class TextClassifier:
         rows = self.features(train).select("features", label).persist()
         counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
         n = sum(counts.values())
-        self.models = {}
-        for c in self.classes:
+
+        def one(c):
             pos = counts.get(c, 0)
             target = (F.col(label) == c).cast("double")
             weight = F.when(F.col(label) == c, n / (2.0 * max(pos, 1))).otherwise(n / (2.0 * max(n - pos, 1)))
             problem = rows.select("features", target.alias("label"), weight.alias("weight"))
-            self.models[c] = LogisticRegression(
-                maxIter=self.max_iter, regParam=1.0 / (self.C * n), standardization=False,
+            return LogisticRegression(
+                maxIter=self.max_iter, tol=1e-4, regParam=1.0 / (self.C * n), standardization=False,
                 weightCol="weight").fit(problem)
+
+        with ThreadPoolExecutor(len(self.classes)) as pool:  # the fits are independent Spark jobs
+            self.models = dict(zip(self.classes, pool.map(one, self.classes)))
         rows.unpersist()
         return self
 
@@ -76,21 +86,18 @@ class TextClassifier:
 def latent_space(vectors: DataFrame, key: str, features: str, k: int) -> DataFrame:
     """Rows of U*S of a truncated SVD, scaled to length 1, as arrays.
 
-    The right singular vectors (vocabulary x k, bounded by the vocabulary cap)
-    come from a distributed decomposition; documents are projected onto them in
-    Arrow batches, which gives U*S without moving any document.
+    One pass adds up the Gram matrix of the terms (vocabulary x vocabulary, so
+    bounded by the vocabulary cap); its leading eigenvectors are the right
+    singular vectors.  Documents are projected onto them in Arrow batches, which
+    gives U*S without moving any document.
     """
-    from pyspark.mllib.linalg import Vectors as OldVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    import numpy as np
-
-    rows = vectors.select(features).rdd.map(lambda r: OldVectors.fromML(r[0]))
-    matrix = RowMatrix(rows)
-    k = min(k, matrix.numCols() - 1)
-    basis = matrix.computeSVD(k, computeU=False).V.toArray()
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.select(features), features))
+    gram = matrix.computeGramianMatrix().toArray()
+    k = min(k, len(gram) - 1)
+    _, basis = np.linalg.eigh(gram)  # ascending order
+    basis = basis[:, ::-1][:, :k].copy()
 
     def project(batches):
-        import pandas as pd
         for pdf in batches:
             out = []
             for ids, values in zip(pdf["ids"], pdf["vals"]):
@@ -99,7 +106,6 @@ def latent_space(vectors: DataFrame, key: str, features: str, k: int) -> DataFra
                 out.append(p / size if size > 0 else p)
             yield pd.DataFrame({key: pdf[key], "embedding": out})
 
-    from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
     parts = sparse_parts(vectors, key, features)
     schema = StructType([vectors.schema[key], StructField("embedding", ArrayType(DoubleType()))])
     return parts.mapInPandas(project, schema)
