@@ -19,14 +19,15 @@ def f_measure(precision: Column, recall: Column) -> Column:
 
 
 def nearest_half(raw: Column) -> Column:
-    """Nearest half point, ties to even, kept in [1, 5]."""
+    """Nearest half point, ties to even, kept in [1, 5]; NULL stays NULL."""
     half = F.bround(raw * 2, 0) / 2
-    return F.least(F.lit(5.0), F.greatest(F.lit(1.0), half))
+    return F.when(raw.isNotNull(), F.least(F.lit(5.0), F.greatest(F.lit(1.0), half)))
 
 
 def half_step_score(value: Column) -> Column:
     """Map a non-negative size to a half-step score in [1, 5], halves up."""
-    return F.least(F.lit(5.0), F.lit(1.0) + F.floor(value / 50.0 * 2 + 0.5) / 2.0)
+    score = F.least(F.lit(5.0), F.lit(1.0) + F.floor(value / 50.0 * 2 + 0.5) / 2.0)
+    return F.when(value.isNotNull(), score)
 
 
 def kappa(p_o: Column, p_a: Column, p_b: Column) -> Column:
