@@ -33,6 +33,17 @@ def lookup(mapping: dict, key: Column) -> Column:
     return F.create_map(*items)[key]
 
 
+def pinned(df: DataFrame, columns: dict) -> DataFrame:
+    """Add costly columns so that each is computed once per row.
+
+    They come out of a one-row generator.  A filter on such a column then stays
+    above it, whereas Catalyst would push a filter on a plain projection down to
+    the scan and evaluate the expression a second time there.
+    """
+    item = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select("*", F.inline(F.array(item)))
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, so float summation order cannot show."""
     return df.select(

@@ -6,6 +6,7 @@ NULL for a rejected row, and ``split_valid`` gives both frames.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeline.functions.frames import pinned
 from gaugeline.functions.text import strip
 
 LABEL_LIST = "array<string>"
@@ -61,21 +62,22 @@ def align_batch(df: DataFrame, keys, items: str, raw: str, valid) -> DataFrame:
     return rows.select(*keys, "item_id", allowed.alias("y_pred"))
 
 
-def parse_scorecard(raw: Column, dims=("accuracy", "completeness", "fluency")) -> Column:
+def parse_scorecards(df: DataFrame, raw: str, out: str, dims=("accuracy", "completeness", "fluency")) -> DataFrame:
     """Scorecard struct from JSON inside prose; NULL unless all dimensions are in [1, 5].
 
-    Numbers written as strings do not count as numbers.
+    The schema asks for numbers, so a number written as text does not count.
+    The reply is parsed once per row, into a column of its own.
     """
-    body = F.regexp_extract(raw, r"(?s)\{.*\}", 0)
-    parsed = F.from_json(body, F.lit("map<string,string>"))
-    ok, fields = body != "", []
+    schema = ", ".join(f"{d} double" for d in dims) + ", rationale string"
+    body = F.regexp_extract(F.col(raw), r"(?s)\{.*\}", 0)
+    rows = pinned(df, {"__card": F.from_json(body, F.lit(schema))})
+    ok = F.lit(True)
     for d in dims:
-        quoted = F.regexp_count(body, F.lit(rf'"{d}"\s*:\s*"')) > 0
-        value = F.try_element_at(parsed, F.lit(d)).try_cast("double")
-        ok = ok & ~quoted & F.coalesce(value.between(1.0, 5.0), F.lit(False))
-        fields.append(value.alias(d))
-    rationale = F.substring(F.coalesce(F.try_element_at(parsed, F.lit("rationale")), F.lit("")), 1, 300)
-    return F.when(ok, F.struct(*fields, rationale.alias("rationale")))
+        ok = ok & F.coalesce(F.col(f"__card.{d}").between(1.0, 5.0), F.lit(False))
+    fields = [F.col(f"__card.{d}").alias(d) for d in dims]
+    rationale = F.substring(F.coalesce(F.col("__card.rationale"), F.lit("")), 1, 300)
+    card = F.when(ok, F.struct(*fields, rationale.alias("rationale")))
+    return rows.withColumn(out, card).drop("__card", raw)
 
 
 def reject_rate(df: DataFrame, by, value: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.functions.frames import with_range, with_structs
+from gaugeline.functions.frames import pinned, with_range, with_structs
 from gaugeline.functions.hashing import poisson_one, uniform
 from gaugeline.operators.sampling import draw
 
@@ -75,15 +75,23 @@ def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int = 1000)
         F.sum(value).alias("s"), F.count("*").alias("c"))
 
 
-def replicate_means(sums: DataFrame, by=(), replicates: int = 2000, salt="boot") -> DataFrame:
-    """Poisson bootstrap: every unit gets a Poisson(1) weight per replicate.
+def replicate_weights(spark, units: int, replicates: int, salt) -> DataFrame:
+    """Poisson(1) weight of every unit in every replicate; zero weights are left out."""
+    ids = spark.range(units * replicates)
+    pairs = ids.select((F.col("id") % units).cast("int").alias("unit"),
+                       F.floor(F.col("id") / units).cast("int").alias("b"))
+    key = F.concat(F.col("unit").cast("string"), F.lit(":"), F.col("b").cast("string"))
+    return pinned(pairs, {"w": poisson_one(uniform(key, salt))}).where("w > 0")
+
+
+def replicate_means(sums: DataFrame, by=(), units: int = 1000, replicates: int = 2000, salt="boot") -> DataFrame:
+    """Poisson bootstrap of the mean: units x replicates weights, drawn once.
 
     A unit has the same weight in all groups, so differences between groups
-    within one replicate are paired.  Zero weights are dropped before the sums.
+    within one replicate are paired.
     """
-    rows = with_range(sums, "b", replicates)
-    key = F.concat(F.col("unit").cast("string"), F.lit(":"), F.col("b").cast("string"))
-    rows = rows.withColumn("w", poisson_one(uniform(key, salt))).where("w > 0")
+    weights = replicate_weights(sums.sparkSession, units, replicates, salt)
+    rows = weights.join(sums, "unit")
     return rows.groupBy(*by, "b").agg(
         (F.sum(F.col("w") * F.col("s")) / F.sum(F.col("w") * F.col("c"))).alias("m"))
 
@@ -107,7 +115,7 @@ def percentile_ranks(low=0.025, high=0.975) -> dict:
 
 def bootstrap_interval(df, key, value: Column, by=(), units=1000, replicates=2000, salt="boot") -> DataFrame:
     sums = unit_sums(df, key, value, by, units)
-    reps = replicate_means(sums, by, replicates, salt)
+    reps = replicate_means(sums, by, units, replicates, salt)
     picks = rank_pick(reps, by, "m", percentile_ranks())
     point = sums.groupBy(*by).agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("mean"))
     return point.join(picks, list(by))
@@ -117,7 +125,7 @@ def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, re
     """Interval of mean(second arm) - mean(first arm), replicate by replicate."""
     a, b = arms
     sums = unit_sums(df, key, value, [*by, arm], units)
-    reps = replicate_means(sums, [*by, arm], replicates, salt)
+    reps = replicate_means(sums, [*by, arm], units, replicates, salt)
 
     def side(name, m):
         return F.max(F.when(F.col(arm) == name, F.col(m)))

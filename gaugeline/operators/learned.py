@@ -5,7 +5,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA, CountVectorizer, ElementwiseProduct, IDF, NGram, Normalizer
+from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
@@ -13,28 +13,28 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from gaugeline.functions.text import word_tokens
+from gaugeline.functions.text import ngrams_upto, word_tokens
+from gaugeline.operators.textvec import document_frequency, term_counts, vocabulary, with_idf
 
 
-def tfidf_vectors(train: DataFrame, text: str, max_features=20000, n_max=2, min_df=2):
-    """Fit vocabulary and smoothed idf + 1; returns a function frame -> features."""
-    def grams(df):
-        df = df.withColumn("__t1", word_tokens(F.col(text)))
-        cols = ["__t1"]
-        for n in range(2, n_max + 1):
-            df = NGram(n=n, inputCol="__t1", outputCol=f"__t{n}").transform(df)
-            cols.append(f"__t{n}")
-        return df.withColumn("__terms", F.concat(*cols)).drop(*cols)
+def tfidf_vectors(train: DataFrame, key: str, text: str, max_features=20000, n_max=2, min_df=2):
+    """Fit vocabulary and smoothed idf + 1; returns a function frame -> features.
 
-    tokens = grams(train)
-    cv = CountVectorizer(inputCol="__terms", outputCol="__tf", vocabSize=max_features, minDF=min_df).fit(tokens)
-    idf = IDF(inputCol="__tf", outputCol="__x").fit(cv.transform(tokens))
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="__tf", outputCol="__w")
+    The vocabulary is the ``max_features`` terms of highest total count; that
+    capped list is all that reaches the driver.
+    """
+    n = train.agg(F.count("*")).scalar()
+    stats = document_frequency(term_counts(train, key, text, word_tokens, n_max))
+    vocab = with_idf(vocabulary(stats, max_features, min_df, order="total"), n)
+    terms = vocab.select("term", "idf").collect()
+    cv = CountVectorizerModel.from_vocabulary([t["term"] for t in terms], "__terms", "__tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([t["idf"] for t in terms]), inputCol="__tf", outputCol="__w")
     unit = Normalizer(inputCol="__w", outputCol="features", p=2.0)
 
     def features(df):
-        return unit.transform(scale.transform(cv.transform(grams(df)))).drop("__terms", "__tf", "__w")
+        words = df.withColumn("__t", word_tokens(F.col(text)))
+        grams = words.withColumn("__terms", ngrams_upto(F.col("__t"), n_max) if n_max > 1 else F.col("__t"))
+        return unit.transform(scale.transform(cv.transform(grams))).drop("__t", "__terms", "__tf", "__w")
 
     return features
 
@@ -50,8 +50,8 @@ class TextClassifier:
         self.classes, self.C, self.max_iter = list(classes), C, max_iter
         self.spec = dict(max_features=max_features, n_max=n_max, min_df=min_df)
 
-    def fit(self, train: DataFrame, text="text", label="y_true"):
-        self.features = tfidf_vectors(train, text, **self.spec)
+    def fit(self, train: DataFrame, key: str, text="text", label="y_true"):
+        self.features = tfidf_vectors(train, key, text, **self.spec)
         rows = self.features(train).select("features", label).persist()
         counts = {r[label]: r["count"] for r in rows.groupBy(label).count().collect()}
         n = sum(counts.values())

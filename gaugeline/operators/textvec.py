@@ -7,13 +7,18 @@ partitioning.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.functions.text import masked_tokens
+from gaugeline.functions.text import masked_tokens, ngrams_upto
 
 
-def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens) -> DataFrame:
-    """(key, term, tf), partitioned by the document key."""
+def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_max: int = 1) -> DataFrame:
+    """(key, term, tf), partitioned by the document key; terms are 1..n_max-grams."""
     placed = docs.select(key, text).repartition(key)
-    rows = placed.select(key, F.explode(tokens(F.col(text))).alias("term"))
+    if n_max == 1:
+        terms = tokens(F.col(text))
+    else:
+        placed = placed.select(key, tokens(F.col(text)).alias("__t"))
+        terms = ngrams_upto(F.col("__t"), n_max)
+    rows = placed.select(key, F.explode(terms).alias("term"))
     return rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -61,9 +66,9 @@ def log_odds_model(counts: DataFrame, labels: DataFrame, key: str, label: str, c
     Coefficients are smoothed log odds of a term inside against outside the
     class; intercepts are log class shares.
     """
-    n_by = labels.groupBy(label).agg(F.count("*").alias("n_c"))
-    n_all = labels.agg(F.count("*")).scalar()
-    sizes = {c: n_by.where(F.col(label) == c).select("n_c").scalar() for c in classes}
+    size = F.struct(F.count("*").alias("all"), *[F.count_if(F.col(label) == c).alias(c) for c in classes])
+    total = labels.agg(size).scalar()  # one subquery for all class sizes
+    n_all, sizes = total["all"], {c: total[c] for c in classes}
     rows = counts.join(F.broadcast(vocab.select("term")), "term").join(labels, key)
     seen = rows.groupBy("term").agg(
         F.count("*").alias("df"), *[F.count_if(F.col(label) == c).alias(f"df_{c}") for c in classes])

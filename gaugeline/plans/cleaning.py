@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gaugeline.functions import text as tx
-from gaugeline.functions.frames import lookup
+from gaugeline.functions.frames import lookup, pinned
 from gaugeline.functions.hashing import uniform
 from gaugeline.operators import ingest as ing, reporting as rp, sampling as sp
 from gaugeline.operators.judging import parse_reply
@@ -92,7 +92,8 @@ def category_filter(spark, d):
            WHERE words BETWEEN 50 AND 2000""")
 def doc_word_filter(spark, d):
     docs = src.spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id").where("text IS NOT NULL")
-    return docs.select("doc_id", tx.word_count(F.col("text")).alias("words")).where("words BETWEEN 50 AND 2000")
+    counted = pinned(docs, {"words": tx.word_count(F.col("text"))})
+    return counted.where("words BETWEEN 50 AND 2000").select("doc_id", "words")
 
 
 @query("SELECT doc_id, CASE quality WHEN 0 THEN 'NEGATIVE' WHEN 1 THEN 'POSITIVE' END AS label FROM labels")
@@ -178,7 +179,7 @@ def scorecard_ingest(spark, d):
            .when(kind == 2, F.concat(F.lit("{"), two, F.lit("}")))
            .when(kind == 3, F.concat(F.lit('{"accuracy": "4", '), com, F.lit(", "), flu, F.lit("}")))
            .otherwise(F.concat(F.lit('{"accuracy": 9, '), com, F.lit(", "), flu, F.lit("}"))))
-    rows = cards(spark, d).select(kind.alias("kind"), ing.parse_scorecard(raw).alias("card"))
+    rows = ing.parse_scorecards(cards(spark, d).select(kind.alias("kind"), raw.alias("raw")), "raw", "card")
     parts = {c: F.col(f"card.{c}") for c in rp.SCORECARD_WEIGHTS}
     rows = rows.withColumn("overall", rp.overall(parts))
     return rows.groupBy("kind").agg(

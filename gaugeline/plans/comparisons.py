@@ -238,7 +238,7 @@ def scorecard_means(spark, d):
     return rp.means(rows, ["accuracy", "completeness", "fluency", "overall"])
 
 
-SHIP_BOOT = boot_sql("v_ship", "event_id", "ok", "system", 200, 1000, "ship")
+SHIP_BOOT = boot_sql("v_ship", "event_id", "ok", "system", 1000, 2000, "ship")
 
 
 @query(with_views(SCORES, QUALITY_EVAL, """
@@ -261,7 +261,7 @@ def ship_report(spark, d):
     """B against A: gain, its range, a guardrail, every segment and the judge."""
     s = scores(spark, d).withColumns({
         "ok": (F.col("score") >= 1.5).cast("double"), "bad": (F.col("score") <= 1).cast("double")})
-    gain = iv.delta_interval(s, "event_id", F.col("ok"), "system", ("A", "B"), units=200, replicates=1000, salt="ship")
+    gain = iv.delta_interval(s, "event_id", F.col("ok"), "system", ("A", "B"), salt="ship")
 
     def delta(c):
         return F.avg(F.when(F.col("system") == "B", F.col(c))) - F.avg(F.when(F.col("system") == "A", F.col(c)))

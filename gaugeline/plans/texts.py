@@ -186,7 +186,7 @@ def map_2d(spark, d):
 def lsa_embed(spark, d):
     """Latent semantic vectors of the documents, by length and leading value."""
     docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    vectors = ln.tfidf_vectors(docs, "text", max_features=3000, n_max=1)(docs).select("doc_id", "features")
+    vectors = ln.tfidf_vectors(docs, "doc_id", "text", max_features=3000, n_max=1)(docs).select("doc_id", "features")
     emb = ln.latent_space(vectors, "doc_id", "features", 64)
     return emb.select("doc_id", F.size("embedding").alias("k"), F.abs(F.col("embedding")[0]).alias("first"))
 
@@ -196,7 +196,7 @@ def tfidf_logreg(spark, d):
     """Linear text classifier fitted on the train split, scored on the rest."""
     docs = spread(table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y_true")), "doc_id")
     rows = sp.hash_split(docs, "doc_id", 0.7, "split")
-    model = ln.TextClassifier(LANGS).fit(rows.where("split = 'train'"))
+    model = ln.TextClassifier(LANGS).fit(rows.where("split = 'train'"), "doc_id")
     return cl.per_class(cl.confusion(model.predict(rows.where("split = 'test'"))))
 
 

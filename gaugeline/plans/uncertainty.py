@@ -1,5 +1,7 @@
 """Calibration and uncertainty intervals on the given tables."""
 
+from itertools import accumulate
+
 from pyspark.sql import functions as F
 
 from gaugeline.operators import calibration as ca, intervals as iv
@@ -112,7 +114,7 @@ def posterior_curve(spark, d):
 
 
 _W = "CASE " + " ".join(f"WHEN u < {b!r} THEN {k}" for k, b in enumerate(
-    __import__("itertools").accumulate(0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)))) + " ELSE 8 END"
+    accumulate(0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)))) + " ELSE 8 END"
 
 
 def boot_sql(source, key, value, by, units, reps, salt):
@@ -125,16 +127,16 @@ wt AS (SELECT unit, b, {_W} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCHAR ||
 rp AS (SELECT {cols}b, sum(w * s) / sum(w * c)::DOUBLE AS m FROM us JOIN wt USING (unit) WHERE w > 0 GROUP BY ALL)"""
 
 
-@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric", 200, 1000, "boot"), """
+@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric", 1000, 2000, "boot"), """
 rk AS (SELECT metric, m, row_number() OVER (PARTITION BY metric ORDER BY m) - 1 AS r, count(*) OVER (PARTITION BY metric) AS n FROM rp),
 ci AS (SELECT metric, max(m) FILTER (r = floor(25e-3 * n)) AS lo, max(m) FILTER (r = floor(975e-3 * n)) AS hi FROM rk GROUP BY 1)""") + """
 SELECT metric, n, round(mean, 6) AS mean, round(lo, 6) AS lo, round(hi, 6) AS hi FROM
   (SELECT metric, count(*) AS n, avg(score) AS mean FROM v_scores GROUP BY 1) JOIN ci USING (metric)""")
 def bootstrap_ci(spark, d):
-    return iv.bootstrap_interval(scores(spark, d), "event_id", F.col("score"), ["metric"], units=200, replicates=1000)
+    return iv.bootstrap_interval(scores(spark, d), "event_id", F.col("score"), ["metric"])
 
 
-@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric, system", 200, 1000, "delta"), """
+@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric, system", 1000, 2000, "delta"), """
 dl AS (SELECT metric, b, max(m) FILTER (system = 'B') - max(m) FILTER (system = 'A') AS d FROM rp GROUP BY ALL),
 rk AS (SELECT metric, d, row_number() OVER (PARTITION BY metric ORDER BY d) - 1 AS r, count(*) OVER (PARTITION BY metric) AS n FROM dl),
 ci AS (SELECT metric, max(d) FILTER (r = floor(25e-3 * n)) AS lo, max(d) FILTER (r = floor(975e-3 * n)) AS hi FROM rk GROUP BY 1)""") + """
@@ -143,8 +145,7 @@ SELECT metric, round(delta, 6) AS delta, round(lo, 6) AS lo, round(hi, 6) AS hi,
   JOIN ci USING (metric)""")
 def delta_ci(spark, d):
     return iv.delta_interval(
-        scores(spark, d), "event_id", F.col("score"), "system", ("A", "B"), ["metric"], units=200,
-        replicates=1000, salt="delta")
+        scores(spark, d), "event_id", F.col("score"), "system", ("A", "B"), ["metric"], salt="delta")
 
 
 @query(with_views(QUALITY_EVAL, """

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gaugeline.functions.frames import pinned
 from gaugeline.functions.scores import half_step_score
 from gaugeline.functions.text import word_tokens
 from gaugeline.operators.judging import reply_pairs
@@ -32,8 +33,7 @@ def lang_eval_frame(docs: DataFrame) -> DataFrame:
     toks = docs.select("doc_id", F.col("lang").alias("y_true"), "source", word_tokens(F.col("text")).alias("t"))
     hits = toks.withColumn("t", F.filter("t", lambda w: w.isin(known)))
     n = {c: F.col(f"n_{c}") for c in LANGS}
-    for c in LANGS:
-        hits = hits.withColumn(f"n_{c}", F.size(F.filter("t", _member(LANG_WORDS[c]))))
+    hits = pinned(hits, {f"n_{c}": F.size(F.filter("t", _member(LANG_WORDS[c]))) for c in LANGS})
     best, total = F.greatest(*n.values()), sum(n.values(), F.lit(0))
     pred = None
     for c in LANGS:
