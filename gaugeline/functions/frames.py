@@ -20,6 +20,14 @@ def with_structs(df: DataFrame, names, rows) -> DataFrame:
     return out.select(*df.columns, *[F.col(f"{item}.{n}").alias(n) for n in names])
 
 
+def side_by_side(left: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row, as one scalar subquery."""
+    names = one_row.columns
+    packed = one_row.select(F.struct(*names)).scalar()
+    out = left.withColumn("__row", packed)
+    return out.select(*left.columns, *[F.col(f"__row.{n}").alias(n) for n in names])
+
+
 def unpivot(df: DataFrame, keys, columns: dict, name: str, value: str) -> DataFrame:
     """Wide to long; ``columns`` maps the label to a Column. Rows stay in their task."""
     pairs = [F.struct(F.lit(k).alias(name), c.cast("double").alias(value)) for k, c in columns.items()]

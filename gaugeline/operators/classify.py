@@ -7,6 +7,7 @@ slice.  All metrics are then computed on that small frame.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gaugeline.functions.frames import side_by_side
 from gaugeline.functions.scores import f_measure, ratio
 
 NO_ANSWER = "∅"
@@ -78,19 +79,20 @@ def summary(counts: DataFrame, by=(), classes=None) -> DataFrame:
     macro F1 averages all classes.
     """
     table = per_class(counts, by, classes)
-    macro = table.groupBy(*by).agg(
+    macro = [
         F.coalesce(F.avg("precision"), F.lit(0.0)).alias("macro_precision"),
         F.coalesce(F.avg("recall"), F.lit(0.0)).alias("macro_recall"),
         F.coalesce(F.avg("f1"), F.lit(0.0)).alias("macro_f1"),
-    )
-    total = counts.groupBy(*by).agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("correct"),
-    ).withColumn("accuracy", F.col("correct") / F.col("n"))
-    if by:
-        return total.join(macro, list(by))
-    one = F.lit(1).alias("__one")
-    return total.select("*", one).join(macro.select("*", one), "__one").drop("__one")
+    ]
+    if classes is None:
+        # Every truth is a class, so support and tp add up to n and correct.
+        out = table.groupBy(*by).agg(F.sum("support").alias("n"), F.sum("tp").alias("correct"), *macro)
+    else:
+        total = counts.groupBy(*by).agg(F.sum("n").alias("n"), F.sum(
+            F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)).alias("correct"))
+        per = table.groupBy(*by).agg(*macro)
+        out = total.join(per, list(by)) if by else side_by_side(total, per)
+    return out.withColumn("accuracy", F.col("correct") / F.col("n"))
 
 
 def majority_class(df: DataFrame, label="y_true", by=()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.functions.frames import pinned, with_range, with_structs
+from gaugeline.functions.frames import pinned, side_by_side, with_range, with_structs
 from gaugeline.functions.hashing import poisson_one, uniform
 from gaugeline.operators.sampling import draw
 
@@ -134,15 +134,10 @@ def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, re
     picks = rank_pick(deltas, by, "d", percentile_ranks())
     point = sums.groupBy(*by, arm).agg((F.sum("s") / F.sum("c")).alias("mean"))
     point = point.groupBy(*by).agg((side(b, "mean") - side(a, "mean")).alias("delta"))
-    out = point.join(picks, list(by)) if by else _side_by_side(point, picks)
+    out = point.join(picks, list(by)) if by else side_by_side(point, picks)
     return out.withColumn("includes_zero", (F.col("lo") <= 0) & (F.col("hi") >= 0))
 
 
-def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
-    one = F.lit(1).alias("__one")
-    return left.select("*", one).join(right.select("*", one), "__one").drop("__one")
-
-
 def coverage(df, key, correct: str, n: int, draws: int, truth: Column, total: Column, z=1.959963984540054):
     """Share of Wald intervals of small draws that contain the full-pool value."""
     per_draw = draw(df, key, n, range(draws), total).groupBy("seed").agg(

@@ -8,7 +8,7 @@ short (probability below 1e-15) raises an error instead of being returned.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.functions.frames import with_grid
+from gaugeline.functions.frames import side_by_side, with_grid
 from gaugeline.functions.hashing import hash_uniform, key_hash, uniform
 
 
@@ -47,6 +47,24 @@ def draw_poisson(df: DataFrame, key: str, rate: Column, seeds) -> DataFrame:
     return rows.where(uniform(F.col(key), F.col("seed")) < rate)
 
 
+def nth_hash(df: DataFrame, digest: str, n: Column, total: Column) -> Column:
+    """The n-th smallest digest, found without sorting the table.
+
+    A histogram of 4096 cells below the threshold tells which cell holds the
+    n-th digest; only that cell, about n / 4096 rows, is ranked.
+    """
+    top = F.least(F.lit(1.0), _threshold(n.cast("double"), total))
+    u = hash_uniform(F.col(digest))
+    cells = df.where(u < top).select(digest, F.floor(u / top * 4096).alias("__cell"))
+    w = Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0)
+    hist = cells.groupBy("__cell").agg(F.count("*").alias("__c")).withColumn("__cum", F.sum("__c").over(w))
+    hit = hist.where(F.col("__cum") >= n).agg(
+        F.min_by(F.struct("__cell", (n - F.col("__cum") + F.col("__c")).alias("__k")), "__cell")).scalar()
+    inside = cells.where(F.col("__cell") == hit["__cell"])
+    ranked = inside.select(digest, F.row_number().over(Window.orderBy(digest)).alias("__rank"))
+    return ranked.where(F.col("__rank") == hit["__k"]).agg(F.max(digest)).scalar()
+
+
 def holdout(df: DataFrame, key: str, pool: int, salt, keep_for_train: int = 200) -> DataFrame:
     """Fixed held-out pool; at least ``keep_for_train`` rows stay for training.
 
@@ -56,10 +74,7 @@ def holdout(df: DataFrame, key: str, pool: int, salt, keep_for_train: int = 200)
     n = df.agg(F.count("*")).scalar()
     hashed = df.withColumn("__h", key_hash(F.col(key), salt))
     size = F.greatest(F.least(F.lit(pool), n - keep_for_train), F.lit(0))
-    head = hashed.where(hash_uniform(F.col("__h")) < _threshold(F.lit(float(pool)), n))
-    # The head holds a few more than `pool` rows, so one task can rank it.
-    ranked = head.select("__h", F.row_number().over(Window.orderBy("__h")).alias("__rank"))
-    cut = ranked.where(F.col("__rank") <= size).agg(F.max("__h")).scalar()
+    cut = nth_hash(hashed.select("__h"), "__h", size, n)
     role = F.when(F.col("__h") <= cut, "pool").otherwise("train")
     return hashed.withColumn("role", role).drop("__h")
 
@@ -99,35 +114,37 @@ def quota_sample(df: DataFrame, key: str, stratum: str, quotas: dict, salt) -> D
         "__rank", "__have", "__h", "__n", "__quota")
 
 
-def skewed_copies(df: DataFrame, key: str, label: str, majority: Column, n: int, skews, salt,
-                  class_counts: DataFrame) -> DataFrame:
+def skewed_copies(df: DataFrame, key: str, label: str, n: int, skews, salt) -> DataFrame:
     """Weighted draw with replacement for each skew, as copies per row.
 
     Weight 1 for the majority class, max(0.001, 1 - skew) for the others.  A row
     expected n*w/W times is copied floor(n*w/W) times, plus once more with the
-    left-over probability.  Returns the rows drawn with ``skew`` and ``copies``,
-    so no row is physically repeated.
+    left-over probability.  Returns the rows drawn with ``skew``, ``copies`` and
+    the majority class ``top``, so no row is physically repeated.
     """
-    grid = with_grid(df, "skew", [float(s) for s in skews])
+    counts = df.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
+    stats = side_by_side(df, counts.agg(
+        F.min_by("class", F.struct(-F.col("n"), F.col("class"))).alias("top"),
+        F.max("n").alias("__top_n"), F.sum("n").alias("__all")))
+    grid = with_grid(stats, "skew", [float(s) for s in skews])
     light = F.greatest(F.lit(1e-3), 1 - F.col("skew"))
-    weight = F.when(F.col(label) == majority, 1.0).otherwise(light)
-    n_major = class_counts.where(F.col("class") == majority).agg(F.sum("n")).scalar()
-    n_all = class_counts.agg(F.sum("n")).scalar()
-    total = n_major + (n_all - n_major) * light
+    weight = F.when(F.col(label) == F.col("top"), 1.0).otherwise(light)
+    total = F.col("__top_n") + (F.col("__all") - F.col("__top_n")) * light
     want = F.lit(float(n)) * weight / total
     salted = F.concat(F.lit(f"{salt}:"), F.round(F.col("skew") * 100).cast("int").cast("string"))
     extra = (uniform(F.col(key), salted) < want - F.floor(want)).cast("int")
-    return grid.withColumn("copies", F.floor(want) + extra).where("copies > 0")
+    drawn = grid.withColumn("copies", F.floor(want) + extra).where("copies > 0")
+    return drawn.drop("__top_n", "__all")
 
 
-def batches(df: DataFrame, key: str, size: int, buckets: int) -> DataFrame:
+def batches(df: DataFrame, key: str, size: int, rows_per_bucket: int = 10000) -> DataFrame:
     """Number rows into groups of at most ``size`` inside hash buckets.
 
-    Choose ``buckets`` with the table, so that no bucket outgrows a task; the
-    hash spreads any key evenly.
+    The number of buckets follows the row count, so a bucket stays small enough
+    to be sorted by one task at any table size; the hash spreads any key evenly.
     """
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"),
-                    F.lit(buckets))
-    rows = df.withColumn("bucket", bucket.cast("int"))
+    buckets = F.ceil(df.agg(F.count("*")).scalar() / rows_per_bucket)
+    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), buckets)
+    rows = df.withColumn("bucket", bucket)
     rank = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
     return rows.withColumn("batch", F.floor((rank - 1) / size).cast("int"))

@@ -25,7 +25,7 @@ def csv_scan(spark, d):
 @query("SELECT doc_id, lang AS dataset, quality, toxic FROM labels JOIN documents USING (doc_id)")
 def json_bundle_scan(spark, d):
     """One nested JSON object per source with its items, flattened on read."""
-    rows = quality_eval(spark, d).withColumn("part", F.pmod("doc_id", F.lit(50)))
+    rows = quality_eval(spark, d).withColumn("part", F.floor(F.col("doc_id") / 1000))
     item = F.struct("doc_id", F.col("y_true").alias("quality"), "toxic")
     nested = rows.groupBy(F.col("lang").alias("dataset"), "part").agg(F.collect_list(item).alias("items"))
     path = src.write(nested.drop("part"), src.scratch(spark, "json"), "json")
@@ -122,7 +122,7 @@ ANSWER_CLASSES = ["de", "en", "es", "fr"]
 
 
 @query("""
-WITH b AS (SELECT doc_id, lang, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS bucket FROM documents),
+WITH b AS (SELECT doc_id, lang, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(count(*) OVER () / 200)::BIGINT) AS bucket FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS i FROM b),
 k AS (SELECT *, i // 20 AS batch, max(i) OVER (PARTITION BY bucket, i // 20) AS last FROM n)
 SELECT bucket, batch::INT AS batch, doc_id AS item_id, CASE WHEN (bucket + batch) % 4 = 3 OR doc_id % 7 = 0
@@ -130,7 +130,7 @@ SELECT bucket, batch::INT AS batch, doc_id AS item_id, CASE WHEN (bucket + batch
 def batch_answers_ingest(spark, d):
     """Raw answers to batches of 20: plain, fenced, in prose with one missing, or no array."""
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    rows = sp.batches(docs, "doc_id", 20, 16)
+    rows = sp.batches(docs, "doc_id", 20, 200)
     said = F.when(F.col("doc_id") % 7 == 0, F.lit('"klingon"')).when(
         F.col("doc_id") % 13 == 0, F.concat(F.lit('["'), "lang", F.lit('"]'))).otherwise(
         F.concat(F.lit('"'), "lang", F.lit('"')))

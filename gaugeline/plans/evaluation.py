@@ -178,12 +178,10 @@ SELECT c.skew, c.model, c.n::BIGINT AS n, round(c.acc, 6) AS accuracy, round(r.m
 def skew_sweep(spark, d):
     """Rules and majority baseline on ever more lopsided draws."""
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    classes = cl.class_distribution(docs, "lang")
-    top = cl.majority_class(docs, "lang").select("top_class").scalar()
-    draws = sp.skewed_copies(docs, "doc_id", "lang", top, 500, SKEWS, "skew", classes)
-    rows = draws.select("doc_id", "skew", "copies").join(lang_eval_of(spark, d, draws), "doc_id")
+    draws = sp.skewed_copies(docs, "doc_id", "lang", 500, SKEWS, "skew")
+    rows = draws.select("doc_id", "skew", "copies", "top").join(lang_eval_of(spark, d, draws), "doc_id")
     preds = F.array(F.struct(F.lit("rules").alias("model"), F.col("y_pred").alias("p")),
-                    F.struct(F.lit("majority").alias("model"), top.alias("p")))
+                    F.struct(F.lit("majority").alias("model"), F.col("top").alias("p")))
     long = rows.select("skew", "copies", "y_true", F.explode(preds).alias("m"))
     counts = long.groupBy(
         "skew", F.col("m.model").alias("model"), "y_true",
@@ -212,10 +210,10 @@ def spread_by_n(spark, d):
 
 
 @query(f"""
-WITH b AS (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS bucket FROM documents)
+WITH b AS (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(count(*) OVER () / 200)::BIGINT) AS bucket FROM documents)
 SELECT doc_id, bucket, ((row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1) // 20)::INT AS batch FROM b""")
 def batch_assign(spark, d):
-    return sp.batches(table(spark, d, "documents").select("doc_id"), "doc_id", 20, 16)
+    return sp.batches(table(spark, d, "documents").select("doc_id"), "doc_id", 20, 200)
 
 
 @query("""

@@ -6,7 +6,7 @@ from gaugeline.functions import text as tx
 from gaugeline.operators import classify as cl, leakage as lk, learned as ln, sampling as sp, textvec as tv
 from gaugeline.plans.registry import query, report_sql
 from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_views
-from gaugeline.sources.tables import spread, table
+from gaugeline.sources.tables import spread, stored, table
 
 _MASKED = r"regexp_extract_all(regexp_replace(lower({t}), '\{{\{{.*?\}}\}}', ' ', 'g'), '[a-z0-9]+')"
 
@@ -113,7 +113,7 @@ def nearest_frames(spark, d):
     idf = tv.with_idf(tv.vocabulary(tv.document_frequency(ec)), n)
     examples = tv.normalised(tv.raw_weights(ec, idf, "item_id"), "item_id")
     queries = tv.normalised(tv.raw_weights(tv.term_counts(asks, "query_id", "text"), idf, "query_id"), "query_id")
-    return queries, examples
+    return stored(queries, "queries"), stored(examples, "examples")
 
 
 @query(with_views(NEAREST) + """

@@ -111,6 +111,17 @@ def scratch(spark, label: str) -> str:
     return os.path.join(base, "gaugeline", f"{label}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a result that several steps read, and continue from the files.
+
+    It is computed once, lost executors cost nothing, and Spark plans the next
+    joins with its real size.
+    """
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use every core for heavy per-row work on a table of few files.
 
