@@ -16,16 +16,16 @@ def agreement_pairs(df: DataFrame, raters: dict, by=()) -> DataFrame:
     names = sorted(raters)
     pairs = [
         F.struct(F.lit(x).alias("rater_1"), F.lit(y).alias("rater_2"),
-                 raters[x].cast("int").alias("a"), raters[y].cast("int").alias("b"))
+                 raters[x].cast("int").alias("__a"), raters[y].cast("int").alias("__b"))
         for x, y in combinations(names, 2)
     ]
-    rows = df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(*by, "p.*")
-    rows = rows.where("a IS NOT NULL AND b IS NOT NULL")
+    rows = df.select(*by, F.explode(F.array(*pairs)).alias("__p")).select(*by, "__p.*")
+    rows = rows.where("__a IS NOT NULL AND __b IS NOT NULL")
     sums = rows.groupBy("rater_1", "rater_2", *by).agg(
         F.count("*").alias("n"),
-        F.avg((F.col("a") == F.col("b")).cast("double")).alias("agreement"),
-        F.avg((F.col("a") == 1).cast("double")).alias("__pa"),
-        F.avg((F.col("b") == 1).cast("double")).alias("__pb"),
+        F.avg((F.col("__a") == F.col("__b")).cast("double")).alias("agreement"),
+        F.avg((F.col("__a") == 1).cast("double")).alias("__pa"),
+        F.avg((F.col("__b") == 1).cast("double")).alias("__pb"),
     )
     return sums.withColumn("kappa", kappa(F.col("agreement"), F.col("__pa"), F.col("__pb"))).drop("__pa", "__pb")
 
@@ -52,30 +52,30 @@ def verbosity_curve(df: DataFrame, length: str, score: str, quality: str, n_bins
     frame is regrouped from that histogram and never read again.
     """
     hist = df.groupBy(quality, length).agg(
-        F.count("*").alias("n"), F.sum(score).alias("s"), F.sum(quality).alias("q"))
+        F.count("*").alias("__n"), F.sum(score).alias("__s"), F.sum(quality).alias("__q"))
     good = F.col(quality) == 1
     enough = df.where(good).agg(F.count("*")).scalar() >= n_bins
     hist = hist.where(good | ~enough)
     stats = hist.agg(
         F.least(F.lit(n_bins), F.count_distinct(length)).alias("bins"),
-        F.percentile(length, F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)]), F.col("n")).alias("full"),
-        *[F.percentile(length, F.array(*[F.lit(i / k) for i in range(k + 1)]), F.col("n")).alias(f"p{k}")
+        F.percentile(length, F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)]), F.col("__n")).alias("full"),
+        *[F.percentile(length, F.array(*[F.lit(i / k) for i in range(k + 1)]), F.col("__n")).alias(f"p{k}")
           for k in range(1, n_bins)],
     )
     pick = F.col("full")
     for k in range(1, n_bins):
         pick = F.when(F.col("bins") == k, F.col(f"p{k}")).otherwise(pick)
     edges = stats.select(F.array_distinct(pick)).scalar()
-    placed = hist.withColumn("edges", edges)
-    inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    placed = hist.withColumn("__edges", edges)
+    inner = F.slice(F.col("__edges"), 2, F.greatest(F.size("__edges") - 2, F.lit(0)))
     below = F.size(F.filter(inner, lambda e: e < F.col(length)))
     return (
         placed.withColumn("length_bin", below)
         .groupBy("length_bin")
-        .agg(F.sum("n").alias("n"),
-             (F.sum(F.col(length) * F.col("n")) / F.sum("n")).alias("mean_len"),
-             (F.sum("s") / F.sum("n")).alias("mean_score"),
-             (F.sum("q") / F.sum("n")).alias("mean_quality"))
+        .agg(F.sum("__n").alias("n"),
+             (F.sum(F.col(length) * F.col("__n")) / F.sum("__n")).alias("mean_len"),
+             (F.sum("__s") / F.sum("__n")).alias("mean_score"),
+             (F.sum("__q") / F.sum("__n")).alias("mean_quality"))
     )
 
 

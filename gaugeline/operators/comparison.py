@@ -48,20 +48,20 @@ def default_metrics() -> MetricRegistry:
 
 def score_histogram(df: DataFrame, by, score: str) -> DataFrame:
     """Counts per distinct score with running totals; all metrics read this."""
-    hist = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("w"))
+    hist = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("__w"))
     w = Window.partitionBy(*by)
     return hist.withColumns({
-        "__cum": F.sum("w").over(w.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)),
-        "__total": F.sum("w").over(w),
+        "__cum": F.sum("__w").over(w.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)),
+        "__total": F.sum("__w").over(w),
     })
 
 
 def metric_panel(df: DataFrame, by, score: str, registry: MetricRegistry | None = None) -> DataFrame:
     registry = registry or default_metrics()
     hist = score_histogram(df, by, score)
-    s, w = F.col(score), F.col("w")
+    s, w = F.col(score), F.col("__w")
     return hist.groupBy(*by).agg(
-        F.sum("w").alias("n"), *[m.agg(s, w).alias(m.id) for m in registry.metrics.values()])
+        F.sum("__w").alias("n"), *[m.agg(s, w).alias(m.id) for m in registry.metrics.values()])
 
 
 def metric_winners(panel: DataFrame, system: str, systems, by=(), registry=None, tie=0.001) -> DataFrame:
@@ -84,7 +84,7 @@ def wins(winners: DataFrame, by=()) -> DataFrame:
 
 def segment_sums(df: DataFrame, keys, value: Column) -> DataFrame:
     return df.where(value.isNotNull()).groupBy(*keys).agg(
-        F.sum(value).alias("s"), F.count("*").alias("c"))
+        F.sum(value).alias("value_sum"), F.count("*").alias("n_rows"))
 
 
 def simpson(sums: DataFrame, segment: str, system: str, systems) -> DataFrame:
@@ -93,7 +93,7 @@ def simpson(sums: DataFrame, segment: str, system: str, systems) -> DataFrame:
 
     def mean(name):
         hit = F.col(system) == name
-        return F.sum(F.when(hit, F.col("s"))) / F.nullif(F.sum(F.when(hit, F.col("c"))), F.lit(0))
+        return F.sum(F.when(hit, F.col("value_sum"))) / F.nullif(F.sum(F.when(hit, F.col("n_rows"))), F.lit(0))
 
     per = sums.groupBy(segment).agg((mean(b) - mean(a)).alias("delta"))
     overall = sums.agg(mean(b) - mean(a)).scalar()

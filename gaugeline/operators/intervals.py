@@ -71,17 +71,17 @@ def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int = 1000)
     interval of the mean from units x groups numbers, whatever the row count.
     """
     unit = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(units))
-    return df.where(value.isNotNull()).groupBy(*by, unit.cast("int").alias("unit")).agg(
-        F.sum(value).alias("s"), F.count("*").alias("c"))
+    return df.where(value.isNotNull()).groupBy(*by, unit.cast("int").alias("__unit")).agg(
+        F.sum(value).alias("__s"), F.count("*").alias("__c"))
 
 
 def replicate_weights(spark, units: int, replicates: int, salt) -> DataFrame:
     """Poisson(1) weight of every unit in every replicate; zero weights are left out."""
     ids = spark.range(units * replicates)
-    pairs = ids.select((F.col("id") % units).cast("int").alias("unit"),
-                       F.floor(F.col("id") / units).cast("int").alias("b"))
-    key = F.concat(F.col("unit").cast("string"), F.lit(":"), F.col("b").cast("string"))
-    return pinned(pairs, {"w": poisson_one(uniform(key, salt))}).where("w > 0")
+    pairs = ids.select((F.col("id") % units).cast("int").alias("__unit"),
+                       F.floor(F.col("id") / units).cast("int").alias("__b"))
+    key = F.concat(F.col("__unit").cast("string"), F.lit(":"), F.col("__b").cast("string"))
+    return pinned(pairs, {"__w": poisson_one(uniform(key, salt))}).where("__w > 0")
 
 
 def replicate_means(sums: DataFrame, by=(), units: int = 1000, replicates: int = 2000, salt="boot") -> DataFrame:
@@ -91,9 +91,9 @@ def replicate_means(sums: DataFrame, by=(), units: int = 1000, replicates: int =
     within one replicate are paired.
     """
     weights = replicate_weights(sums.sparkSession, units, replicates, salt)
-    rows = weights.join(sums, "unit")
-    return rows.groupBy(*by, "b").agg(
-        (F.sum(F.col("w") * F.col("s")) / F.sum(F.col("w") * F.col("c"))).alias("m"))
+    rows = weights.join(sums, "__unit")
+    return rows.groupBy(*by, "__b").agg(
+        (F.sum(F.col("__w") * F.col("__s")) / F.sum(F.col("__w") * F.col("__c"))).alias("__m"))
 
 
 def rank_pick(df: DataFrame, by, value: str, ranks: dict) -> DataFrame:
@@ -116,8 +116,8 @@ def percentile_ranks(low=0.025, high=0.975) -> dict:
 def bootstrap_interval(df, key, value: Column, by=(), units=1000, replicates=2000, salt="boot") -> DataFrame:
     sums = unit_sums(df, key, value, by, units)
     reps = replicate_means(sums, by, units, replicates, salt)
-    picks = rank_pick(reps, by, "m", percentile_ranks())
-    point = sums.groupBy(*by).agg(F.sum("c").alias("n"), (F.sum("s") / F.sum("c")).alias("mean"))
+    picks = rank_pick(reps, by, "__m", percentile_ranks())
+    point = sums.groupBy(*by).agg(F.sum("__c").alias("n"), (F.sum("__s") / F.sum("__c")).alias("mean"))
     return point.join(picks, list(by))
 
 
@@ -130,10 +130,10 @@ def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, re
     def side(name, m):
         return F.max(F.when(F.col(arm) == name, F.col(m)))
 
-    deltas = reps.groupBy(*by, "b").agg((side(b, "m") - side(a, "m")).alias("d"))
-    picks = rank_pick(deltas, by, "d", percentile_ranks())
-    point = sums.groupBy(*by, arm).agg((F.sum("s") / F.sum("c")).alias("mean"))
-    point = point.groupBy(*by).agg((side(b, "mean") - side(a, "mean")).alias("delta"))
+    deltas = reps.groupBy(*by, "__b").agg((side(b, "__m") - side(a, "__m")).alias("__d"))
+    picks = rank_pick(deltas, by, "__d", percentile_ranks())
+    point = sums.groupBy(*by, arm).agg((F.sum("__s") / F.sum("__c")).alias("__mean"))
+    point = point.groupBy(*by).agg((side(b, "__mean") - side(a, "__mean")).alias("delta"))
     out = point.join(picks, list(by)) if by else side_by_side(point, picks)
     return out.withColumn("includes_zero", (F.col("lo") <= 0) & (F.col("hi") >= 0))
 

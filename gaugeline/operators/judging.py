@@ -47,12 +47,12 @@ def token_overlap(pairs: DataFrame, keys, reply="reply", reference="reference")
 
     both = F.concat(marked(tx.judge_tokens(F.col(reply)), 1, 0),
                     marked(tx.judge_tokens(F.col(reference)), 0, 1))
-    rows = pairs.select(*keys, F.explode_outer(both).alias("x"))
-    per_token = rows.groupBy(*keys, "x.t").agg(F.sum("x.a").alias("a"), F.sum("x.b").alias("b"))
+    rows = pairs.select(*keys, F.explode_outer(both).alias("__x"))
+    per_token = rows.groupBy(*keys, F.col("__x.t").alias("__t")).agg(F.sum("__x.a").alias("__a"), F.sum("__x.b").alias("__b"))
     sums = per_token.groupBy(*keys).agg(
-        F.coalesce(F.sum(F.least("a", "b")), F.lit(0)).alias("overlap"),
-        F.coalesce(F.sum("a"), F.lit(0)).alias("n_reply"),
-        F.coalesce(F.sum("b"), F.lit(0)).alias("n_reference"),
+        F.coalesce(F.sum(F.least("__a", "__b")), F.lit(0)).alias("overlap"),
+        F.coalesce(F.sum("__a"), F.lit(0)).alias("n_reply"),
+        F.coalesce(F.sum("__b"), F.lit(0)).alias("n_reference"),
     )
     prec = F.col("overlap") / F.nullif(F.col("n_reply"), F.lit(0))
     rec = F.col("overlap") / F.nullif(F.col("n_reference"), F.lit(0))

@@ -16,7 +16,7 @@ def segment_means(df: DataFrame, segment: str, metrics: dict) -> DataFrame:
     names = list(metrics)
     wide = df.groupBy(F.col(segment).alias("segment")).agg(*[F.avg(metrics[m]).alias(m) for m in names])
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("mean")) for m in names])
-    return wide.select("segment", F.explode(pairs).alias("x")).select("segment", "x.*")
+    return wide.select("segment", F.explode(pairs).alias("__x")).select("segment", "__x.*")
 
 
 def reweight(means: DataFrame, weights: DataFrame) -> DataFrame:

@@ -26,13 +26,13 @@ def means(df: DataFrame, columns) -> DataFrame:
 
 def size_stats(df: DataFrame, size: str, by=()) -> DataFrame:
     """min, upper median and max; the median is read from a value histogram."""
-    hist = df.groupBy(*by, size).agg(F.count("*").alias("w"))
+    hist = df.groupBy(*by, size).agg(F.count("*").alias("__w"))
     w = Window.partitionBy(*by)
     hist = hist.withColumns({
-        "__cum": F.sum("w").over(w.orderBy(size).rowsBetween(Window.unboundedPreceding, 0)),
-        "__n": F.sum("w").over(w)})
+        "__cum": F.sum("__w").over(w.orderBy(size).rowsBetween(Window.unboundedPreceding, 0)),
+        "__n": F.sum("__w").over(w)})
     return hist.groupBy(*by).agg(
-        F.sum("w").alias("n"), F.min(size).alias("min"),
+        F.sum("__w").alias("n"), F.min(size).alias("min"),
         F.min(F.when(F.col("__cum") > F.floor(F.col("__n") / 2), F.col(size))).alias("median"),
         F.max(size).alias("max"))
 
