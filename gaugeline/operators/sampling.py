@@ -25,7 +25,9 @@ def _threshold(n: Column, total: Column) -> Column:
 def draw(df: DataFrame, key: str, n: int, seeds, total: Column | None = None) -> DataFrame:
     """``n`` rows without replacement per seed, all seeds in one job.
 
-    Adds ``seed``; a table of fewer than ``n`` rows is drawn whole.
+    Adds ``seed`` and ``draw_rank``; the rows of rank <= m are the draw of size
+    m, so one draw serves every smaller size.  A table of fewer than ``n`` rows
+    is drawn whole.
     """
     total = total if total is not None else df.agg(F.count("*")).scalar()
     rows = with_grid(df, "seed", list(seeds))
@@ -33,12 +35,12 @@ def draw(df: DataFrame, key: str, n: int, seeds, total: Column | None = None) ->
     rows = rows.where(hash_uniform(F.col("__h")) < _threshold(F.lit(float(n)), total))
     per_seed = Window.partitionBy("seed")
     ranked = rows.withColumns({
-        "__rank": F.row_number().over(per_seed.orderBy("__h", key)),
+        "draw_rank": F.row_number().over(per_seed.orderBy("__h", key)),
         "__have": F.count("*").over(per_seed),
     })
     short = F.col("__have") < F.least(F.lit(n), total)
     guard = F.when(short, F.raise_error(F.lit("draw came out short"))).otherwise(F.lit(True))
-    return ranked.where(guard).where(F.col("__rank") <= n).drop("__rank", "__have", "__h")
+    return ranked.where(guard).where(F.col("draw_rank") <= n).drop("__have", "__h")
 
 
 def draw_poisson(df: DataFrame, key: str, rate: Column, seeds) -> DataFrame:

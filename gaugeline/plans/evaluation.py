@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from gaugeline.functions.frames import unpivot
+from gaugeline.functions.frames import unpivot, with_grid
 from gaugeline.operators import classify as cl, sampling as sp
 from gaugeline.plans.registry import query, report_sql, u_sql
 from gaugeline.plans.views import (
@@ -199,14 +199,10 @@ def spread_by_n(spark, d):
     """Standard error of a mean against the sample size."""
     q = table(spark, d, "labels").select("doc_id", "quality")
     q = q.join(table(spark, d, "documents").select("doc_id"), "doc_id", "left_semi")
-    total = q.agg(F.count("*")).scalar()
-    out = None
-    for n in (20, 50, 200):
-        means = sp.draw(q, "doc_id", n, range(40), total).groupBy("seed").agg(F.avg("quality").alias("v"))
-        row = means.agg(F.lit(n).alias("n"), F.count("*").alias("draws"), F.avg("v").alias("mean"),
-                        F.stddev_samp("v").alias("std_error"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    rows = with_grid(sp.draw(q, "doc_id", 200, range(40)), "n", [20, 50, 200]).where("draw_rank <= n")
+    means = rows.groupBy("n", "seed").agg(F.avg("quality").alias("v"))
+    return means.groupBy("n").agg(
+        F.count("*").alias("draws"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std_error"))
 
 
 @query(f"""

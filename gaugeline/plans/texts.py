@@ -229,5 +229,7 @@ SELECT slice, n, correct, round(accuracy, 6) AS accuracy, round(macro_precision,
     coalesce(sum(n) FILTER (y_true = y_pred), 0) / sum(n) AS accuracy FROM cf GROUP BY 1)
   JOIN (SELECT slice, coalesce(avg(p), 0) AS macro_precision, coalesce(avg(r), 0) AS macro_recall, avg(f) AS macro_f1 FROM report GROUP BY 1) USING (slice)""")
 def clean_vs_contaminated(spark, d):
-    rows = lk.flag_contaminated(lang_eval(spark, d), leaks(spark, d), "doc_id", 0.5)
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    hits = lk.contaminated_pairs(docs, table(spark, d, "benchmark"), "doc_id", "item_id", 0.5)
+    rows = lk.flag_contaminated(lang_eval(spark, d), hits, "doc_id")
     return cl.summary(cl.confusion(rows, by=["slice"]), by=["slice"])

@@ -102,6 +102,12 @@ def bundle(frames: dict) -> DataFrame:
     return out
 
 
+def write_bundle(df: DataFrame, path: str) -> str:
+    """One folder per dataset name, so that reading one of them prunes the rest."""
+    df.write.mode("overwrite").partitionBy("dataset").parquet(path)
+    return path
+
+
 def scratch(spark, label: str) -> str:
     """A fresh folder in the cluster's shared checkpoint folder.
 

@@ -135,3 +135,11 @@ def test_tag_profile(spark):
     assert {r.tag: r.n for r in prevalence.collect()} == {"a": 3, "b": 2, "c": 1}
     assert {r.n_tags: r.n for r in sizes.collect()} == {1: 1, 2: 1, 3: 1}
     assert {(r.tag_1, r.tag_2): r.n for r in pairs.collect()} == {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1}
+
+
+def test_bundle_sink_is_partitioned_by_dataset(spark, folder):
+    df = src.bundle({"a": spark.range(3), "b": spark.range(5)})
+    back = spark.read.parquet(src.write_bundle(df, f"{folder}/bundle"))
+    one = back.where("dataset = 'a'")
+    assert one.count() == 3 and all("dataset=a" in f for f in back.inputFiles() if f.split("/")[-2] == "dataset=a")
+    assert "PartitionFilters: [isnotnull(dataset" in one._jdf.queryExecution().toString()

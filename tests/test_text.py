@@ -132,3 +132,29 @@ def test_unit_box(spark):
     df = spark.createDataFrame([(0.0, 5.0), (10.0, 5.0), (5.0, 5.0)], "x double, y double")
     rows = [(r.x, r.y) for r in tv.unit_box(df, ["x", "y"]).collect()]
     assert rows == [(0.04, 0.04), (0.96, 0.04), (0.5, 0.04)]
+
+
+def test_contaminated_pairs_equal_the_filtered_full_result(spark):
+    boiler = " ".join(f"b{i}" for i in range(30))
+    own = [" ".join(f"i{j}x{i}" for i in range(25)) for j in range(6)]
+    items = spark.createDataFrame([(j, f"{boiler} {own[j]}") for j in range(6)], "item int, text string")
+    texts = [f"{boiler} {own[0]}", boiler, own[1], f"{own[2]} {boiler[:40]}", "clean text", f"{own[3]} {own[4]} {boiler}",
+             " ".join((boiler + " " + own[5]).split()[:40])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
+    full = lk.contamination(docs, items, "doc", "item", 8)
+    for cut in (0.3, 0.5, 0.9, 1.0):
+        want = {(r.doc, r.item, r.matched) for r in full.where(f"share >= {cut}").collect()}
+        got = {(r.doc, r.item, r.matched) for r in lk.contaminated_pairs(docs, items, "doc", "item", cut).collect()}
+        assert got == want, cut
+
+
+def test_a_judge_may_be_a_pandas_udf(spark):
+    from pyspark.sql.functions import pandas_udf
+
+    @pandas_udf("double")
+    def longer(a, r):
+        return (a.str.len() > r.str.len()).astype("float64")
+
+    reg = jd.JudgeRegistry().register("longer", "binary", longer)
+    df = spark.createDataFrame([(1, "abc", "a"), (2, "a", "abc")], "id int, reply string, reference string")
+    assert {r.id: r.score for r in reg.run(df, ["id"]).collect()} == {1: 1.0, 2: 0.0}
