@@ -10,7 +10,7 @@ def series(df: DataFrame, ts: str, metric: str, score: str, unit: str = "week")
     means = df.groupBy(F.col(metric).alias("metric"), period.alias("period")).agg(
         F.count(score).alias("n"), F.avg(score).alias("mean"))
     order = Window.partitionBy("metric").orderBy("period")
-    return means.withColumn("idx", F.row_number().over(order) - 1)
+    return means.withColumn("idx", (F.row_number().over(order) - 1).cast("long"))
 
 
 def drift_summary(s: DataFrame, threshold: float) -> DataFrame:

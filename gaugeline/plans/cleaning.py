@@ -88,7 +88,7 @@ def category_filter(spark, d):
     return table(spark, d, "events").where(F.col("event_type").isin("click", "purchase")).select("event_id", "event_type")
 
 
-@query(r"""SELECT doc_id, words FROM (SELECT doc_id, len(regexp_extract_all(text, '\S+')) AS words FROM documents WHERE text IS NOT NULL)
+@query(r"""SELECT doc_id, words::INT AS words FROM (SELECT doc_id, len(regexp_extract_all(text, '\S+')) AS words FROM documents WHERE text IS NOT NULL)
            WHERE words BETWEEN 50 AND 2000""")
 def doc_word_filter(spark, d):
     docs = src.spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id").where("text IS NOT NULL")

@@ -179,14 +179,13 @@ def raters(spark, d):
         "doc_id", "lang", F.col("y_true").alias("r1"), (1 - F.col("toxic")).alias("r2"), F.col("pred_A").alias("r3"))
 
 
-def kappa_sql(a, b):
-    return f"""CASE WHEN pe = 1 THEN CASE WHEN po = 1 THEN 1e0 ELSE 0e0 END ELSE (po - pe) / (1 - pe) END"""
+KAPPA = "CASE WHEN pe = 1 THEN CASE WHEN po = 1 THEN 1e0 ELSE 0e0 END ELSE (po - pe) / (1 - pe) END"
 
 
 def _pair(a, b, by=""):
     lead = f"{by}, " if by else ""
     tail = f" GROUP BY {by}" if by else ""
-    return f"""SELECT {lead}'{a}' AS rater_1, '{b}' AS rater_2, n, po AS agreement, {kappa_sql(a, b)} AS kappa FROM (
+    return f"""SELECT {lead}'{a}' AS rater_1, '{b}' AS rater_2, n, po AS agreement, {KAPPA} AS kappa FROM (
   SELECT *, pa * pb + (1 - pa) * (1 - pb) AS pe FROM (SELECT {lead}count(*) AS n,
     avg(CASE WHEN {a} = {b} THEN 1e0 ELSE 0e0 END) AS po, avg({a}) AS pa, avg({b}) AS pb FROM v_raters{tail}))"""
 

@@ -77,3 +77,24 @@ def test_running_confusion_ends_at_the_batch_result(spark, folder, feed):
         k = (str(int(i % 3 == 0)), str(i % 2) if i < 100 else "∅")
         want[k] = want.get(k, 0) + 1
     assert got == want
+
+
+def test_late_rows_count_only_within_the_bound(spark, folder):
+    schema = "id long, ts timestamp_ntz, metric string, score double"
+    day = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    files = [
+        [(1, day(1), "m", 1.0), (2, day(3, 12), "m", 1.0)],
+        [(3, day(2, 20), "m", 5.0)],  # late, but its window is still open
+        [(4, day(20), "m", 1.0)],     # moves the watermark far ahead
+        [(5, day(2), "m", 5.0), (6, day(28), "m", 1.0)],  # too late: the window is closed
+    ]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in{i}")
+    means, n = None, 0
+    for i in range(len(files)):  # one run per arriving file, same checkpoint
+        stream = mo.event_time(spark.readStream.schema(schema).parquet(f"{folder}/in[0-{i}]"))
+        means = mo.windowed_means(stream, "metric", "score", "1 day", late="1 day")
+        mo.run_to_files(means, f"{folder}/out", f"{folder}/ck").awaitTermination()
+    got = {r.window_start.day: (r.n, r["mean"]) for r in spark.read.parquet(f"{folder}/out").collect()}
+    assert got[1] == (1, 1.0) and got[2] == (1, 5.0) and got[3] == (1, 1.0) and got[20] == (1, 1.0)
+    assert set(got) == {1, 2, 3, 20}
