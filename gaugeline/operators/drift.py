@@ -2,6 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gaugeline.sources.tables import stored
+
 
 def series(df: DataFrame, ts: str, metric: str, score: str, unit: str = "week") -> DataFrame:
     """Mean score per metric and period, with the 0-based period index."""
@@ -66,7 +68,9 @@ def as_of_versions(facts: DataFrame, versions: DataFrame, ts: str, start: str, n
     Versions are a dimension: only their start times meet in one ordering.
 
     Each version's validity range is cut into days, so facts meet versions in an
-    equi-join on the day; the time inside the day decides the rest.
+    equi-join on the day; the time inside the day decides the rest.  The ranges
+    are written out: Spark broadcasts them while they are short, and splits hot
+    days itself beyond that.
     """
     order = Window.orderBy(start)
     ranges = versions.select(
@@ -74,7 +78,7 @@ def as_of_versions(facts: DataFrame, versions: DataFrame, ts: str, start: str, n
     last = facts.agg(F.max(ts)).scalar()
     days = F.explode(F.sequence(F.col("__from").cast("date"),
                                 F.greatest(F.col("__from"), F.coalesce(F.col("__to"), last)).cast("date")))
-    ranges = ranges.select(name, "__from", "__to", days.alias("__day"))
+    ranges = stored(ranges.select(name, "__from", "__to", days.alias("__day")), "ranges")
     keyed = facts.withColumn("__day", F.col(ts).cast("date"))
     hit = (keyed["__day"] == ranges["__day"]) & (F.col(ts) >= F.col("__from")) & (
         F.col("__to").isNull() | (F.col(ts) < F.col("__to")))

@@ -98,12 +98,19 @@ def stratified_roles(df: DataFrame, key: str, stratum: str, shares: dict, salt)
 
 
 def quota_sample(df: DataFrame, key: str, stratum: str, quotas: dict, salt) -> DataFrame:
-    """Exact quota per stratum: the rows of smallest hash, pre-cut by threshold."""
-    counts = df.groupBy(stratum).agg(F.count("*").alias("__n"))
-    quota = F.create_map(*[F.lit(x) for kv in quotas.items() for x in kv])
-    limits = counts.select(
-        stratum, F.col("__n"), F.coalesce(quota[F.col(stratum)], F.lit(0)).alias("__quota"))
-    rows = df.join(limits, stratum).withColumn("__h", key_hash(F.col(key), salt))
+    """Exact quota per stratum: the rows of smallest hash, pre-cut by threshold.
+
+    The stratum sizes come back as one scalar, so rows never meet by stratum
+    before the cut; after it about quota rows per stratum are left to rank.
+    """
+    names = list(quotas)
+    sizes = df.agg(F.struct(*[F.count_if(F.col(stratum) == s).alias(str(i)) for i, s in enumerate(names)])).scalar()
+    quota, size = F.lit(0), F.lit(0)
+    for i, s in enumerate(names):
+        quota = F.when(F.col(stratum) == s, quotas[s]).otherwise(quota)
+        size = F.when(F.col(stratum) == s, F.col("__sizes")[str(i)]).otherwise(size)
+    rows = df.withColumn("__sizes", sizes).withColumns({"__quota": quota, "__n": size}).drop("__sizes")
+    rows = rows.where("__quota > 0").withColumn("__h", key_hash(F.col(key), salt))
     rows = rows.where(hash_uniform(F.col("__h")) < _threshold(F.col("__quota").cast("double"), F.col("__n")))
     w = Window.partitionBy(stratum)
     ranked = rows.withColumns({

@@ -7,7 +7,7 @@ from gaugeline.operators import classify as cl, sampling as sp
 from gaugeline.plans.registry import query, report_sql, u_sql
 from gaugeline.plans.views import (
     LANG_EVAL, LANGS, QUALITY_EVAL, lang_eval, lang_eval_frame, quality_eval, with_views)
-from gaugeline.sources.tables import table
+from gaugeline.sources.tables import stored, table
 
 COUNTS = """
 cf AS (SELECT y_true, coalesce(y_pred, '∅') AS y_pred, count(*) AS n FROM v_lang_eval GROUP BY 1, 2)"""
@@ -121,11 +121,12 @@ def resample_once(spark, d):
 def drawn_docs(spark, d, n, seeds):
     """Draw first, then predict only the drawn documents.
 
-    The draw needs keys alone; the small draw then semi-joins the table, so the
-    texts of all other rows are never tokenised.
+    The draw needs keys alone.  It is written out, so Spark knows how short it is
+    and broadcasts it: the texts of all other rows are neither shuffled nor
+    tokenised.
     """
     ids = table(spark, d, "documents").select("doc_id")
-    draws = sp.draw(ids, "doc_id", n, seeds)
+    draws = stored(sp.draw(ids, "doc_id", n, seeds), "draws")
     return draws.join(lang_eval_of(spark, d, draws), "doc_id")
 
 
@@ -178,7 +179,7 @@ SELECT c.skew, c.model, c.n::BIGINT AS n, round(c.acc, 6) AS accuracy, round(r.m
 def skew_sweep(spark, d):
     """Rules and majority baseline on ever more lopsided draws."""
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    draws = sp.skewed_copies(docs, "doc_id", "lang", 500, SKEWS, "skew")
+    draws = stored(sp.skewed_copies(docs, "doc_id", "lang", 500, SKEWS, "skew"), "draws")
     rows = draws.select("doc_id", "skew", "copies", "top").join(lang_eval_of(spark, d, draws), "doc_id")
     preds = F.array(F.struct(F.lit("rules").alias("model"), F.col("y_pred").alias("p")),
                     F.struct(F.lit("majority").alias("model"), F.col("top").alias("p")))
