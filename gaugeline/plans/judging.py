@@ -56,9 +56,9 @@ def verdicts(spark, d):
     p = pairs(spark, d).select(
         *KEYS, "reply", "reference", jd.exact_match(F.col("reply"), F.col("reference")).alias("exact"),
         jd.normalised_match(F.col("reply"), F.col("reference")).alias("normalised"))
-    # The texts stay behind: only the two flags and the counts travel on.
-    flags = p.select(*KEYS, "exact", "normalised")
-    rows = flags.join(jd.token_overlap(p, KEYS), KEYS)
+    # The flags ride along as grouping columns, so the pairs are read once and
+    # the texts stay behind.
+    rows = jd.token_overlap(p, [*KEYS, "exact", "normalised"])
     rows = rows.withColumns(jd.rubric_scores(F.col("token_f1"), F.col("n_reply")))
     return rows.withColumn("overlap_match", (F.col("token_f1") >= 0.5).cast("int"))
 
