@@ -37,6 +37,10 @@ PREDICTION_BUNDLE = T.StructType([
 ])
 
 
+#: The folder of a session in one process that names no shared one.
+_OWN: dict[str, str] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -109,11 +113,18 @@ def write_bundle(df: DataFrame, path: str) -> str:
 
 
 def scratch(spark, label: str) -> str:
-    """A fresh folder in the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a test) falls back to a local one.
+    Executors of a cluster share no local folder, so without that setting only a
+    session whose tasks all run in this process may go on, in a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if "base" not in _OWN:
+            _OWN["base"] = tempfile.mkdtemp(prefix="gaugeline-")
+        base = _OWN["base"]
     return os.path.join(base, "gaugeline", f"{label}-{uuid.uuid4().hex}")
 
 
