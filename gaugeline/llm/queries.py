@@ -1,5 +1,7 @@
 """Registered queries of the training-data operators, each over its whole table."""
 
+from pyspark.sql import functions as F
+
 from gaugeline.llm.registry import ORACLES, QUERIES, query
 from gaugeline.sources.tables import table
 
@@ -25,3 +27,133 @@ def op8_minhash_near_dedup(spark, folder):
     from gaugeline.llm.near_duplicates import link_components
 
     return link_components(table(spark, folder, "documents"), 85)
+
+
+@query("""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM d, unnest(range(0, length(h) // 2 - 199)) AS u(p)),
+t AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+c AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200, -1) AS fresh FROM w WHERE k IN (SELECT k FROM t)),
+i AS (SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM c),
+s AS (SELECT doc_id, span, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY ALL),
+g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT g.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM g JOIN d USING (doc_id) GROUP BY g.doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""")
+def op4_suffix_array_dedup(spark, folder):
+    """Repeated 200-byte strings removed from the documents."""
+    from gaugeline.llm.repeated_spans import remove_repeats
+
+    return remove_repeats(table(spark, folder, "documents"), 200).drop("kept")
+
+
+@query("""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+i AS (SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[p:p + 9], ' ') AS g FROM b, unnest(range(1, greatest(len(ws) - 8, 2))) AS u(p) WHERE len(ws) > 0),
+s AS (SELECT DISTINCT k FROM i),
+t AS (SELECT doc_id, p, k, array_to_string(ws[p:p + k - 1], ' ') AS g FROM d, s, unnest(range(1, len(ws) - k + 2)) AS u(p)),
+h AS (SELECT doc_id, p, t.k, item_id FROM t JOIN i ON i.g = t.g AND i.k = t.k),
+c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM h, unnest(range(p, p + k)) AS u(q) GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN m USING (doc_id)
+""")
+def op9_decontamination(spark, folder):
+    """Words of the documents inside windows of 10 words of benchmark items."""
+    from gaugeline.llm.decontamination import find_contamination
+
+    found = find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@query()
+def op10_secret_scan(spark, folder):
+    """Secrets in the documents."""
+    from gaugeline.llm.secrets import scan_secrets
+
+    return scan_secrets(table(spark, folder, "documents")).drop("masked")
+
+
+@query()
+def op5_quartile_fingerprints(spark, folder):
+    """Quartile bucket digests of the documents, of their edited texts, and likenesses."""
+    from gaugeline.llm.fingerprints import fingerprint_documents
+
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
+@query("""
+WITH u AS (SELECT page_id, url, instr(url, '://') AS k, substr(url, instr(url, '://') + 3) AS rest FROM pages),
+p AS (SELECT page_id, CASE WHEN k > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN k > 0 THEN regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path FROM u),
+r(h, q, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr', 'allow'), ('com', '/de/', 'block')),
+m AS (SELECT p.*, h, q, v FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q)),
+b AS (SELECT page_id, host, path, max({'n': length(h) + length(q), 'rule': h || q, 'v': v}) FILTER (h IS NOT NULL) AS best FROM m GROUP BY ALL)
+SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM b
+""")
+def op2_url_filters(spark, folder):
+    """Verdict of the url rules for every page."""
+    from gaugeline.llm.url_filters import RULES, judge_urls, rule_table
+
+    return judge_urls(table(spark, folder, "pages").select("page_id", "url"), rule_table(spark, RULES))
+
+
+@query()
+def op3_quality_classifier(spark, folder):
+    """Quality of every document, learned from the labels outside the held-out fold."""
+    from gaugeline.llm.quality import classify
+
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query()
+def op1_pfair_mix(spark, folder):
+    """All documents in a mix of their sources, weighted by the square root of their characters."""
+    from gaugeline.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
+@query("""
+WITH h AS (SELECT page_id, coalesce(html, '') AS html, 'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:'
+    || coalesce(page_id::VARCHAR, '') || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html'
+    || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) AS head FROM pages),
+r AS (SELECT page_id, head || html || chr(13) || chr(10) || chr(13) || chr(10) AS record FROM h),
+s AS (SELECT page_id, record, strlen(record) AS size, md5(record) AS digest, (SELECT 1 + sum(strlen(record))::BIGINT // 4194304 FROM r) AS files FROM r),
+f AS (SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % files AS file FROM s),
+o AS (SELECT *, row_number() OVER w - 1 AS seq, sum(size) OVER w AS stop, ('0x' || substr(md5('rot:' || page_id), 1, 8))::BIGINT % 97 AS rot
+    FROM f WINDOW w AS (PARTITION BY file ORDER BY page_id, digest))
+SELECT file, seq, page_id, (stop - size)::BIGINT AS start, stop::BIGINT AS stop, sha256(record) AS hash,
+    CASE rot WHEN 0 THEN sha256(record[:-5]) WHEN 1 THEN sha256('X' || record[2:]) END AS other_hash, CASE rot WHEN 2 THEN 'missing' ELSE 'changed' END AS damage
+FROM o WHERE rot < 3
+""")
+def op6_merkle_fixity(spark, folder):
+    """Damaged records of a replica of the pages' WARC files; the replica is derived with every 32nd record or so cut, overwritten or lost."""
+    from gaugeline.llm.fixity import audit, to_warc
+    from gaugeline.sources.tables import stored
+
+    records = stored(to_warc(table(spark, folder, "pages")), "warc")
+    rot = F.conv(F.substring(F.md5(F.concat(F.lit("rot:"), F.col("page_id").cast("string"))), 1, 8), 16, 10).cast("long") % 97
+    cut = F.expr("substring(record, 1, octet_length(record) - 4)")
+    over = F.concat(F.lit(b"X"), F.expr("substring(record, 2)"))
+    replica = records.withColumn("rot", F.coalesce(rot, F.lit(96))).where("rot <> 2").withColumn(
+        "record", F.when(F.col("rot") == 0, cut).when(F.col("rot") == 1, over).otherwise(F.col("record")))
+    found = audit(records, replica)
+    return found.join(records.select("file", "seq", "page_id"), ["file", "seq"], "left").select(
+        "file", "seq", "page_id", "start", "stop", "hash", "other_hash", "damage")
+
+
+@query()
+def op7_katz_backoff(spark, folder):
+    """Base and Katz backoff log probabilities of the documents, learned from the training fold."""
+    from gaugeline.llm.katz import score_documents
+
+    return score_documents(table(spark, folder, "documents"))
