@@ -41,11 +41,11 @@ def mark_best(losses: DataFrame) -> DataFrame:
 
 
 def routing(hist: DataFrame, conf: str, right: str, weight: str, cuts) -> DataFrame:
-    """Coverage and accuracy when only answers at or above a cut are kept."""
+    """Coverage and accuracy when only answers at or above a cut are kept; ``hist`` as for ``temperature_losses``."""
     rows = with_grid(hist, "cut", cuts)
     keep: Column = F.coalesce(F.col(conf) >= F.col("cut"), F.lit(False))
     kept = F.sum(F.when(keep, F.col(weight)).otherwise(0))
-    hits = F.sum(F.when(keep, F.col(right)).otherwise(0))
+    hits = F.sum(F.when(keep, F.col(right) * F.col(weight)).otherwise(0))
     total = F.sum(weight)
     return rows.groupBy("cut").agg(
         kept.alias("kept"), (total - kept).alias("to_humans"), (kept / total).alias("coverage"),

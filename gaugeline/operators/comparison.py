@@ -78,6 +78,16 @@ def metric_winners(panel: DataFrame, system: str, systems, by=(), registry=None,
     return wide.withColumn("winner", F.when(F.abs(diff) < tie, "tie").when(diff > 0, b).otherwise(a))
 
 
+def scorecard_winners(cards: DataFrame, system: str, systems, metrics, lead: float = 0.01) -> DataFrame:
+    """Mean per scorecard metric and system; a system wins a metric only with a lead above ``lead``."""
+    a, b = systems
+    means = cards.groupBy(system).agg(*[F.avg(m).alias(m) for m in metrics])
+    long = unpivot(means, [system], {m: F.col(m) for m in metrics}, "metric", "value")
+    wide = long.groupBy("metric").agg(*[F.max(F.when(F.col(system) == s, F.col("value"))).alias(f"mean_{s}") for s in systems])
+    diff = F.col(f"mean_{b}") - F.col(f"mean_{a}")
+    return wide.withColumn("winner", F.when(diff > lead, b).when(diff < -lead, a).otherwise("tie"))
+
+
 def wins(winners: DataFrame, by=()) -> DataFrame:
     return winners.groupBy(*by, "winner").agg(F.count("*").alias("wins"))
 
@@ -138,10 +148,15 @@ def corrected(tests: DataFrame, ids, alpha=0.05) -> DataFrame:
     }).drop("__m", "__i")
 
 
-def split_accuracy(df: DataFrame, variant: str, split: str, right: Column, splits) -> DataFrame:
-    """Accuracy of every variant on every split, one column per split."""
-    cells = [F.avg(F.when(F.col(split) == s, right.cast("double"))).alias(f"acc_{s}") for s in splits]
-    return df.groupBy(variant).agg(*cells)
+def split_accuracy(df: DataFrame, variant: str, split: str, right: Column, splits, n: Column | None = None) -> DataFrame:
+    """Accuracy of every variant on every split, one column per split; ``n`` is how often a row counts."""
+    n = F.lit(1) if n is None else n
+
+    def accuracy(s):
+        mine = F.col(split) == s
+        return F.sum(F.when(mine & right, n).when(mine, 0)) / F.sum(F.when(mine, n))
+
+    return df.groupBy(variant).agg(*[accuracy(s).alias(f"acc_{s}") for s in splits])
 
 
 def lucky_winner(table: DataFrame, variant: str, dev="acc_dev", sealed="acc_test") -> DataFrame:

@@ -80,11 +80,12 @@ def parse_scorecards(df: DataFrame, raw: str, out: str, dims=("accuracy", "compl
     return rows.withColumn(out, card).drop("__card", raw)
 
 
-def reject_rate(df: DataFrame, by, value: str) -> DataFrame:
+def reject_rate(df: DataFrame, by, value: str, *more) -> DataFrame:
+    """Share of rows without a valid value, and any further aggregates, in one pass."""
     bad = F.col(value).isNull()
     return df.groupBy(*by).agg(
         F.count("*").alias("n"), F.count_if(bad).alias("rejected"),
-        F.avg(bad.cast("double")).alias("reject_rate"))
+        F.avg(bad.cast("double")).alias("reject_rate"), *more)
 
 
 def split_valid(df: DataFrame, value: str):

@@ -64,34 +64,30 @@ def curve(post: DataFrame, keys, points=401) -> DataFrame:
     return grid.select(*keys, "i", "x", (F.col("mass") / F.col("step")).alias("density"))
 
 
-def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int = 1000) -> DataFrame:
-    """Sums per hash unit: the only pass over the rows that a bootstrap needs.
+def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int | None = 1000) -> DataFrame:
+    """Sums per resampling unit: the only pass over the rows that a bootstrap needs.
 
-    Rows fall into ``units`` random groups; resampling whole units gives the
-    interval of the mean from units x groups numbers, whatever the row count.
+    With ``units`` rows fall into that many hash groups, and whole groups are resampled: the interval of the mean then costs
+    units x replicates numbers, whatever the row count, and its ends differ from the row bootstrap's by about 1 / sqrt(2 * units) of
+    its width.  With None every row is a unit of its own, which is the plain bootstrap and costs rows x replicates.
     """
-    unit = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(units))
-    return df.where(value.isNotNull()).groupBy(*by, unit.cast("int").alias("__unit")).agg(
+    hashed = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(units or 1))
+    unit = F.col(key).cast("string") if units is None else hashed.cast("string")
+    return df.where(value.isNotNull()).groupBy(*by, unit.alias("__unit")).agg(
         F.sum(value).alias("__s"), F.count("*").alias("__c"))
 
 
-def replicate_weights(spark, units: int, replicates: int, salt) -> DataFrame:
-    """Poisson(1) weight of every unit in every replicate; zero weights are left out."""
-    ids = spark.range(units * replicates)
-    pairs = ids.select((F.col("id") % units).cast("int").alias("__unit"),
-                       F.floor(F.col("id") / units).cast("int").alias("__b"))
-    key = F.concat(F.col("__unit").cast("string"), F.lit(":"), F.col("__b").cast("string"))
-    return pinned(pairs, {"__w": poisson_one(uniform(key, salt))}).where("__w > 0")
+def replicate_means(sums: DataFrame, by=(), replicates: int = 2000, salt="boot") -> DataFrame:
+    """Poisson bootstrap of the mean from unit sums.
 
-
-def replicate_means(sums: DataFrame, by=(), units: int = 1000, replicates: int = 2000, salt="boot") -> DataFrame:
-    """Poisson bootstrap of the mean: units x replicates weights, drawn once.
-
-    A unit has the same weight in all groups, so differences between groups
-    within one replicate are paired.
+    A unit has the same weight in all groups, so differences between groups within one replicate are paired.
+    Each weight is drawn once, beside the sums it multiplies.
     """
-    weights = replicate_weights(sums.sparkSession, units, replicates, salt)
-    rows = weights.join(sums, "__unit")
+    rows = sums.groupBy("__unit").agg(F.collect_list(F.struct(*by, "__s", "__c")).alias("__g"))  # a struct per group
+    rows = with_range(rows, "__b", replicates)
+    key = F.concat("__unit", F.lit(":"), F.col("__b").cast("string"))
+    rows = pinned(rows, {"__w": poisson_one(uniform(key, salt))}).where("__w > 0")
+    rows = rows.select("__b", "__w", F.inline("__g"))
     return rows.groupBy(*by, "__b").agg(
         (F.sum(F.col("__w") * F.col("__s")) / F.sum(F.col("__w") * F.col("__c"))).alias("__m"))
 
@@ -115,7 +111,7 @@ def percentile_ranks(low=0.025, high=0.975) -> dict:
 
 def bootstrap_interval(df, key, value: Column, by=(), units=1000, replicates=2000, salt="boot") -> DataFrame:
     sums = unit_sums(df, key, value, by, units)
-    reps = replicate_means(sums, by, units, replicates, salt)
+    reps = replicate_means(sums, by, replicates, salt)
     picks = rank_pick(reps, by, "__m", percentile_ranks())
     point = sums.groupBy(*by).agg(F.sum("__c").alias("n"), (F.sum("__s") / F.sum("__c")).alias("mean"))
     return point.join(picks, list(by))
@@ -125,7 +121,7 @@ def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, re
     """Interval of mean(second arm) - mean(first arm), replicate by replicate."""
     a, b = arms
     sums = unit_sums(df, key, value, [*by, arm], units)
-    reps = replicate_means(sums, [*by, arm], units, replicates, salt)
+    reps = replicate_means(sums, [*by, arm], replicates, salt)
 
     def side(name, m):
         return F.max(F.when(F.col(arm) == name, F.col(m)))
@@ -138,14 +134,14 @@ def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, re
     return out.withColumn("includes_zero", (F.col("lo") <= 0) & (F.col("hi") >= 0))
 
 
-def coverage(df, key, correct: str, n: int, draws: int, truth: Column, total: Column, z=1.959963984540054):
-    """Share of Wald intervals of small draws that contain the full-pool value."""
+def coverage(df, key, correct: str, n: int, draws: int, truth: Column, total: Column, level=0.95):
+    """Share of credible intervals of small draws, uniform prior, that contain the full-pool value."""
     per_draw = draw(df, key, n, range(draws), total).groupBy("seed").agg(
-        F.count("*").alias("n"), F.avg(F.col(correct).cast("double")).alias("p"))
-    half = z * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("n"))
-    return per_draw.withColumns({
-        "truth": truth, "lo": F.col("p") - half, "hi": F.col("p") + half,
-    }).withColumn("covers", (F.col("lo") <= F.col("truth")) & (F.col("truth") <= F.col("hi")))
+        F.count("*").alias("n"), F.sum(F.col(correct).cast("long")).alias("k"))
+    post = posterior(per_draw, priors=(("uniform", 1.0, 1.0),))
+    ends = credible_interval(post, ["seed"], level)
+    return per_draw.join(ends, "seed").withColumn("truth", truth).withColumn(
+        "covers", (F.col("lo") <= F.col("truth")) & (F.col("truth") <= F.col("hi")))
 
 
 def width_table(run_means: DataFrame, condition: str, value: str, low_rank, high_rank) -> DataFrame:

@@ -11,28 +11,29 @@ from pyspark.ml.linalg import Vectors
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.functions import unwrap_udt
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from gaugeline.functions.text import ngrams_upto, word_tokens
 from gaugeline.operators.textvec import document_frequency, term_counts, vocabulary, with_idf
 
 
-def tfidf_vectors(train: DataFrame, key: str, text: str, max_features=20000, n_max=2, min_df=2):
+def tfidf_vectors(train: DataFrame, key: str, text: str, max_features=20000, n_max=2, min_df=2, tokens=word_tokens, order="total"):
     """Fit vocabulary and smoothed idf + 1; returns a function frame -> features.
 
-    The vocabulary is the ``max_features`` terms of highest total count; that
-    capped list is all that reaches the driver.
+    The vocabulary is the ``max_features`` terms of highest total count (or document
+    frequency, ``order="df"``); that capped list is all that reaches the driver.
     """
     n = train.agg(F.count("*")).scalar()
-    stats = document_frequency(term_counts(train, key, text, word_tokens, n_max))
-    vocab = with_idf(vocabulary(stats, max_features, min_df, order="total"), n)
+    stats = document_frequency(term_counts(train, key, text, tokens, n_max))
+    vocab = with_idf(vocabulary(stats, max_features, min_df, order=order), n)
     terms = vocab.select("term", "idf").collect()
     cv = CountVectorizerModel.from_vocabulary([t["term"] for t in terms], "__terms", "__tf")
     scale = ElementwiseProduct(scalingVec=Vectors.dense([t["idf"] for t in terms]), inputCol="__tf", outputCol="__w")
     unit = Normalizer(inputCol="__w", outputCol="features", p=2.0)
 
     def features(df):
-        words = df.withColumn("__t", word_tokens(F.col(text)))
+        words = df.withColumn("__t", tokens(F.col(text)))
         grams = words.withColumn("__terms", ngrams_upto(F.col("__t"), n_max) if n_max > 1 else F.col("__t"))
         return unit.transform(scale.transform(cv.transform(grams))).drop("__t", "__terms", "__tf", "__w")
 
@@ -46,7 +47,7 @@ class TextClassifier:
     the penalty is 1 / (C * total weight), without feature standardisation.
     """
 
-    def __init__(self, classes, C=2.0, max_features=20000, n_max=2, min_df=2, max_iter=100):
+    def __init__(self, classes, C=2.0, max_features=20000, n_max=2, min_df=2, max_iter=1000):
         self.classes, self.C, self.max_iter = list(classes), C, max_iter
         self.spec = dict(max_features=max_features, n_max=n_max, min_df=min_df)
 
@@ -61,9 +62,12 @@ class TextClassifier:
             target = (F.col(label) == c).cast("double")
             weight = F.when(F.col(label) == c, n / (2.0 * max(pos, 1))).otherwise(n / (2.0 * max(n - pos, 1)))
             problem = rows.select("features", target.alias("label"), weight.alias("weight"))
-            return LogisticRegression(
+            model = LogisticRegression(
                 maxIter=self.max_iter, tol=1e-4, regParam=1.0 / (self.C * n), standardization=False,
                 weightCol="weight").fit(problem)
+            if model.summary.totalIterations >= self.max_iter:
+                raise RuntimeError(f"the fit for {c!r} has not converged after {self.max_iter} iterations")
+            return model
 
         with ThreadPoolExecutor(len(self.classes)) as pool:  # the fits are independent Spark jobs
             self.models = dict(zip(self.classes, pool.map(one, self.classes)))
@@ -84,7 +88,7 @@ class TextClassifier:
 
 
 def latent_space(vectors: DataFrame, key: str, features: str, k: int) -> DataFrame:
-    """Rows of U*S of a truncated SVD, scaled to length 1, as arrays.
+    """Rows of U*S of a truncated SVD with k = min(k, n - 1, v - 1), scaled to length 1, as arrays.
 
     One pass adds up the Gram matrix of the terms (vocabulary x vocabulary, so
     bounded by the vocabulary cap); its leading eigenvectors are the right
@@ -93,18 +97,22 @@ def latent_space(vectors: DataFrame, key: str, features: str, k: int) -> DataFra
     """
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.select(features), features))
     gram = matrix.computeGramianMatrix().toArray()
-    k = min(k, len(gram) - 1)
+    k = max(1, min(k, matrix.numRows() - 1, len(gram) - 1))
     _, basis = np.linalg.eigh(gram)  # ascending order
     basis = basis[:, ::-1][:, :k].copy()
 
     def project(batches):
         for pdf in batches:
-            out = []
-            for ids, values in zip(pdf["ids"], pdf["vals"]):
-                p = values @ basis[ids] if len(ids) else np.zeros(basis.shape[1])
-                size = np.linalg.norm(p)
-                out.append(p / size if size > 0 else p)
-            yield pd.DataFrame({key: pdf[key], "embedding": out})
+            sizes = pdf["ids"].map(len).to_numpy()
+            out = np.zeros((len(pdf), basis.shape[1]))
+            has = np.flatnonzero(sizes)
+            if len(has):  # one sparse product for the whole batch
+                ids, values = np.concatenate(pdf["ids"].to_numpy()).astype(int), np.concatenate(pdf["vals"].to_numpy())
+                starts = (np.cumsum(sizes) - sizes)[has]
+                for at in range(0, basis.shape[1], 16):
+                    out[has, at:at + 16] = np.add.reduceat(basis[ids, at:at + 16] * values[:, None], starts)
+            size = np.linalg.norm(out, axis=1, keepdims=True)
+            yield pd.DataFrame({key: pdf[key], "embedding": list(out / np.where(size > 0, size, 1))})
 
     parts = sparse_parts(vectors, key, features)
     schema = StructType([vectors.schema[key], StructField("embedding", ArrayType(DoubleType()))])
@@ -112,16 +120,16 @@ def latent_space(vectors: DataFrame, key: str, features: str, k: int) -> DataFra
 
 
 def sparse_parts(vectors: DataFrame, key: str, features: str) -> DataFrame:
-    """(key, ids, vals): the non-zero entries of a vector column."""
-    dense = vectors.withColumn("__a", vector_to_array(features))
-    hot = F.filter(F.transform("__a", lambda v, i: F.struct(i.alias("i"), v.alias("v"))), lambda x: x["v"] != 0)
-    return dense.select(key, hot.alias("h")).select(
-        key, F.col("h.i").alias("ids"), F.col("h.v").alias("vals"))
+    """(key, ids, vals): the entries of a sparse vector column, as it stores them."""
+    raw = vectors.select(key, unwrap_udt(features).alias("__v"))
+    return raw.select(key, F.col("__v.indices").alias("ids"), F.col("__v.values").alias("vals"))
 
 
 def flat_map(df: DataFrame, key: str, embedding: str) -> DataFrame:
-    """First two principal components of an embedding array."""
+    """First two principal components of an embedding array; the largest loading of a component is positive."""
     rows = df.withColumn("__v", array_to_vector(F.transform(embedding, lambda x: x.cast("double"))))
     model = PCA(k=2, inputCol="__v", outputCol="__p").fit(rows)
+    loadings = model.pc.toArray()
+    sign = np.sign(loadings[np.argmax(np.abs(loadings), axis=0), range(2)])
     xy = vector_to_array("__p")
-    return model.transform(rows).withColumns({"x": xy[0], "y": xy[1]}).drop("__v", "__p")
+    return model.transform(rows).withColumns({"x": xy[0] * float(sign[0]), "y": xy[1] * float(sign[1])}).drop("__v", "__p")

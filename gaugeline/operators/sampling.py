@@ -123,27 +123,86 @@ def quota_sample(df: DataFrame, key: str, stratum: str, quotas: dict, salt) -> D
         "__rank", "__have", "__h", "__n", "__quota")
 
 
+def draw_replace(df: DataFrame, key: str, n: int, seeds, salt="replace") -> DataFrame:
+    """``n`` rows with replacement per seed, as (seed, copies) beside each row drawn.
+
+    Rows are numbered in the order of their hash, in two steps: 4096 hash ranges are counted, then a row is ranked
+    inside its range.  Draw j of a seed is the row at floor(u * N); only ranges that are hit are ranked.
+    """
+    digest = key_hash(F.col(key), salt)
+    hashed = df.withColumn("__h", digest).withColumn("__cell", F.substring("__h", 1, 3))
+    cells = hashed.groupBy("__cell").agg(F.count("*").alias("__c"))
+    upto = F.sum("__c").over(Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0))
+    cells = cells.select("__cell", (upto - F.col("__c")).alias("from"), upto.alias("to"))  # at most 4096 rows, one array
+    ranges = cells.agg(F.array_sort(F.collect_list(F.struct("from", "to", F.col("__cell").alias("cell")))).alias("__ranges"))
+    total = df.agg(F.count("*")).scalar()
+    picks = with_grid(df.sparkSession.range(n).withColumnRenamed("id", "__j"), "seed", list(seeds))
+    at = F.floor(uniform(F.concat_ws(":", F.lit("pick"), "seed", "__j"), salt) * total)
+    picks = picks.groupBy("seed", at.alias("__at")).agg(F.count("*").cast("int").alias("copies"))
+    picks = side_by_side(picks, ranges)
+    hit = F.filter("__ranges", lambda r: (r["from"] <= F.col("__at")) & (F.col("__at") < r["to"]))
+    placed = picks.withColumn("__hit", F.get(hit, F.lit(0))).where("__hit IS NOT NULL")
+    wanted = placed.select("seed", "copies", F.col("__hit.cell").alias("__cell"), (F.col("__at") - F.col("__hit.from") + 1).alias("__rank"))
+    inside = hashed.join(wanted.select("__cell").distinct(), "__cell", "left_semi")
+    rank = F.row_number().over(Window.partitionBy("__cell").orderBy("__h", key))
+    return inside.withColumn("__rank", rank).join(wanted, ["__cell", "__rank"]).drop("__cell", "__rank", "__h")
+
+
+def _skews(df: DataFrame, label: str, skews):
+    """Class counts and, per skew, the weight of every class: 1 for the majority, max(0.001, 1 - skew) for the others."""
+    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
+    top = min(counts, key=lambda c: (-counts[c], c)) if counts else None
+    weights = {float(s): {c: 1.0 if c == top else max(1e-3, 1 - s) for c in counts} for s in skews}
+    return counts, top, weights
+
+
+def _skew_uniform(key: str, salt, skew: float) -> Column:
+    return uniform(F.col(key), F.lit(f"{salt}:{round(skew * 100)}"))
+
+
+def _by_class(label: str, values: dict) -> Column:
+    out = F.lit(0.0)
+    for c, v in values.items():
+        out = F.when(F.col(label) == c, float(v)).otherwise(out)
+    return out
+
+
 def skewed_copies(df: DataFrame, key: str, label: str, n: int, skews, salt) -> DataFrame:
-    """Weighted draw with replacement for each skew, as copies per row.
+    """Weighted draw of exactly ``n`` with replacement for each skew, as copies per row.
 
-    Weight 1 for the majority class, max(0.001, 1 - skew) for the others.  A row
-    expected n*w/W times is copied floor(n*w/W) times, plus once more with the
-    left-over probability.  Returns the rows drawn with ``skew``, ``copies`` and
-    the majority class ``top``, so no row is physically repeated.
+    A row expected e = n * w / W times is copied floor(e) times; the left-over places go one each to the rows that come
+    first in a Pareto order of the fractions, so the sizes are exact.  Returns the rows drawn with ``skew``, ``copies`` and
+    the majority class ``top``; no row is physically repeated.
+    """
+    counts, top, weights = _skews(df, label, skews)
+    out = None
+    for skew, w in weights.items():
+        total = sum(counts[c] * w[c] for c in counts)
+        want = {c: n * w[c] / total for c in counts}
+        left = n - sum(counts[c] * int(want[c]) for c in counts)
+        rows = df.withColumns({"skew": F.lit(skew), "top": F.lit(top)})
+        whole = rows.withColumn("copies", _by_class(label, {c: int(v) for c, v in want.items()}).cast("int")).where("copies > 0")
+        part, u = _by_class(label, {c: v - int(v) for c, v in want.items()}), _skew_uniform(key, salt, skew)
+        more = rows.where(part > 0).orderBy(u * (1 - part) / (part * (1 - u)), key).limit(left).withColumn("copies", F.lit(1))
+        drawn = whole.unionByName(more)
+        out = drawn if out is None else out.unionByName(drawn)
+    names = [c for c in out.columns if c != "copies"]
+    return out.groupBy(*names).agg(F.sum("copies").alias("copies"))
+
+
+def skewed_draw(df: DataFrame, key: str, label: str, n: int, skews, salt) -> DataFrame:
+    """Weighted draw of exactly ``n`` rows without replacement for each skew (the whole table if it is smaller).
+
+    The rows of least -ln(u) / w: successive draws with probabilities in proportion to w.
     """
-    counts = df.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
-    stats = side_by_side(df, counts.agg(
-        F.min_by("class", F.struct(-F.col("n"), F.col("class"))).alias("top"),
-        F.max("n").alias("__top_n"), F.sum("n").alias("__all")))
-    grid = with_grid(stats, "skew", [float(s) for s in skews])
-    light = F.greatest(F.lit(1e-3), 1 - F.col("skew"))
-    weight = F.when(F.col(label) == F.col("top"), 1.0).otherwise(light)
-    total = F.col("__top_n") + (F.col("__all") - F.col("__top_n")) * light
-    want = F.lit(float(n)) * weight / total
-    salted = F.concat(F.lit(f"{salt}:"), F.round(F.col("skew") * 100).cast("int").cast("string"))
-    extra = (uniform(F.col(key), salted) < want - F.floor(want)).cast("int")
-    drawn = grid.withColumn("copies", F.floor(want) + extra).where("copies > 0")
-    return drawn.drop("__top_n", "__all")
+    _, top, weights = _skews(df, label, skews)
+    out = None
+    for skew, w in weights.items():
+        rows = df.withColumns({"skew": F.lit(skew), "top": F.lit(top)})
+        order = -F.ln(1 - _skew_uniform(key, salt, skew)) / _by_class(label, w)
+        drawn = rows.orderBy(order, key).limit(n)
+        out = drawn if out is None else out.unionByName(drawn)
+    return out
 
 
 def batches(df: DataFrame, key: str, size: int, rows_per_bucket: int = 10000) -> DataFrame:

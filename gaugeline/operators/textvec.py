@@ -1,43 +1,49 @@
 """Vocabulary, TF-IDF, linear scoring, nearest example, 2-D maps.
 
-Sparse vectors are rows (key, term, weight).  The raw text is shuffled once, by
-document key; term counts, norms and per-document rankings then reuse that
-partitioning.
+Sparse vectors are rows (key, term, weight).  Terms are counted inside the row of
+their document, so raw text is never shuffled; only counts and weights are.
 """
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from gaugeline.functions.frames import pinned
 from gaugeline.functions.text import masked_tokens, ngrams_upto
 
 
 def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_max: int = 1) -> DataFrame:
-    """(key, term, tf), partitioned by the document key; terms are 1..n_max-grams."""
-    placed = docs.select(key, text).repartition(key)
-    if n_max == 1:
-        terms = tokens(F.col(text))
-    else:
-        placed = placed.select(key, tokens(F.col(text)).alias("__t"))
-        terms = ngrams_upto(F.col("__t"), n_max)
-    rows = placed.select(key, F.explode(terms).alias("term"))
-    return rows.groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf) per row of ``docs``; terms are 1..n_max-grams, the key is unique.
+
+    The sorted terms of a row fall into runs of equal ones; a run's length is the count.
+    """
+    rows = pinned(docs.select(key, text), {"__t": tokens(F.col(text))}).select(key, "__t")
+    terms = F.col("__t") if n_max == 1 else ngrams_upto(F.col("__t"), n_max)
+    rows = pinned(rows, {"__s": F.array_sort(terms)}).select(key, "__s").where(F.size("__s") > 0)
+    at = F.sequence(F.lit(0), F.size("__s") - 1)
+    starts = F.filter(at, lambda i: (i == 0) | (F.get("__s", i) != F.get("__s", i - 1)))
+    rows = pinned(rows, {"__i": starts})
+    runs = F.transform("__i", lambda i, j: F.struct(
+        F.get("__s", i).alias("term"), (F.coalesce(F.get("__i", j + 1), F.size("__s")) - i).cast("long").alias("tf")))
+    return rows.select(key, F.inline(runs))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
 
 
-def vocabulary(df_table: DataFrame, size: int = 3000, min_df: int = 2, order="df") -> DataFrame:
-    """Most frequent terms, ties by term; at most ``size`` rows."""
-    return df_table.where(F.col("df") >= min_df).orderBy(F.desc(order), "term").limit(size)
+def vocabulary(df_table: DataFrame, size: int | None = 3000, min_df: int = 2, order="df") -> DataFrame:
+    """Most frequent terms, ties by term; at most ``size`` rows, all terms with None."""
+    known = df_table.where(F.col("df") >= min_df)
+    return known if size is None else known.orderBy(F.desc(order), "term").limit(size)
 
 
 def with_idf(vocab: DataFrame, n_docs: Column) -> DataFrame:
     return vocab.withColumn("idf", F.ln((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0)
 
 
-def raw_weights(counts: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """tf * idf. The vocabulary is capped by construction, so it is broadcast."""
-    return counts.join(F.broadcast(idf.select("term", "idf")), "term").select(
+def raw_weights(counts: DataFrame, idf: DataFrame, key: str, capped: bool = False) -> DataFrame:
+    """tf * idf.  ``capped`` says that the vocabulary has a fixed cap, so it may be broadcast; else Spark decides by size."""
+    idf = idf.select("term", "idf")
+    return counts.join(F.broadcast(idf) if capped else idf, "term").select(
         key, "term", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
@@ -69,7 +75,7 @@ def log_odds_model(counts: DataFrame, labels: DataFrame, key: str, label: str, c
     size = F.struct(F.count("*").alias("all"), *[F.count_if(F.col(label) == c).alias(c) for c in classes])
     total = labels.agg(size).scalar()  # one subquery for all class sizes
     n_all, sizes = total["all"], {c: total[c] for c in classes}
-    rows = counts.join(F.broadcast(vocab.select("term")), "term").join(labels, key)
+    rows = counts.join(vocab.select("term"), "term").join(labels, key)
     seen = rows.groupBy("term").agg(
         F.count("*").alias("df"), *[F.count_if(F.col(label) == c).alias(f"df_{c}") for c in classes])
     coefs = []
@@ -81,6 +87,21 @@ def log_odds_model(counts: DataFrame, labels: DataFrame, key: str, label: str, c
     return seen.select("term", *coefs), intercepts
 
 
+def read_linear_model(spark: SparkSession, path: str):
+    """An exported linear model: (term rows with idf and one coefficient per class, intercepts, classes).
+
+    The JSON file has ``classes``, ``vocab`` (term to position), ``idf``, ``coef`` (a row per class, in order of
+    the positions) and ``intercept``.
+    """
+    schema = ("classes array<string>, ngram_max int, vocab map<string,int>, idf array<double>, "
+              "coef array<array<double>>, intercept array<double>")
+    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+    head = raw.select("classes", "intercept").first()
+    terms = raw.select("idf", "coef", F.explode("vocab").alias("term", "i"))
+    coefs = [F.get(F.get("coef", F.lit(c)), F.col("i")).alias(f"coef_{name}") for c, name in enumerate(head.classes)]
+    return terms.select("term", F.get("idf", F.col("i")).alias("idf"), *coefs), dict(zip(head.classes, map(F.lit, head.intercept))), head.classes
+
+
 def linear_scores(weights: DataFrame, model: DataFrame, intercepts: dict, key: str, classes,
                   items: DataFrame) -> DataFrame:
     """Dot product per class plus intercept and the winning class.
@@ -88,7 +109,7 @@ def linear_scores(weights: DataFrame, model: DataFrame, intercepts: dict, key: s
     All classes are scored in one row, so the join does not multiply rows; an
     item without known terms keeps the intercepts.  Ties go to the first class.
     """
-    hits = weights.join(F.broadcast(model), "term").groupBy(key).agg(
+    hits = weights.join(model, "term").groupBy(key).agg(
         *[F.sum(F.col("weight") * F.col(f"coef_{c}")).alias(f"dot_{c}") for c in classes])
     rows = items.join(hits, key, "left")
     scores = {c: F.coalesce(F.col(f"dot_{c}"), F.lit(0.0)) + intercepts[c] for c in classes}
@@ -106,38 +127,42 @@ def nearest_example(queries: DataFrame, examples: DataFrame, q: str, e: str, k:
                     floor: float = 1e-9) -> DataFrame:
     """Top-k examples by cosine, exact, without pairing through common terms.
 
-    Both inputs are L2-normalised rows (key, term, weight).  With b_t the largest
-    weight of term t among the examples, q_t * b_t is the most t can add to any
-    cosine.  The k-th largest q_t * b_t over terms whose best examples differ is
-    a score that k examples reach, so it bounds the answer from below.  The
-    commonest terms of a query whose summed bounds stay under that value cannot
-    lift an example into the answer alone, so only the other terms are used to
-    find candidates.  Candidates are then scored over all terms.
+    Both inputs are L2-normalised rows (key, term, weight).  First the examples met through each query's
+    rarest terms are scored in full; the k-th of these cosines bounds the answer from below.  With b_t the
+    largest weight of term t among the examples, q_t * b_t is the most t can add to any cosine, so terms whose summed bounds
+    stay under that line cannot lift an example into the answer alone.  The commonest for their
+    bound are skipped; the others find the remaining candidates, which are then scored in full.
     """
-    seek = candidate_terms(queries, examples, q, e, k)
-    found = seek.join(examples.select(e, "term"), "term").select(q, e).distinct()
-    pairs = found.join(queries, q).join(
-        examples.withColumnRenamed("weight", "__ew"), [e, "term"])
-    sims = pairs.groupBy(q, e).agg(F.sum(F.col("weight") * F.col("__ew")).alias("similarity"))
-    sims = sims.where(F.col("similarity") > floor)
+    met, seek = candidates(queries, examples, q, e, k)
+    found = seek.join(examples.select(e, "term"), "term").select(q, e).distinct().join(met.select(q, e), [q, e], "left_anti")
+    sims = met.unionByName(full_scores(found, queries, examples, q, e)).where(F.col("similarity") > floor)
     rank = F.row_number().over(Window.partitionBy(q).orderBy(F.desc(F.round("similarity", 9)), e))
     return sims.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def candidate_terms(queries: DataFrame, examples: DataFrame, q: str, e: str, k: int) -> DataFrame:
-    """(query, term) rows that must be looked up to find every possible answer."""
-    per_term = examples.groupBy("term").agg(
-        F.count("*").alias("__df"), F.max("weight").alias("__b"),
-        F.max_by(e, "weight").alias("__best"))
+def full_scores(pairs: DataFrame, queries: DataFrame, examples: DataFrame, q: str, e: str) -> DataFrame:
+    """Cosine of given (query, example) pairs over all shared terms."""
+    rows = pairs.join(queries, q).join(examples.withColumnRenamed("weight", "__ew"), [e, "term"])
+    return rows.groupBy(q, e).agg(F.sum(F.col("weight") * F.col("__ew")).alias("similarity"))
+
+
+def candidates(queries: DataFrame, examples: DataFrame, q: str, e: str, k: int):
+    """(scored pairs met through rare terms, (query, term) rows that must still be looked up)."""
+    per_term = examples.groupBy("term").agg(F.count("*").alias("__df"), F.max("weight").alias("__b"))
     bounds = queries.join(per_term, "term").withColumn("__ub", F.col("weight") * F.col("__b"))
-    # Lower bound: best single-term score of k different examples.
-    single = bounds.groupBy(q, "__best").agg(F.max("__ub").alias("__s"))
-    kth = single.groupBy(q).agg(F.sort_array(F.collect_list("__s"), asc=False).alias("__all"))
+    mine = Window.partitionBy(q)  # the terms of one query
+    before = Window.unboundedPreceding
+    rare = mine.orderBy("__df", "term").rowsBetween(before, -1)
+    # a term adds its bound per example it costs: skip the cheapest bounds per cost first
+    common = mine.orderBy(F.col("__ub") / F.col("__df"), "term").rowsBetween(before, 0)
+    bounds = bounds.withColumns({
+        "__seed": F.coalesce(F.sum("__df").over(rare), F.lit(0)) < 4 * k, "__spent": F.sum("__ub").over(common)})
+    pairs = bounds.where("__seed").join(examples.select(e, "term"), "term").select(q, e).distinct()
+    met = full_scores(pairs, queries, examples, q, e)
+    kth = met.groupBy(q).agg(F.sort_array(F.collect_list("similarity"), asc=False).alias("__all"))  # a few times k each
     kth = kth.select(q, F.coalesce(F.get("__all", F.lit(k - 1)), F.lit(0.0)).alias("__low"))
-    # Commonest terms first; a term may be skipped while the bounds so far stay under the line.
-    order = Window.partitionBy(q).orderBy(F.desc("__df"), "term").rowsBetween(Window.unboundedPreceding, 0)
-    spent = bounds.withColumn("__spent", F.sum("__ub").over(order))
-    return spent.join(kth, q).where(F.col("__spent") >= F.col("__low") - 1e-8).select(q, "term")
+    seek = bounds.where("NOT __seed").join(kth, q).where(F.col("__spent") >= F.col("__low") - 1e-8).select(q, "term")
+    return met, seek
 
 
 def class_centres(vectors: DataFrame, label: str, embedding: str, dim: int) -> DataFrame:

@@ -19,7 +19,7 @@ def csv_scan(spark, d):
     """Turns with line breaks and quotes written as CSV and scanned back."""
     turns = table(spark, d, "conversations")
     path = src.write(turns, src.scratch(spark, "csv"), "csv")
-    return src.read_csv(spark, path, turns.schema).select("conv_id", "turn", "role", F.md5("text").alias("digest"))
+    return src.read_csv(spark, path, turns.schema, multiline=True).select("conv_id", "turn", "role", F.md5("text").alias("digest"))
 
 
 @query("SELECT doc_id, lang AS dataset, quality, toxic FROM labels JOIN documents USING (doc_id)")
@@ -91,7 +91,7 @@ def category_filter(spark, d):
 @query(r"""SELECT doc_id, words::INT AS words FROM (SELECT doc_id, len(regexp_extract_all(text, '\S+')) AS words FROM documents WHERE text IS NOT NULL)
            WHERE words BETWEEN 50 AND 2000""")
 def doc_word_filter(spark, d):
-    docs = src.spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id").where("text IS NOT NULL")
+    docs = table(spark, d, "documents").select("doc_id", "text").where("text IS NOT NULL")
     counted = pinned(docs, {"words": tx.word_count(F.col("text"))})
     return counted.where("words BETWEEN 50 AND 2000").select("doc_id", "words")
 
@@ -156,8 +156,7 @@ def judge_reply_ingest(spark, d):
            .when(kind == 2, "7 out of 5").when(kind == 3, "no idea").when(kind == 4, "")
            .otherwise(F.lit(" 5\nbecause it is right, 2 reasons")))
     rows = table(spark, d, "events").select(F.col("event_type").alias("judge"), parse_reply(raw, "scale_1_5").alias("score"))
-    rates = ing.reject_rate(rows, ["judge"], "score")
-    return rates.join(rows.groupBy("judge").agg(F.avg("score").alias("mean_score")), "judge")
+    return ing.reject_rate(rows, ["judge"], "score", F.avg("score").alias("mean_score"))
 
 
 @query(with_views(CARDS, """
@@ -225,8 +224,12 @@ def host_health_scan(spark, d):
         F.count_if(F.col("s") >= 0.8 + 1e-9).alias("alerts"), F.avg("s").alias("mean_score"), F.max("s").alias("max_score"))
 
 
-@query("""SELECT count(*) AS keys, count(*) AS close, 0::BIGINT AS one_sided FROM
-          (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)""")
+@query("""
+WITH k AS (SELECT l_orderkey, l_linenumber, max(sqrt(l_discount * 10 * (l_discount * 10) + l_tax * 10 * (l_tax * 10))) AS a,
+    max(greatest(l_discount, l_tax) * 10 * sqrt(1 + pow(least(l_discount, l_tax) / nullif(greatest(l_discount, l_tax), 0), 2))) AS m FROM lineitem GROUP BY ALL),
+d AS (SELECT a, coalesce(m, 0) AS b FROM k)
+SELECT count(*) AS keys, count(*) FILTER (abs(a - b) <= greatest(1e-9 * greatest(abs(a), abs(b)), 1e-12)) AS close,
+  count(*) FILTER ((a IS NULL) <> (b IS NULL)) AS one_sided FROM d""")
 def golden_diff(spark, d):
     """Two ways to compute the same score, compared by key with a tolerance."""
     a, b = F.col("l_discount") * 10, F.col("l_tax") * 10

@@ -173,11 +173,15 @@ ac AS (SELECT cut, avg(ok) FILTER (split = 'dev') AS dev, avg(ok) FILTER (split
 
 
 def variant_accuracy(spark, d):
-    """Twenty length rules, scored on a dev and a sealed half."""
-    q = quality_eval(spark, d).select("doc_id", "n_chars", "y_true")
+    """Twenty length rules, scored on a dev and a sealed half.
+
+    Rows are counted per (length up to the last cut, truth, half) before the rules multiply them.
+    """
+    q = quality_eval(spark, d).select("doc_id", F.least("n_chars", F.lit(CUTS[-1])).alias("n_chars"), "y_true")
     q = q.withColumn("split", F.when(uniform(F.col("doc_id"), "lucky") < 0.5, "dev").otherwise("test"))
+    q = q.groupBy("n_chars", "y_true", "split").agg(F.count("*").alias("n"))
     right = (F.col("n_chars") >= F.col("cut")).cast("int") == F.col("y_true")
-    return co.split_accuracy(with_grid(q, "cut", CUTS), "cut", "split", right, ["dev", "test"])
+    return co.split_accuracy(with_grid(q, "cut", CUTS), "cut", "split", right, ["dev", "test"], F.col("n"))
 
 
 @query(with_views(QUALITY_EVAL, VARIANTS, """
@@ -238,6 +242,32 @@ def scorecard_means(spark, d):
     return rp.means(rows, ["accuracy", "completeness", "fluency", "overall"])
 
 
+COMPARE = """
+v_sys AS (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'A' ELSE 'B' END AS system, accuracy, completeness, fluency,
+    least(5e0, greatest(1e0, round_even((45e-2 * accuracy + 45e-2 * completeness + 1e-1 * fluency) * 2, 0) / 2)) AS overall FROM v_cards),
+sm AS (SELECT system, avg(accuracy) AS accuracy, avg(completeness) AS completeness, avg(fluency) AS fluency, avg(overall) AS overall FROM v_sys GROUP BY 1),
+sl AS (SELECT system, metric, value FROM sm UNPIVOT (value FOR metric IN (accuracy, completeness, fluency, overall))),
+sw AS (SELECT metric, max(value) FILTER (system = 'A') AS a, max(value) FILTER (system = 'B') AS b FROM sl GROUP BY 1),
+sc AS (SELECT *, CASE WHEN b - a > 1e-2 THEN 'B' WHEN a - b > 1e-2 THEN 'A' ELSE 'tie' END AS winner FROM sw)"""
+
+
+def compared_cards(spark, d):
+    rows = cards(spark, d).withColumns({
+        "system": F.when(F.col("l_orderkey") % 2 == 0, "A").otherwise("B"), "overall": rp.overall()})
+    return co.scorecard_winners(rows, "system", ("A", "B"), ["accuracy", "completeness", "fluency", "overall"])
+
+
+@query(with_views(CARDS, COMPARE) + "SELECT metric, round(a, 6) AS mean_A, round(b, 6) AS mean_B, winner FROM sc")
+def scorecard_compare(spark, d):
+    """Mean of every scorecard metric per system; a lead of more than 0.01 wins."""
+    return compared_cards(spark, d)
+
+
+@query(with_views(CARDS, COMPARE) + "SELECT winner, count(*) AS wins FROM sc GROUP BY 1")
+def scorecard_wins(spark, d):
+    return co.wins(compared_cards(spark, d))
+
+
 SHIP_BOOT = boot_sql("v_ship", "event_id", "ok", "system", 1000, 2000, "ship")
 
 

@@ -168,8 +168,10 @@ _SKEW_U = u_sql("doc_id", "'skew:' || round(skew * 100)::INT::VARCHAR")
 top AS (SELECT y_true AS c FROM v_lang_eval GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
 g AS (SELECT v.*, skew, CASE WHEN y_true = (SELECT c FROM top) THEN 1e0 ELSE greatest(1e-3, 1 - skew) END AS w
   FROM v_lang_eval v, (VALUES (0e0), (3e-1), (6e-1), (9e-1)) k(skew)),
-x AS (SELECT *, 500 * w / sum(w) OVER (PARTITION BY skew) AS want FROM g),
-dr AS (SELECT *, floor(want)::BIGINT + CASE WHEN {_SKEW_U} < want - floor(want) THEN 1 ELSE 0 END AS copies FROM x),
+x AS (SELECT *, 500 * w / sum(w) OVER (PARTITION BY skew) AS want, {_SKEW_U} AS u FROM g),
+y AS (SELECT *, want - floor(want) AS f, 500 - sum(floor(want)) OVER (PARTITION BY skew) AS places FROM x),
+dr AS (SELECT *, floor(want)::BIGINT + CASE WHEN f > 0 AND row_number() OVER (PARTITION BY skew, f > 0 ORDER BY u * (1 - f) / (f * (1 - u)), doc_id) <= places
+  THEN 1 ELSE 0 END AS copies FROM y),
 m AS (SELECT skew, 'rules' AS model, y_true, coalesce(y_pred, '∅') AS y_pred, copies FROM dr WHERE copies > 0
   UNION ALL SELECT skew, 'majority', y_true, (SELECT c FROM top), copies FROM dr WHERE copies > 0),
 cf AS (SELECT skew, model, y_true, y_pred, sum(copies) AS n FROM m GROUP BY ALL)""", report_sql("cf", "skew,model")) + """
@@ -190,6 +192,35 @@ def skew_sweep(spark, d):
     return cl.summary(counts, by=["skew", "model"]).select("skew", "model", "n", "accuracy", "macro_recall")
 
 
+@query(f"""
+WITH top AS (SELECT lang AS c FROM documents GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+g AS (SELECT doc_id, lang, skew, CASE WHEN lang = (SELECT c FROM top) THEN 1e0 ELSE greatest(1e-3, 1 - skew) END AS w, {_SKEW_U} AS u
+  FROM documents, (VALUES (0e0), (3e-1), (6e-1), (9e-1)) k(skew)),
+r AS (SELECT *, row_number() OVER (PARTITION BY skew ORDER BY -ln(1 - u) / w, doc_id) AS i FROM g)
+SELECT skew, lang, count(*) AS n FROM r WHERE i <= 500 GROUP BY ALL""")
+def skew_draw(spark, d):
+    """Class counts of draws of exactly 500 without replacement, ever more lopsided."""
+    docs = table(spark, d, "documents").select("doc_id", "lang")
+    return sp.skewed_draw(docs, "doc_id", "lang", 500, SKEWS, "skew").groupBy("skew", "lang").agg(F.count("*").alias("n"))
+
+
+_PICK_U = u_sql("('pick:' || seed::VARCHAR || ':' || j::VARCHAR)", "'replace'")
+
+
+@query(with_views(LANG_EVAL, f"""
+nr AS (SELECT *, row_number() OVER (ORDER BY md5('replace:' || doc_id::VARCHAR), doc_id) - 1 AS pos FROM v_lang_eval),
+pk AS (SELECT seed, floor({_PICK_U} * (SELECT count(*) FROM documents)) AS pos FROM range(10) s(seed), range(150) k(j)),
+dr AS (SELECT seed, y_true, y_pred FROM pk JOIN nr USING (pos))""") + """
+SELECT seed::INT AS seed, count(*) AS n, round(avg(CASE WHEN y_true = y_pred THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM dr GROUP BY 1""")
+def resample_replace(spark, d):
+    """Accuracy of ten draws of 150 with replacement; only drawn documents are predicted."""
+    ids = table(spark, d, "documents").select("doc_id")
+    draws = stored(sp.draw_replace(ids, "doc_id", 150, range(10)), "draws")
+    rows = draws.join(lang_eval_of(spark, d, draws), "doc_id")
+    right = F.col("y_true") == F.col("y_pred")
+    return rows.groupBy("seed").agg(F.sum("copies").alias("n"), (F.sum(F.when(right, F.col("copies")).otherwise(0)) / F.sum("copies")).alias("accuracy"))
+
+
 @query(with_views(QUALITY_EVAL, """
 rk AS (SELECT k.n, s.seed, v.y_true, row_number() OVER (PARTITION BY k.n, s.seed
     ORDER BY md5(s.seed::VARCHAR || ':' || doc_id::VARCHAR)) AS i

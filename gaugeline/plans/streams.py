@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 from gaugeline.functions.scores import half_step_score
 from gaugeline.plans.registry import query
 from gaugeline.plans.views import QUALITY_EVAL, SCORES, quality_eval, with_views
-from gaugeline.sources.tables import scratch
+from gaugeline.sources.tables import scratch, stored
 from gaugeline.streaming import monitors as mo
 
 # Windows of 7 days start on Thursdays, like day 0 of the Unix epoch.
 WINDOWS = """
 wd AS (SELECT metric, score, floor(epoch(ts) / 604800) * 604800 AS w FROM v_scores),
-wm AS (SELECT metric, w, count(*) AS n, avg(score) AS mean FROM wd GROUP BY ALL),
-cl AS (SELECT * FROM wm WHERE w + 604800 <= (SELECT epoch(max(ts)) - 86400 FROM v_scores))"""
+wm AS (SELECT metric, w, count(*) AS n, avg(score) AS mean,
+    w + 604800 <= (SELECT epoch(max(ts)) - 86400 FROM v_scores) AS closed FROM wd GROUP BY ALL)"""
 _START = "strftime(make_timestamp((w * 1000000)::BIGINT), '%Y-%m-%d')"
 
 
@@ -26,41 +26,42 @@ def _date(c):
     return F.date_format(c, "yyyy-MM-dd").alias(c)
 
 
-@query(with_views(SCORES, WINDOWS) + f"SELECT {_START} AS window_start, metric, n, round(mean, 6) AS mean FROM cl")
-def stream_drift(spark, d):
-    """Weekly means per metric, emitted once a window can no longer change."""
-    out = scratch(spark, "drift")
+def weekly_means(spark, d, label):
+    """All windows after catching up, the ones still open included."""
+    out = scratch(spark, label)
     means = mo.windowed_means(score_stream(spark, d), "metric", "score")
-    mo.run_to_files(means, f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/data").select(_date("window_start"), "metric", "n", "mean")
+    mo.run_updates(means, f"{out}/data", f"{out}/checkpoint", ["window_start", "window_end", "metric"]).awaitTermination()
+    return mo.mark_closed(mo.latest_updates(spark, f"{out}/data"), "1 DAY")
+
+
+@query(with_views(SCORES, WINDOWS) + f"SELECT {_START} AS window_start, metric, n, round(mean, 6) AS mean, closed FROM wm")
+def stream_drift(spark, d):
+    """Weekly means per metric, with the windows that can no longer change marked closed."""
+    return weekly_means(spark, d, "drift").select(_date("window_start"), "metric", "n", "mean", "closed")
 
 
 @query(with_views(SCORES, WINDOWS) + f"""
-SELECT metric, {_START.replace('(w ', '(min(w) ')} AS first_alert FROM cl WHERE mean < 1 + 95e-2 GROUP BY metric""")
+SELECT metric, {_START.replace('(w ', '(min(w) ')} AS first_alert FROM wm WHERE closed AND mean < 1 + 95e-2 GROUP BY metric""")
 def stream_first_alert(spark, d):
-    out = scratch(spark, "alert")
-    means = mo.windowed_means(score_stream(spark, d), "metric", "score")
-    mo.run_first_alerts(means, F.col("mean") < 1.95, f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/data").select("metric", _date("first_alert"))
+    return mo.first_alerts(weekly_means(spark, d, "alert"), F.col("mean") < 1.95).select("metric", _date("first_alert"))
 
 
 @query(with_views(QUALITY_EVAL) + """
 SELECT y_true::VARCHAR AS y_true, pred_A::VARCHAR AS y_pred, count(*) AS n FROM v_quality_eval GROUP BY ALL""")
 def stream_confusion(spark, d):
-    """Confusion counts kept up to date while labels arrive."""
+    """Confusion counts kept up to date while labels arrive; the predictions are stored once for all batches."""
     out = scratch(spark, "confusion")
     labels = mo.stream_table(spark, d, "labels").select("doc_id", F.col("quality").alias("y_true"))
-    preds = quality_eval(spark, d).select("doc_id", F.col("pred_A").alias("y_pred"))
+    preds = stored(quality_eval(spark, d).select("doc_id", F.col("pred_A").alias("y_pred")), "predictions")
     counts = mo.running_confusion(labels, preds, "doc_id")
-    mo.run_updates(counts, f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return mo.latest_updates(spark, f"{out}/data", ["y_true", "y_pred"])
+    mo.run_updates(counts, f"{out}/data", f"{out}/checkpoint", ["y_true", "y_pred"]).awaitTermination()
+    return mo.latest_updates(spark, f"{out}/data")
 
 
 @query("SELECT DISTINCT user_id, event_type AS metric, strftime(ts, '%Y-%m-%d') AS day FROM events")
 def stream_dedup(spark, d):
-    """Repeated judgments of one item, judge and day count once."""
+    """Repeated judgments of one item, judge and day count once, whatever the order of the files."""
     out = scratch(spark, "dedup")
     rows = score_stream(spark, d).withColumn("day", F.date_format("event_time", "yyyy-MM-dd"))
-    once = mo.distinct_within(rows, ["user_id", "metric", "day"])
-    mo.run_to_files(once.select("user_id", "metric", "day"), f"{out}/data", f"{out}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{out}/data")
+    mo.run_distinct(rows, ["user_id", "metric", "day"], "day", f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("user_id", "metric", F.date_format("day", "yyyy-MM-dd").alias("day"))

@@ -5,20 +5,25 @@ from pyspark.sql import Window, functions as F
 from gaugeline.functions import text as tx
 from gaugeline.operators import classify as cl, leakage as lk, learned as ln, sampling as sp, textvec as tv
 from gaugeline.plans.registry import query, report_sql
-from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_views
-from gaugeline.sources.tables import spread, stored, table
+from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_recursive, with_views
+from gaugeline.sources.tables import stored, table
 
 _MASKED = r"regexp_extract_all(regexp_replace(lower({t}), '\{{\{{.*?\}}\}}', ' ', 'g'), '[a-z0-9]+')"
 
 
-def tf_sql(source, key, text, name="tf"):
+_WORDS = r"regexp_extract_all(lower({t}), '[\p{{L}}\p{{N}}_]{{2,}}')"
+
+
+def tf_sql(source, key, text, name="tf", tokens=_MASKED):
     return f"""
-{name} AS (SELECT {key}, term, count(*) AS tf FROM (SELECT {key}, unnest({_MASKED.format(t=text)}) AS term FROM {source}) GROUP BY ALL)"""
+{name} AS (SELECT {key}, term, count(*) AS tf FROM (SELECT {key}, unnest({tokens.format(t=text)}) AS term FROM {source}) GROUP BY ALL)"""
 
 
 def vocab_sql(size, n_docs, tf="tf"):
+    """``size`` terms at most, or all that two documents share."""
+    most = f"ORDER BY df DESC, term LIMIT {size}" if size else ""
     return f"""
-vb AS (SELECT term, count(*) AS df, sum(tf) AS total FROM {tf} GROUP BY 1 HAVING count(*) >= 2 ORDER BY df DESC, term LIMIT {size}),
+vb AS (SELECT term, count(*) AS df, sum(tf) AS total FROM {tf} GROUP BY 1 HAVING count(*) >= 2 {most}),
 idf AS (SELECT term, df, total, ln((1e0 + {n_docs}) / (1e0 + df)) + 1 AS idf FROM vb)"""
 
 
@@ -48,17 +53,26 @@ r AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS we
 SELECT doc_id, rank::INT AS rank, term, round(weight, 6) AS weight FROM r WHERE rank <= 3""")
 def tfidf_topterms(spark, d):
     counts = doc_counts(spark, d)
-    return tv.top_terms(tv.raw_weights(counts, doc_idf(spark, d, counts), "doc_id"), "doc_id", 3)
+    return tv.top_terms(tv.raw_weights(counts, doc_idf(spark, d, counts), "doc_id", capped=True), "doc_id", 3)
+
+
+@query(with_views(DOC_TF, vocab_sql(3000, N_DOCS), """
+w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN idf USING (term))""") + """
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
+def tfidf_weights(spark, d):
+    """The whole normalised TF-IDF matrix as rows."""
+    counts = doc_counts(spark, d)
+    return tv.normalised(tv.raw_weights(counts, doc_idf(spark, d, counts), "doc_id", capped=True), "doc_id")
 
 
 @query(r"""
 WITH t AS (SELECT regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM conversations),
 g AS (SELECT unnest(t) AS gram FROM t UNION ALL SELECT unnest([t[i] || ' ' || t[i + 1] FOR i IN range(1, len(t))]) FROM t)
-SELECT gram, count(*) AS n FROM g GROUP BY 1 ORDER BY n DESC, gram LIMIT 200""")
+SELECT gram, count(*) AS n FROM g GROUP BY 1""")
 def ngram_counts(spark, d):
     tokens = table(spark, d, "conversations").select(tx.word_tokens(F.col("text")).alias("t"))
     grams = tokens.select(F.explode(tx.ngrams_upto(F.col("t"), 2)).alias("gram"))
-    return grams.groupBy("gram").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "gram").limit(200)
+    return grams.groupBy("gram").agg(F.count("*").alias("n"))
 
 
 def _coef(c):
@@ -79,12 +93,12 @@ _BEST = "greatest(" + ", ".join(f"s_{c}" for c in LANGS) + ")"
 _PICK = "CASE " + " ".join(f"WHEN s_{c} = {_BEST} THEN '{c}'" for c in LANGS) + " END"
 
 
-@query(with_views(DOC_TF, vocab_sql(200, N_DOCS), MODEL) + f"SELECT lang AS y_true, {_PICK} AS y_pred, count(*) AS n FROM sc GROUP BY ALL")
+@query(with_views(DOC_TF, vocab_sql(None, N_DOCS), MODEL) + f"SELECT lang AS y_true, {_PICK} AS y_pred, count(*) AS n FROM sc GROUP BY ALL")
 def linear_score(spark, d):
-    """Batch scoring with a stored linear model: log odds of the 200 commonest terms."""
+    """Batch scoring with a stored linear model: log odds of all terms that two documents share."""
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    counts = doc_counts(spark, d)
-    idf = doc_idf(spark, d, counts, 200)
+    counts = stored(doc_counts(spark, d), "counts")  # read for the vocabulary, the model and the weights
+    idf = doc_idf(spark, d, counts, None)
     model, intercepts = tv.log_odds_model(counts, docs, "doc_id", "lang", LANGS, idf)
     weights = tv.normalised(tv.raw_weights(counts, idf, "doc_id"), "doc_id")
     scored = tv.linear_scores(weights, model, intercepts, "doc_id", LANGS, docs)
@@ -93,8 +107,8 @@ def linear_score(spark, d):
 
 NEAREST = f"""
 qs AS (SELECT conv_id || ':' || turn AS query_id, text FROM conversations WHERE role = 'user'),""" + tf_sql(
-    "benchmark", "item_id", "text") + "," + tf_sql("qs", "query_id", "text", "qf") + "," + vocab_sql(
-    3000, "(SELECT count(*) FROM benchmark)") + """,
+    "benchmark", "item_id", "text", tokens=_WORDS) + "," + tf_sql("qs", "query_id", "text", "qf", _WORDS) + "," + vocab_sql(
+    None, "(SELECT count(*) FROM benchmark)") + """,
 ew AS (SELECT item_id, term, tf * idf AS w FROM tf JOIN idf USING (term)),
 en AS (SELECT item_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY item_id)) AS w FROM ew),
 qw AS (SELECT query_id, term, tf * idf AS w FROM qf JOIN idf USING (term)),
@@ -108,11 +122,11 @@ def nearest_frames(spark, d):
     items = table(spark, d, "benchmark").select("item_id", "text")
     asks = table(spark, d, "conversations").where("role = 'user'").select(
         F.concat_ws(":", "conv_id", "turn").alias("query_id"), "text")
-    ec = tv.term_counts(items, "item_id", "text")
+    ec = tv.term_counts(items, "item_id", "text", tx.word_tokens)
     n = items.agg(F.count("*")).scalar()
-    idf = tv.with_idf(tv.vocabulary(tv.document_frequency(ec)), n)
+    idf = tv.with_idf(tv.vocabulary(tv.document_frequency(ec), None), n)
     examples = tv.normalised(tv.raw_weights(ec, idf, "item_id"), "item_id")
-    queries = tv.normalised(tv.raw_weights(tv.term_counts(asks, "query_id", "text"), idf, "query_id"), "query_id")
+    queries = tv.normalised(tv.raw_weights(tv.term_counts(asks, "query_id", "text", tx.word_tokens), idf, "query_id"), "query_id")
     return stored(queries, "queries"), stored(examples, "examples")
 
 
@@ -145,24 +159,47 @@ def embedding_topk(spark, d):
     return rows.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
 
 
-BOX = """
-bx AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings),
+# Covariance, then the leading eigenvector by repeated squaring (the 2^18th power), again on what is left.
+_SQUARE = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / t))"
+_LEAD = """
+p{n}(k, m) AS (SELECT 0, m FROM {source} UNION ALL
+  SELECT k + 1, {square} FROM (SELECT k, m, list_sum(list_transform(m, lambda r: list_dot_product(r, r))) AS t FROM p{n}) WHERE k < 18),
+v{n} AS (SELECT list_transform(r, lambda x: x / sqrt(list_dot_product(r, r))) AS u FROM (SELECT list_reduce(m, lambda a, b:
+    CASE WHEN list_dot_product(a, a) >= list_dot_product(b, b) THEN a ELSE b END) AS r FROM p{n} WHERE k = 18)),
+e{n} AS (SELECT list_transform(u, lambda x: x * sign(list_reduce(u, lambda a, b: CASE WHEN abs(a) >= abs(b) THEN a ELSE b END))) AS u FROM v{n})"""
+PCA_SQL = """
+lg AS (SELECT vec_id, i, embedding[i]::DOUBLE AS x FROM embeddings, range(1, 65) r(i)),
+mu AS (SELECT i, avg(x) AS a, count(*) AS n FROM lg GROUP BY 1),
+ce AS (SELECT vec_id, lg.i, x - a AS x FROM lg JOIN mu USING (i)),
+cv AS (SELECT a.i, b.i AS j, sum(a.x * b.x) / ((SELECT max(n) FROM mu) - 1) AS c FROM ce a JOIN ce b USING (vec_id) GROUP BY ALL),
+rw AS (SELECT i, list(c ORDER BY j) AS r FROM cv GROUP BY 1),
+c1 AS (SELECT list(r ORDER BY i) AS m FROM rw),""" + _LEAD.format(n=1, source="c1", square=_SQUARE) + """,
+c2 AS (SELECT list_transform(m, lambda r, i: list_transform(r, lambda x, j: x - l * u[i] * u[j])) AS m
+  FROM (SELECT m, u, list_dot_product(u, list_transform(m, lambda q: list_dot_product(q, u))) AS l FROM c1, e1)),""" + _LEAD.format(n=2, source="c2", square=_SQUARE)
+BOX = PCA_SQL + """,
+bx AS (SELECT vec_id, label, list_dot_product(embedding::DOUBLE[], (SELECT u FROM e1)) AS x, list_dot_product(embedding::DOUBLE[], (SELECT u FROM e2)) AS y FROM embeddings),
 lm AS (SELECT min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh FROM bx),
 ub AS (SELECT vec_id, label, round(4e-2 + 92e-2 * (x - xl) / greatest(xh - xl, 1e-9), 4) AS x,
     round(4e-2 + 92e-2 * (y - yl) / greatest(yh - yl, 1e-9), 4) AS y FROM bx, lm)"""
 
 
 def box(df):
-    two = df.withColumns({"x": F.col("embedding")[0].cast("double"), "y": F.col("embedding")[1].cast("double")})
-    return tv.unit_box(two, ["x", "y"])
+    """The unit box of the map that all dimensions of the embeddings give."""
+    return tv.unit_box(ln.flat_map(df, "vec_id", "embedding"), ["x", "y"])
 
 
-@query(with_views(BOX) + "SELECT vec_id, label, x, y FROM ub")
+@query(with_recursive(BOX) + "SELECT vec_id, round(x, 6) AS x, round(y, 6) AS y FROM bx")
+def map_2d(spark, d):
+    """Two principal components of the embeddings."""
+    return ln.flat_map(table(spark, d, "embeddings"), "vec_id", "embedding").select("vec_id", "x", "y")
+
+
+@query(with_recursive(BOX) + "SELECT vec_id, label, x, y FROM ub")
 def unit_box(spark, d):
     return box(table(spark, d, "embeddings")).select("vec_id", "label", "x", "y")
 
 
-@query(with_views(CENTRES, BOX, """
+@query(with_recursive(CENTRES, BOX, """
 ps AS (SELECT vec_id, arg_max(centre_label, round(similarity, 9) - centre_label * 1e-12) AS p FROM cs GROUP BY 1)""") + """
 SELECT least(floor(x * 5), 4)::INT AS cell_x, least(floor(y * 5), 4)::INT AS cell_y, count(*) AS n,
   round(avg(CASE WHEN label = p THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM ub JOIN ps USING (vec_id) GROUP BY ALL""")
@@ -175,18 +212,12 @@ def competence_grid(spark, d):
     return tv.competence_grid(box(rows.select("vec_id", "embedding", "correct")), "x", "y", "correct", 5)
 
 
-@query()
-def map_2d(spark, d):
-    """Two principal components of the embeddings in the unit box."""
-    flat = ln.flat_map(table(spark, d, "embeddings"), "vec_id", "embedding")
-    return tv.unit_box(flat.select("vec_id", "label", "x", "y"), ["x", "y"])
-
-
 @query()
 def lsa_embed(spark, d):
     """Latent semantic vectors of the documents, by length and leading value."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
-    vectors = ln.tfidf_vectors(docs, "doc_id", "text", max_features=3000, n_max=1)(docs).select("doc_id", "features")
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    fit = ln.tfidf_vectors(docs, "doc_id", "text", max_features=3000, n_max=1, tokens=tx.masked_tokens, order="df")
+    vectors = fit(docs).select("doc_id", "features")
     emb = ln.latent_space(vectors, "doc_id", "features", 64)
     return emb.select("doc_id", F.size("embedding").alias("k"), F.abs(F.col("embedding")[0]).alias("first"))
 
@@ -194,7 +225,7 @@ def lsa_embed(spark, d):
 @query()
 def tfidf_logreg(spark, d):
     """Linear text classifier fitted on the train split, scored on the rest."""
-    docs = spread(table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y_true")), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y_true"))
     rows = sp.hash_split(docs, "doc_id", 0.7, "split")
     model = ln.TextClassifier(LANGS).fit(rows.where("split = 'train'"), "doc_id")
     return cl.per_class(cl.confusion(model.predict(rows.where("split = 'test'"))))
@@ -211,7 +242,7 @@ ct AS (SELECT doc_id, item_id, matched, n_shingles, matched / n_shingles::DOUBLE
 
 
 def leaks(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     return lk.contamination(docs, table(spark, d, "benchmark"), "doc_id", "item_id", 8)
 
 
@@ -229,7 +260,7 @@ SELECT slice, n, correct, round(accuracy, 6) AS accuracy, round(macro_precision,
     coalesce(sum(n) FILTER (y_true = y_pred), 0) / sum(n) AS accuracy FROM cf GROUP BY 1)
   JOIN (SELECT slice, coalesce(avg(p), 0) AS macro_precision, coalesce(avg(r), 0) AS macro_recall, avg(f) AS macro_f1 FROM report GROUP BY 1) USING (slice)""")
 def clean_vs_contaminated(spark, d):
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text")
     hits = lk.contaminated_pairs(docs, table(spark, d, "benchmark"), "doc_id", "item_id", 0.5)
     rows = lk.flag_contaminated(lang_eval(spark, d), hits, "doc_id")
     return cl.summary(cl.confusion(rows, by=["slice"]), by=["slice"])

@@ -1,6 +1,7 @@
 """Calibration and uncertainty intervals on the given tables."""
 
 from itertools import accumulate
+from math import factorial
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,11 @@ def lang_right(spark, d):
     return lang_eval(spark, d).withColumn("correct", right)
 
 
+def conf_counts(spark, d):
+    """Rows per distinct (confidence, correct), summed before any grid multiplies them."""
+    return lang_right(spark, d).groupBy("conf", "correct").agg(F.count("*").alias("n"))
+
+
 BINS = f"""
 rb AS (SELECT least(floor(conf * 10), 9)::INT AS bin, count(*) AS n, avg(conf) AS mean_conf, avg({RIGHT}) AS accuracy
   FROM v_lang_eval WHERE conf IS NOT NULL GROUP BY 1)"""
@@ -45,8 +51,7 @@ g AS (SELECT t, ok, 1 / (1 + exp(-ln(p / (1 - p)) / t)) AS q FROM c,
 l AS (SELECT t, avg(CASE WHEN ok = 1 THEN -ln(q) ELSE -ln(1 - q) END) AS loss FROM g GROUP BY t)""") + """
 SELECT t AS temperature, round(loss, 6) AS log_loss, t = (SELECT arg_min(t, loss) FROM l) AS best FROM l""")
 def temperature_sweep(spark, d):
-    rows = lang_right(spark, d).where("conf IS NOT NULL").withColumn("one", F.lit(1))
-    return ca.mark_best(ca.temperature_losses(rows, "conf", "correct", "one", TEMPERATURES))
+    return ca.mark_best(ca.temperature_losses(conf_counts(spark, d).where("conf IS NOT NULL"), "conf", "correct", "n", TEMPERATURES))
 
 
 CUTS = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
@@ -57,8 +62,7 @@ SELECT cut, count(*) FILTER (conf >= cut) AS kept, count(*) FILTER (conf IS NULL
   round(count(*) FILTER (conf >= cut) / count(*), 6) AS coverage, round(avg({RIGHT}) FILTER (conf >= cut), 6) AS accuracy
 FROM v_lang_eval, (VALUES (3e-1), (4e-1), (5e-1), (6e-1), (7e-1), (8e-1), (9e-1), (1e0)) k(cut) GROUP BY cut""")
 def routing_curve(spark, d):
-    rows = lang_right(spark, d).withColumn("one", F.lit(1))
-    return ca.routing(rows, "conf", "correct", "one", CUTS)
+    return ca.routing(conf_counts(spark, d), "conf", "correct", "n", CUTS)
 
 
 GROUPS = f"""
@@ -114,7 +118,7 @@ def posterior_curve(spark, d):
 
 
 _W = "CASE " + " ".join(f"WHEN u < {b!r} THEN {k}" for k, b in enumerate(
-    accumulate(0.36787944117144233 / f for f in (1, 1, 2, 6, 24, 120, 720, 5040)))) + " ELSE 8 END"
+    accumulate(0.36787944117144233 / factorial(k) for k in range(12)))) + " ELSE 12 END"
 
 
 def boot_sql(source, key, value, by, units, reps, salt):
@@ -151,10 +155,11 @@ def delta_ci(spark, d):
 @query(with_views(QUALITY_EVAL, """
 rk AS (SELECT s.seed, v.y_true, row_number() OVER (PARTITION BY s.seed ORDER BY md5(s.seed::VARCHAR || ':' || doc_id::VARCHAR)) AS i
   FROM v_quality_eval v, range(100) s(seed)),
-p AS (SELECT seed, count(*) AS n, avg(y_true) AS p FROM rk WHERE i <= 60 GROUP BY 1),
-q AS (SELECT p.*, (SELECT avg(y_true) FROM v_quality_eval) AS truth, 1959963984540054e-15 * sqrt(p * (1 - p) / n) AS h FROM p)""") + """
-SELECT count(*) AS draws, round(max(truth), 6) AS truth, round(avg(CASE WHEN p - h <= truth AND truth <= p + h THEN 1e0 ELSE 0e0 END), 6) AS coverage,
-  round(avg(2 * h), 6) AS mean_width FROM q""")
+gk AS (SELECT seed AS lang, count(*) AS n, sum(y_true)::BIGINT AS k FROM rk WHERE i <= 60 GROUP BY 1)""", POST.replace("""(VALUES ('uniform', 1e0, 1e0), ('jeffreys', 5e-1, 5e-1),
+    ('weak', 2e0, 2e0), ('optimistic', 8e0, 2e0))""", "(VALUES ('uniform', 1e0, 1e0))"), GRID, """
+q AS (SELECT lang, min(x) FILTER (cdf >= 25e-3) AS lo, min(x) FILTER (cdf >= 975e-3) AS hi, (SELECT avg(y_true) FROM v_quality_eval) AS truth FROM cd GROUP BY 1)""") + """
+SELECT count(*) AS draws, round(max(truth), 6) AS truth, round(avg(CASE WHEN lo <= truth AND truth <= hi THEN 1e0 ELSE 0e0 END), 6) AS coverage,
+  round(avg(hi - lo), 6) AS mean_width FROM q""")
 def ci_coverage(spark, d):
     q = quality_eval(spark, d).select("doc_id", "y_true")
     total, truth = q.agg(F.count("*")).scalar(), q.agg(F.avg("y_true")).scalar()

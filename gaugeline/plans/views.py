@@ -6,7 +6,7 @@ from gaugeline.functions.frames import pinned
 from gaugeline.functions.scores import half_step_score
 from gaugeline.functions.text import word_tokens
 from gaugeline.operators.judging import reply_pairs
-from gaugeline.sources.tables import spread, table
+from gaugeline.sources.tables import table
 
 # Function words that give a language away.
 LANG_WORDS = {
@@ -20,7 +20,7 @@ LANGS = list(LANG_WORDS)
 
 def lang_eval(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return lang_eval_frame(spread(docs, "doc_id"))
+    return lang_eval_frame(docs)
 
 
 def lang_eval_frame(docs: DataFrame) -> DataFrame:
@@ -104,3 +104,7 @@ v_pairs AS (SELECT a.conv_id, a.turn, a.text AS reply, u.text AS reference
 
 def with_views(*views: str) -> str:
     return "WITH " + ",".join(views)
+
+
+def with_recursive(*views: str) -> str:
+    return "WITH RECURSIVE " + ",".join(views)

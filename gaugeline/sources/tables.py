@@ -1,10 +1,11 @@
 """Readers with explicit schemas, sinks, and the resumable output ledger."""
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 LABELLED_TEXT = T.StructType([
@@ -45,14 +46,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_csv(spark, path, schema) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark, path, schema, multiline: bool = False) -> DataFrame:
+    """CSV with a header.  ``multiline`` allows line breaks inside quotes, at the price of one task per file."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
             .option("escape", '"').csv(path))
 
 
-def read_bundle(spark, path, schema=PREDICTION_BUNDLE) -> DataFrame:
-    """Nested JSON: header fields repeated beside one row per item."""
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
+def read_bundle(spark, path, schema=PREDICTION_BUNDLE, multiline: bool = True) -> DataFrame:
+    """Nested JSON: header fields repeated beside one row per item.
+
+    Pretty-printed files need ``multiline``, one task per file; files of one object per line can do without.
+    """
+    raw = spark.read.schema(schema).option("multiLine", multiline).json(path)
     header = [c for c in raw.columns if c != "items"]
     return raw.select(*header, F.explode("items").alias("item")).select(*header, "item.*")
 
@@ -74,8 +79,17 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite
     return path
 
 
+def exists(spark, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def write_if_absent(df: DataFrame, path: str) -> str:
-    df.write.mode("ignore").parquet(path)
+    """Write unless a finished table is there; one without its ``_SUCCESS`` file is a torn one and is replaced."""
+    if not exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
     return path
 
 
@@ -87,13 +101,14 @@ def pending(work: DataFrame, done: DataFrame, key) -> DataFrame:
 def append_pending(spark, work, ledger_path, key, process):
     """Process only what the ledger lacks and append it; safe to run again.
 
-    Parquet appends are committed as a whole, so a lost job leaves no half rows.
+    Parquet appends are committed as a whole, so a lost job leaves no half rows.  Only a path that
+    isn't there makes a first run; a ledger or a result without the key raises.
     """
-    try:
-        todo = pending(work, spark.read.parquet(ledger_path), key)
-    except AnalysisException:  # first run: no ledger yet
-        todo = work
-    process(todo).write.mode("append").parquet(ledger_path)
+    todo = pending(work, spark.read.parquet(ledger_path), key) if exists(spark, ledger_path) else work
+    out = process(todo)
+    if key not in out.columns:
+        raise ValueError(f"the result lacks the key {key!r}, so a second run could not tell what is done")
+    out.write.mode("append").parquet(ledger_path)
     return spark.read.parquet(ledger_path)
 
 
@@ -124,6 +139,7 @@ def scratch(spark, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if "base" not in _OWN:
             _OWN["base"] = tempfile.mkdtemp(prefix="gaugeline-")
+            atexit.register(shutil.rmtree, _OWN["base"], ignore_errors=True)
         base = _OWN["base"]
     return os.path.join(base, "gaugeline", f"{label}-{uuid.uuid4().hex}")
 
@@ -136,13 +152,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
+    out = df.sparkSession.read.parquet(path)
+    out.stored_at = path
+    return out
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for heavy per-row work on a table of few files.
 
-    A table of more files than cores (any large one) is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by ``stored`` that nothing will read again."""
+    path = getattr(df, "stored_at", None)
+    if path:
+        jvm = df.sparkSession.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

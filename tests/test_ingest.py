@@ -90,7 +90,7 @@ def test_phrases(spark):
 def test_csv_round_trip(spark, folder):
     rows = [("q,1", 'say "hi"\nthere', "é"), ("", "x", None)]
     path = src.write(spark.createDataFrame(rows, src.QA_TRIPLE), f"{folder}/csv", "csv")
-    back = src.read_csv(spark, path, src.QA_TRIPLE).collect()
+    back = src.read_csv(spark, path, src.QA_TRIPLE, multiline=True).collect()
     assert sorted(r.ai_answer for r in back) == ['say "hi"\nthere', "x"]
 
 

@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry_points
 import check
+from gaugeline.plans import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"tfidf_logreg", "lsa_embed"}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +14,7 @@ def con():
     return check.oracle(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     status, note = check.compare(spark, con, name, FOLDER)
     assert status != "FAIL", note

@@ -70,8 +70,8 @@ def test_running_confusion_ends_at_the_batch_result(spark, folder, feed):
     truth = (F.col("id") % 3 == 0).cast("int").alias("y_true")
     preds = batch.where("id < 100").select("id", (F.col("id") % 2).alias("y_pred"))
     counts = mo.running_confusion(stream.select("id", truth), preds, "id")
-    mo.run_updates(counts, f"{folder}/out", f"{folder}/ck").awaitTermination()
-    got = {(r.y_true, r.y_pred): r.n for r in mo.latest_updates(spark, f"{folder}/out", ["y_true", "y_pred"]).collect()}
+    mo.run_updates(counts, f"{folder}/out", f"{folder}/ck", ["y_true", "y_pred"]).awaitTermination()
+    got = {(r.y_true, r.y_pred): r.n for r in mo.latest_updates(spark, f"{folder}/out").collect()}
     want = {}
     for i in range(120):
         k = (str(int(i % 3 == 0)), str(i % 2) if i < 100 else "∅")
@@ -98,3 +98,49 @@ def test_late_rows_count_only_within_the_bound(spark, folder):
     got = {r.window_start.day: (r.n, r["mean"]) for r in spark.read.parquet(f"{folder}/out").collect()}
     assert got[1] == (1, 1.0) and got[2] == (1, 5.0) and got[3] == (1, 1.0) and got[20] == (1, 1.0)
     assert set(got) == {1, 2, 3, 20}
+
+
+@pytest.fixture
+def shuffled_table(spark, folder, monkeypatch):
+    """The given events and labels as folders of four files in no order of time, read one file a batch."""
+    source = "/root/testdata/sf0.001"
+    for name, key in (("events", "event_id"), ("labels", "doc_id")):
+        spark.read.parquet(f"{source}/{name}.parquet").repartition(4, F.xxhash64(key)).write.parquet(f"{folder}/{name}.parquet")
+    spark.read.parquet(f"{source}/documents.parquet").write.parquet(f"{folder}/documents.parquet")
+    whole = mo.stream_table
+    monkeypatch.setattr(mo, "stream_table", lambda s, d, n: whole(s, d, n, files_per_batch=1))
+    return folder
+
+
+@pytest.mark.parametrize("name", ["stream_drift", "stream_first_alert", "stream_confusion", "stream_dedup"])
+def test_unordered_files_of_a_table_folder_equal_the_batch(spark, shuffled_table, name):
+    import check
+
+    con = check.oracle("/root/testdata/sf0.001")
+    assert len(spark.read.parquet(f"{shuffled_table}/events.parquet").inputFiles()) == 4
+    status, note = check.compare(spark, con, name, shuffled_table)
+    assert status == "ok", note
+
+
+def test_a_repeated_batch_changes_nothing(spark, folder, feed):
+    _, stream, batch = feed
+    rows = stream.withColumn("day", F.date_format("event_time", "yyyy-MM-dd"))
+    for ck in ("ck", "ck"):
+        mo.run_distinct(rows, ["metric", "day"], "day", f"{folder}/out", f"{folder}/{ck}").awaitTermination()
+    mo.run_distinct(rows, ["metric", "day"], "day", f"{folder}/out", f"{folder}/lost-progress").awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
+    assert out.count() == out.select("metric", "day").distinct().count() == 60
+
+
+def test_late_rows_of_a_live_run_are_counted_and_kept(spark, folder):
+    schema = "id long, ts timestamp_ntz, metric string, score double"
+    day = lambda d: dt.datetime(2024, 1, d)
+    for i, rows in enumerate([[(1, day(1), "m", 1.0)], [(2, day(20), "m", 1.0)], [(3, day(21), "m", 2.0)], [(4, day(2), "m", 9.0)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/in{i}")
+        stream = mo.event_time(spark.readStream.schema(schema).parquet(f"{folder}/in[0-{i}]"))
+        means = mo.windowed_means(stream, "metric", "score", "1 day", late="1 day")
+        query = mo.run_to_files(means, f"{folder}/out", f"{folder}/ck")
+        query.awaitTermination()
+        mo.run_quarantine(stream, dt.timedelta(days=1), f"{folder}/q", f"{folder}/ckq").awaitTermination()
+    assert mo.dropped_rows(query) == 1
+    assert [r.id for r in spark.read.parquet(f"{folder}/q/late").collect()] == [4]

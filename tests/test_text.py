@@ -109,8 +109,38 @@ def test_nearest_example_is_exact(spark, k):
             want[(name, i + 1)] = (en, -s)
     assert got == want
     # the common terms are skipped for most queries
-    used = tv.candidate_terms(qd, ed, "q", "e", k)
-    assert used.where("term = 'the'").count() < qd.where("term = 'the'").count()
+    _, seek = tv.candidates(qd, ed, "q", "e", k)
+    assert seek.where("term = 'the'").count() < qd.where("term = 'the'").count() / 2
+
+
+def test_nearest_example_of_one_word_and_of_a_word_in_all_examples(spark):
+    e = [(f"e{i:02d}", t, w) for i in range(30) for t, w in (("all", 0.1 + i / 100), (f"own{i}", 0.9))]
+    q = [("one", "all", 1.0), ("both", "all", 0.6), ("both", "own3", 0.8), ("none", "zzz", 1.0)]
+    qd, ed = spark.createDataFrame(q, "q string, term string, weight double"), spark.createDataFrame(e, "e string, term string, weight double")
+    got = {(r.q, r["rank"]): r.e for r in tv.nearest_example(qd, ed, "q", "e", 2).collect()}
+    assert got == {("one", 1): "e29", ("one", 2): "e28", ("both", 1): "e03", ("both", 2): "e29"}
+
+
+def test_terms_are_counted_without_moving_text(spark):
+    docs = spark.createDataFrame([(1, "b a b {{x y}} B"), (2, ""), (3, None), (4, "a")], "id int, body string")
+    counts = tv.term_counts(docs, "id", "body")
+    assert sorted(map(tuple, counts.collect())) == [(1, "a", 1), (1, "b", 3), (4, "a", 1)]
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    two = tv.term_counts(docs, "id", "body", tx.masked_tokens, 2).where("id = 1").collect()
+    assert sorted((r.term, r.tf) for r in two) == [("a", 1), ("a b", 1), ("b", 3), ("b a", 1), ("b b", 1)]
+
+
+def test_exported_weights(spark, folder):
+    import json
+
+    with open(f"{folder}/model.json", "w") as f:
+        json.dump({"classes": ["x", "y"], "ngram_max": 1, "vocab": {"b": 0, "a": 1}, "idf": [2.0, 1.0], "coef": [[1.0, 0.0], [0.0, 3.0]], "intercept": [0.5, 0.0]}, f, indent=1)
+    model, intercepts, classes = tv.read_linear_model(spark, f"{folder}/model.json")
+    docs = spark.createDataFrame([(1, "b b c"), (2, "a"), (3, "")], "id int, body string")
+    counts = tv.term_counts(docs, "id", "body")
+    weights = tv.normalised(tv.raw_weights(counts, model, "id"), "id")
+    got = {r.id: (round(r.score_x, 6), round(r.score_y, 6), r.y_pred) for r in tv.linear_scores(weights, model.drop("idf"), intercepts, "id", classes, docs).collect()}
+    assert got == {1: (1.5, 0.0, "x"), 2: (0.5, 3.0, "y"), 3: (0.5, 0.0, "x")}
 
 
 def test_nearest_example_none(spark):

@@ -142,3 +142,13 @@ def test_rerun_variance(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", 5.0), ("c", 2.0)], "i string, s double")
     r = ag.variance_split(ag.rerun_spread(df, "i", "s")).first()
     assert r["items"] == 3 and r.within_var == pytest.approx(1.0) and r.between_var == pytest.approx(statistics.variance([2, 5, 2]))
+
+
+def test_hash_units_give_the_interval_of_the_row_bootstrap(spark):
+    """A skewed score: the ends differ by a few parts in a hundred of the width."""
+    rows = spark.range(6000).select("id", F.exp(F.pmod(F.xxhash64("id"), F.lit(1000)) / 250.0).alias("v"))
+    units = iv.bootstrap_interval(rows.withColumn("g", F.lit(1)), "id", F.col("v"), ["g"], units=1000, replicates=400).first()
+    plain = iv.bootstrap_interval(rows.withColumn("g", F.lit(1)), "id", F.col("v"), ["g"], units=None, replicates=400).first()
+    assert units.n == plain.n == 6000 and abs(units["mean"] - plain["mean"]) < 1e-9
+    width = plain.hi - plain.lo
+    assert abs(units.lo - plain.lo) < 0.15 * width and abs(units.hi - plain.hi) < 0.15 * width
