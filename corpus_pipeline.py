@@ -12,7 +12,7 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     from gaugeline.llm import quality as q
 
     weights = q.fit(docs, table(spark, sf_dir, "labels"))
-    return q.score(docs, weights, docs.columns, "__score").where("__score >= 0.5").select(*COLUMNS)
+    return q.score(docs, weights, COLUMNS, "__score").where("__score >= 0.5").select(*COLUMNS)
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -43,9 +43,10 @@ def test_deep_shallow_order():
         assert shared[r] == rs.common(strings[order[r - 1]], strings[order[r]])
 
 
-@pytest.mark.parametrize("hot", [50_000, 3])
-def test_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot,often", [(200_000, 64), (3, 64), (200_000, 2), (3, 2)])
+def test_brute_force(spark, monkeypatch, hot, often):
     monkeypatch.setattr(rs, "HOT", hot)
+    monkeypatch.setattr(rs, "OFTEN", often)
     rnd = random.Random(3)
     new = lambda n: "".join(rnd.choice("abcdé \n") for _ in range(n))
     passage, other = new(150), new(64)
