@@ -51,6 +51,15 @@ def ledger_resume(spark, d):
     return src.append_pending(spark, docs, path, "doc_id", lambda x: x)
 
 
+@query("SELECT lang, count(*) AS n FROM documents GROUP BY 1")
+def cache_if_absent(spark, d):
+    """A table that is there already is read, not made again: the second frame never replaces the first."""
+    path = src.scratch(spark, "cache")
+    src.write_if_absent(table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")), path)
+    src.write_if_absent(table(spark, d, "documents").limit(1).select("lang", F.lit(0).cast("long").alias("n")), path)
+    return spark.read.parquet(path)
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def resume_pending(spark, d):
     return src.pending(table(spark, d, "documents").select("doc_id"), table(spark, d, "labels"), "doc_id")

@@ -251,6 +251,13 @@ def contamination(spark, d):
     return leaks(spark, d)
 
 
+@query(with_views(SHINGLES) + "SELECT doc_id, item_id, matched, n_shingles, round(share, 6) AS share FROM ct WHERE share >= 5e-1")
+def contamination_by_share(spark, d):
+    """Pairs in which the document holds half of the item or more; common shingles pair nothing."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return lk.contaminated_pairs(docs, table(spark, d, "benchmark"), "doc_id", "item_id", 0.5)
+
+
 @query(with_views(LANG_EVAL, SHINGLES.replace("dt AS", "dtt AS").replace("FROM dt)", "FROM dtt)"), """
 sl AS (SELECT v.*, CASE WHEN doc_id IN (SELECT doc_id FROM ct WHERE share >= 5e-1) THEN 'contaminated' ELSE 'clean' END AS slice FROM v_lang_eval v),
 cf AS (SELECT slice, y_true, coalesce(y_pred, '∅') AS y_pred, count(*) AS n FROM sl GROUP BY ALL)""", report_sql("cf", "slice")) + """

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -124,6 +126,44 @@ def test_ledger_processes_every_key_once(spark, folder):
     assert src.append_pending(spark, work, path, "k", once).count() == 10
 
 
+def test_a_torn_table_is_written_again(spark, folder):
+    path = src.write(spark.range(3), f"{folder}/t")
+    os.remove(f"{path}/_SUCCESS")
+    src.write_if_absent(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_ledger_without_the_key_raises(spark, folder):
+    work = spark.range(10).withColumnRenamed("id", "k")
+    with pytest.raises(ValueError, match="lacks the key"):
+        src.append_pending(spark, work, f"{folder}/ledger", "k", lambda df: df.select(F.lit(1).alias("x")))
+    assert not src.exists(spark, f"{folder}/ledger")
+    src.write(spark.range(2).select(F.lit(1).alias("x")), f"{folder}/old")
+    with pytest.raises(Exception, match="k"):
+        src.append_pending(spark, work, f"{folder}/old", "k", lambda df: df)
+    assert spark.read.parquet(f"{folder}/old").count() == 2
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    def session(master, shared=None):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: shared or d), sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        src.scratch(session("spark://somewhere:7077"), "x")
+    assert src.scratch(session("spark://somewhere:7077", "hdfs:///c"), "x").startswith("hdfs:///c/gaugeline/x-")
+    assert src.scratch(session("local[2]"), "x")
+
+
+def test_stored_tables_can_be_discarded(spark):
+    df = src.stored(spark.range(3), "t")
+    assert df.count() == 3 and src.exists(spark, df.stored_at)
+    src.discard(df)
+    assert not src.exists(spark, df.stored_at)
+    src.discard(spark.range(1))
+
+
 def test_bundle_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3,)], "x int")
     assert {(r.dataset, r.x, r.y) for r in src.bundle({"a": a, "b": b}).collect()} == {("a", 1, 2), ("b", 3, None)}
