@@ -5,6 +5,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeline.functions.scores import kappa
+from gaugeline.sources.tables import stored
 
 
 def agreement_pairs(df: DataFrame, raters: dict, by=()) -> DataFrame:
@@ -48,13 +49,13 @@ def verbosity_curve(df: DataFrame, length: str, score: str, quality: str, n_bins
 
     Bin edges are interpolated quantiles of the length; bins are closed on the
     right and equal edges are merged.  The edges come from a histogram of the
-    distinct lengths, so no task ever holds all lengths of a large table; the
-    frame is regrouped from that histogram and never read again.
+    distinct lengths, which is written once: the frame is read a single time, and
+    no task ever holds all lengths of a large table.
     """
-    hist = df.groupBy(quality, length).agg(
-        F.count("*").alias("__n"), F.sum(score).alias("__s"), F.sum(quality).alias("__q"))
+    hist = stored(df.groupBy(quality, length).agg(
+        F.count("*").alias("__n"), F.sum(score).alias("__s"), F.sum(quality).alias("__q")), "lengths")
     good = F.col(quality) == 1
-    enough = df.where(good).agg(F.count("*")).scalar() >= n_bins
+    enough = hist.where(good).agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar() >= n_bins
     hist = hist.where(good | ~enough)
     stats = hist.agg(
         F.least(F.lit(n_bins), F.count_distinct(length)).alias("bins"),

@@ -1,4 +1,4 @@
-"""Worked examples with known answers."""
+"""Worked examples with known answers; all expected numbers are fixed values."""
 
 import math
 
@@ -9,6 +9,7 @@ from gaugeline.functions.scores import half_step_score, normal_cdf
 from gaugeline.operators import agreement as ag, classify as cl, ingest as ing, intervals as iv
 from gaugeline.operators import judging as jd, reporting as rp
 
+# Class names and published counts that results have to match.
 CLASSES = ["ACCOUNT", "DELIVERY", "ORDER", "PAYMENT", "REFUND"]
 CONFUSION = [
     [300, 8, 25, 0, 20], [2, 79, 3, 0, 32], [1, 3, 219, 0, 6], [1, 4, 19, 87, 11], [4, 11, 2, 1, 162],
