@@ -7,7 +7,8 @@ places of the corpus, the same document included.
    the window's anchor, the leftmost among equals.  Equal windows have their anchor at the same
    offset, so they meet under its gram.  About one position in 85 is an anchor.
 2. A gram that occurs once in all distinct texts cannot anchor a repeated window.  The others send
-   the bytes around them (at most 368) to a block chosen by the gram.
+   the bytes around them (at most 368) to a block chosen by the gram; of equal bytes around a frequent
+   gram each task sends two, the rest are then known to be repeated.
 3. A block sorts its anchors' suffixes, and the reversed prefixes before them, deep-shallow: a
    multikey sort over 8-byte symbols down to 64 bytes, then a blind trie for every group that is
    still tied, which stores branching bytes only and compares whole strings once per insertion.
@@ -24,6 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
@@ -32,7 +34,9 @@ from gaugeline.sources.tables import stored
 GRAM = 32
 SHALLOW = 64
 PER_BLOCK = 16384
-HOT = 50_000
+HOT = 200_000
+#: A context whose gram has so many anchors is looked up among those its task has seen before it is sent, up to SEEN of them.
+OFTEN, SEEN = 64, 100_000
 _POSITION = np.uint64((1 << 23) - 1)
 
 
@@ -204,12 +208,18 @@ def _sorter(length: int):
     after = -(-length // 8) * 8
 
     def repeated(table: pa.Table) -> pa.Table:
-        """Runs of repeated windows in a block: key, first byte, byte after the last."""
+        """Runs of repeated windows in a block: key, first byte, byte after the last.  Rows without bytes are settled."""
+        settled = table.filter(pc.is_null(table.column("around")))
+        table = table.filter(pc.is_valid(table.column("around")))
+        done = pa.table({"key": settled.column("key"), "a": pc.subtract(settled.column("at"), settled.column("hi")),
+                         "b": pc.add(pc.subtract(settled.column("at"), settled.column("lo")), length)})
+        if not len(table):
+            return done
         lo, hi = table.column("lo").to_numpy(), table.column("hi").to_numpy()
         around, n = table.column("around").to_pylist(), len(lo)
         right = deep_shallow(*_matrix([c[h:] for c, h in zip(around, hi.tolist())], max(after, SHALLOW)))
         left = deep_shallow(*_matrix([c[:h][::-1] for c, h in zip(around, hi.tolist())], max(before, SHALLOW)))
-        hit = np.zeros((n, int(hi.max()) + 2 if n else 1), bool)
+        hit = np.zeros((n, int(hi.max()) + 2), bool)
         for o in range(int(lo.min()), int(hi.max()) + 1):
             own = np.flatnonzero((lo <= o) & (o <= hi))
             if len(own) < 2:
@@ -223,7 +233,8 @@ def _sorter(length: int):
         row, start = np.nonzero(edge == 1)
         _, stop = np.nonzero(edge == -1)
         at = table.column("at").to_numpy()[row]
-        return pa.table({"key": table.column("key").take(pa.array(row)), "a": pa.array(at - stop + 1), "b": pa.array(at - start + length)})
+        found = pa.table({"key": table.column("key").take(pa.array(row)), "a": pa.array(at - stop + 1), "b": pa.array(at - start + length)})
+        return pa.concat_tables([found, done])
 
     return repeated
 
@@ -244,26 +255,36 @@ def _grams(length: int):
 
 
 def _contexts(length: int):
-    """The bytes around those anchors of each text whose gram is wanted."""
+    """The bytes around those anchors of each class's first text whose gram is wanted; none for those that are settled."""
     def run(batches):
+        seen: dict = {}
         for batch in batches:
+            own = np.flatnonzero(pc.equal(batch.column("doc_id"), batch.column("rep")).to_numpy(zero_copy_only=False))
+            batch = batch.take(pa.array(own))
             for at, data, bounds in W.pieces(batch.column("text")):
                 wanted = batch.column("wanted").slice(at, len(bounds) - 1)
                 owner = np.repeat(np.arange(len(wanted)), np.diff(wanted.offsets.to_numpy()))
                 values = wanted.flatten()
-                pairs, hot = values.field(0).to_numpy(), values.field(1).to_numpy(zero_copy_only=False)
                 per_text = {}
-                for i, g, h in zip(owner.tolist(), pairs.tolist(), hot.tolist()):
-                    per_text.setdefault(i, {})[g] = h
+                for i, g, n in zip(owner.tolist(), values.field(0).to_pylist(), values.field(1).to_pylist()):
+                    per_text.setdefault(i, {})[g] = n
                 out = [[] for _ in range(7)]
                 raw = data.tobytes()
                 for gram, place, first, last in anchors(data, bounds, length):
                     text = np.searchsorted(bounds, place, "right") - 1
                     for g, p, f, t, i in zip(gram.tolist(), place.tolist(), first.tolist(), last.tolist(), text.tolist()):
-                        is_hot = per_text.get(i, {}).get(g)
-                        if is_hot is not None:
-                            for o, x in zip(out, (i, g, is_hot, p - int(bounds[i]), p - t, p - f, raw[f:t + length])):
-                                o.append(x)
+                        n = per_text.get(i, {}).get(g)
+                        if n is None:
+                            continue
+                        around = raw[f:t + length]
+                        if n >= OFTEN:
+                            times = seen.get((g, p - t, around), 0)
+                            if times > 1:
+                                around = None
+                            elif times or len(seen) < SEEN:
+                                seen[g, p - t, around] = times + 1
+                        for o, x in zip(out, (i, g, n > HOT and around is not None, p - int(bounds[i]), p - t, p - f, around)):
+                            o.append(x)
                 keys = batch.column("key").slice(at, len(bounds) - 1).take(pa.array(out[0], pa.int64()))
                 yield pa.RecordBatch.from_arrays([keys, pa.array(out[1], pa.int64()), pa.array(out[2], pa.bool_()),
                                                   *[pa.array(x, pa.int64()) for x in out[3:6]], pa.array(out[6], pa.binary())],
@@ -328,28 +349,26 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """
     base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("key", F.unhex(F.md5("text")))
-    listed = stored(base.mapInArrow(_grams(length), "doc_id long, key binary, grams array<long>"), "grams")
-    texts = listed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    texts = stored(texts, "copies")
-    once = listed.join(texts.select("key", F.col("rep").alias("doc_id")), ["key", "doc_id"]).groupBy("key").agg(F.first("grams").alias("grams"))
-    each = once.select("key", F.explode("grams").alias("gram"))
+    # never null, so that both joins below deal out the same texts in the same way and Spark does it once
+    base = base.withColumn("key", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")))
+    listed = base.mapInArrow(_grams(length), "doc_id long, key binary, grams array<long>")
+    texts = stored(listed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("grams").alias("grams")), "texts")
+    # a short id is enough here: two texts that share one only get more grams looked at
+    each = texts.select(F.xxhash64("key").alias("id"), F.explode("grams").alias("gram"))
     often = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = (each.join(often, "gram").groupBy("key")
-              .agg(F.collect_list(F.struct("gram", (F.col("n") > HOT).alias("hot"))).alias("wanted")))
-    wanted = stored(wanted, "wanted")
-    total = wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0
-    blocks = 1 + total // PER_BLOCK
-    found = base.join(texts.where("copies >= 1").select("key", "rep").join(wanted, "key"), "key").where("doc_id = rep").select("key", "text", "wanted")
-    around = found.mapInArrow(_contexts(length), "key binary, gram long, hot boolean, at long, lo long, hi long, around binary")
-    runs = (around.where("NOT hot").withColumn("block", F.pmod("gram", F.lit(blocks)))
-            .groupBy("block").applyInArrow(_sorter(length), "key binary, a long, b long"))
-    if wanted.where(F.exists("wanted", lambda w: w["hot"])).isEmpty():
-        every = runs
-    else:
+    wanted = stored(each.join(often, "gram").groupBy("id").agg(F.collect_set(F.struct("gram", "n")).alias("wanted")), "wanted")
+    sizes = wanted.agg(F.sum(F.size("wanted")).alias("all"), F.max(F.array_max(F.transform("wanted", lambda w: w["n"]))).alias("most")).first()
+    blocks = 1 + (sizes["all"] or 0) // PER_BLOCK
+    asked = texts.select("key", "rep", F.xxhash64("key").alias("id")).join(wanted, "id").select("key", "rep", "wanted")
+    around = base.join(asked, "key").select("doc_id", "rep", "key", "text", "wanted").mapInArrow(
+        _contexts(length), "key binary, gram long, hot boolean, at long, lo long, hi long, around binary")
+    # settled rows carry no bytes and may go to any block
+    block = F.pmod(F.when(F.col("around").isNull(), F.xxhash64("key")).otherwise(F.col("gram")), F.lit(blocks))
+    every = around.where("NOT hot").withColumn("block", block).groupBy("block").applyInArrow(_sorter(length), "key binary, a long, b long")
+    if (sizes["most"] or 0) > HOT:
         windows = stored(around.where("hot").mapInArrow(_windows(length), "key binary, p long, digest binary"), "windows")
         twice = windows.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
-        every = runs.unionByName(windows.join(twice, "digest").select("key", F.col("p").alias("a"), (F.col("p") + length).alias("b")))
+        every = every.unionByName(windows.join(twice, "digest").select("key", F.col("p").alias("a"), (F.col("p") + length).alias("b")))
     per_text = every.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     out = base.join(texts.select("key", "copies").join(per_text, "key", "left"), "key", "left").mapInArrow(
         _removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
