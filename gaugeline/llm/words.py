@@ -8,7 +8,7 @@ which bounds the memory of a task whatever the size of a batch.
 import numpy as np
 import pyarrow as pa
 
-PIECE = 2 << 20
+PIECE = 1 << 20
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)
