@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeline.sources.tables import stored, table
+from gaugeline.sources.tables import discard, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -65,5 +65,6 @@ def run(spark, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        discard(before)  # a stage's rows are needed by the next one only
     return STAGES[-1][1](spark, docs, sf_dir)

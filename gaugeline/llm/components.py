@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeline.sources.tables import stored
+from gaugeline.sources.tables import discard, stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = _least(large).select(F.explode(F.array(
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
-        edges = stored(small.where("u > v").distinct(), "links")
+        before, edges = edges, stored(small.where("u > v").distinct(), "links")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")),
                         F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:

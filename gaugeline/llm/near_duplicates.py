@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
 from gaugeline.llm.components import components
-from gaugeline.sources.tables import stored
+from gaugeline.sources.tables import discard, stored
 
 SIZE = 5
 FUNCTIONS, BAND = 64, 4
@@ -209,7 +209,10 @@ def link_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     reps = filled.join(classes.select(F.col("rep").alias("doc_id"), F.col("set_key")), ["doc_id", "set_key"], "left_semi").dropDuplicates(["doc_id"])
     possible = stored(_possible_links(reps), "possible")
     family = stored(components(possible), "families")
-    links = stored(_confirmed(base, family, percent), "confirmed")
+    spent = [possible, family]
+    links = stored(_confirmed(base, family, percent, spent), "confirmed")
+    for t in spent:
+        discard(t)
     own = components(links).select(F.col("node").alias("rep"), "component")
     member = signs.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").join(own, "rep", "left")
     # a row of an empty text is alone; equal sets share their class's component
@@ -218,8 +221,8 @@ def link_components(docs: DataFrame, percent: int = 85) -> DataFrame:
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _confirmed(base: DataFrame, family: DataFrame, percent: int) -> DataFrame:
-    """Stars of confirmed links.
+def _confirmed(base: DataFrame, family: DataFrame, percent: int, spent: list) -> DataFrame:
+    """Stars of confirmed links; ``spent`` gets the tables that aren't needed once they are written.
 
     Small families share blocks.  A family of more than ``BLOCK`` members or ``BLOCK_BYTES`` of text is
     dealt into blocks by a hash.  First each block is joined up on its own together with one common
@@ -240,6 +243,7 @@ def _confirmed(base: DataFrame, family: DataFrame, percent: int) -> DataFrame:
               .select("at", F.col("to").alias("own"), "family", "doc_id", "text", F.lit(2).alias("side")))
     first = dealt.select("at", "own", "family", "doc_id", "text", F.when((F.col("q") > 1) & (F.col("doc_id") == F.col("pivot")), 2).otherwise(0).alias("side"))
     first = stored(first.unionByName(shared).groupBy("at", "own").applyInArrow(confirm, "u long, v long"), "first")
+    spent += [texts, sized, first]
     if sized.where("q > 1").isEmpty():
         return first
     label = components(first).select(F.col("node").alias("doc_id"), "component")
@@ -247,6 +251,7 @@ def _confirmed(base: DataFrame, family: DataFrame, percent: int) -> DataFrame:
     largest = (many.groupBy("family", "component").agg(F.count("*").alias("n"))
                .groupBy("family").agg(F.max_by("component", F.struct("n", "component")).alias("main")))
     many = stored(many.join(largest, "family"), "large")
+    spent.append(many)
     outside = many.where("component <> main")
     parts = outside.groupBy("family").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     testers = (outside.join(parts, "family").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("parts")))
