@@ -24,7 +24,7 @@ MOST = BUCKETS * FAR + 2 * 15 * RATIO_WEIGHT + LENGTH_MOST * LENGTH_WEIGHT + 1
 _rng = np.random.Generator(np.random.PCG64(11))
 #: One scrambled 16-bit table for each triplet and place; the sum's high byte is the bucket.
 TABLES = _rng.integers(0, 1 << 16, (len(TRIPLETS), 3, 256), dtype=np.uint16)
-RANGE_ROWS = 20_000
+RANGE_ROWS, COARSE, FINE = 20_000, 1024, 64
 
 
 def counts(data: np.ndarray) -> np.ndarray:
@@ -81,28 +81,33 @@ def edited(text: str, following: str) -> str:
 
 
 def in_ranges(docs: DataFrame) -> DataFrame:
-    """Rows dealt into ranges of descending doc_id, each sorted, each with the first row of the range after it at its end.
+    """Rows dealt into ranges of descending doc_id, each with the first row of the range after it at its end.
 
-    The bounds are quantiles of doc_id, one for each ``RANGE_ROWS`` rows.  Equal ids never part.  A null doc_id comes after all others.
+    ``COARSE`` ranges at most are cut at quantiles of doc_id, each into up to ``FINE`` of equal width, one range for each
+    ``RANGE_ROWS`` rows.  Equal ids never part.  A null doc_id comes after all others.
     """
+    spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    n = base.count()
-    cuts = max(1, n // RANGE_ROWS)
-    known = base.select("doc_id").where("doc_id IS NOT NULL")
-    marks = known.approxQuantile("doc_id", [i / cuts for i in range(1, cuts)], 1 / (20 * cuts)) if cuts > 1 else []
-    marks = sorted({int(m) for m in marks})
-    below = F.array(*[F.lit(m).cast("long") for m in marks]) if marks else F.array().cast("array<long>")
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(marks) + 1)).otherwise(F.size(F.filter(below, lambda m: m > F.col("doc_id"))))
+    n, low, high = base.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
+    if low is None:
+        low = high = 0
+    coarse = min(COARSE, max(1, n // RANGE_ROWS))
+    fine = min(FINE, max(1, n // RANGE_ROWS // coarse))
+    marks = base.where("doc_id IS NOT NULL").approxQuantile("doc_id", [i / coarse for i in range(1, coarse)], 1 / (20 * coarse)) if coarse > 1 else []
+    bounds = sorted({int(m) for m in marks if low < m <= high}, reverse=True)
+    # coarse range r holds the ids below bound r - 1, down to bound r
+    row, to_array = F.col("doc_id"), lambda v: F.array(*[F.lit(x).cast("long") for x in v])
+    r = F.size(F.filter(to_array(bounds), lambda b: b > row)) if bounds else F.lit(0)
+    top, bottom = F.get(to_array([high, *bounds]), r).cast("double"), F.get(to_array([*bounds, low]), r).cast("double")
+    inside = F.least(F.lit(fine - 1), F.floor(F.coalesce((top - row.cast("double")) / F.nullif(top - bottom, F.lit(0.0)), F.lit(0.0)) * fine))
+    part = F.when(row.isNull(), F.lit((len(bounds) + 1) * fine)).otherwise(r * fine + inside).cast("long")
     base = base.withColumn("part", part)
-    heads = {r.part: r.head for r in base.groupBy("part").agg(F.max("doc_id").alias("head")).collect()}  # one row a range
+    heads = {x.part: x.head for x in base.groupBy("part").agg(F.max("doc_id").alias("head")).collect()}  # COARSE * FINE + 1 rows at most
     order = sorted(heads)
-    jumps = F.create_map(*[F.lit(x) for i, p in enumerate(order) for x in (p, order[i - 1])]) if order else None
-    own = F.struct("part", F.lit(0).alias("late"))
-    if not order:
-        return base.withColumn("late", F.lit(0))
-    is_head = F.col("doc_id").eqNullSafe(F.create_map(*[x for p in order for x in (F.lit(p), F.lit(heads[p]).cast("long"))])[F.col("part")])
-    to = F.when(is_head, F.array(own, F.struct(jumps[F.col("part")].alias("part"), F.lit(1).alias("late")))).otherwise(F.array(own))
-    return base.select("doc_id", "text", F.explode(to).alias("to")).select("doc_id", "text", "to.part", "to.late")
+    known = spark.createDataFrame([(p, heads[p], order[i - 1]) for i, p in enumerate(order)], "part long, head long, above long")
+    own, late = F.struct("part", F.lit(0).alias("late")), F.struct(F.col("above").alias("part"), F.lit(1).alias("late"))
+    to = F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array(own, late)).otherwise(F.array(own))
+    return base.join(F.broadcast(known), "part").select("doc_id", "text", F.explode(to).alias("to")).select("doc_id", "text", "to.part", "to.late")
 
 
 def _rows(batches):

@@ -21,9 +21,10 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("size", [20_000, 7])
-def test_brute_force(spark, documents, monkeypatch, size):
+@pytest.mark.parametrize("size,coarse", [(20_000, 1024), (7, 1024), (2, 4)])
+def test_brute_force(spark, documents, monkeypatch, size, coarse):
     monkeypatch.setattr(fp, "RANGE_ROWS", size)
+    monkeypatch.setattr(fp, "COARSE", coarse)
     rnd = random.Random(4)
     rows = [(rnd.randrange(10 ** 6), "".join(rnd.choice("abcdefé ") for _ in range(rnd.randrange(200)))) for _ in range(80)]
     rows += [(5, None), (-7, ""), (6, "abc"), (2 ** 40, "a" * 50_000), (77, "same text"), (77, "same text"), (78, "same text"), (None, "no id")]
