@@ -10,7 +10,8 @@ carried by the rules themselves: every rule holds the rules that enclose it, inn
 stack on top is that of the last rule started before it; the rules that have ended are those that the key does not start
 with, and the first that is left is the longest fit.
 
-A host that many urls share is dealt into ``lanes`` sorted ranges by a hash of the path, with its rules in each of them.
+A host that many urls share is dealt into ``lanes`` sorted ranges by a hash of the path, with its rules in each of them; there
+are as many lanes as shuffle partitions, and ``LANES`` at least.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
@@ -51,13 +52,14 @@ def _stacks(rules: DataFrame) -> DataFrame:
     return prefixes.join(outer, ["host", "prefix"]).groupBy("host", "path").agg(stack.alias("stack"))
 
 
-def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", lanes: int = LANES, keep=("page_id",)) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", lanes: int | None = None, keep=("page_id",)) -> DataFrame:
     """Per row of ``pages``: the ``keep`` columns, host, path, rule, verdict.
 
     The longest fitting rule (host and path together) decides, ``default`` where none fits.  Of rules with equal host and path
     block wins; a rule with a null part is left out.  A null or malformed url has an empty host and path and no rule.  Host and path
     of repeated urls are judged once.  A kept column may not be named host, path, rule or verdict.
     """
+    lanes = lanes or max(LANES, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     given = pages.select(*keep, url_host(F.col("url").cast("string")).alias("host"), url_path(F.col("url").cast("string")).alias("path"))
     rules = rules.dropna().groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     stacks = _stacks(rules)
