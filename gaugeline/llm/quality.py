@@ -2,9 +2,8 @@
 
 A text is read as two streams of tokens: its lower-cased words, and their forms (capitals, digits,
 signs, length, whether the word repeats the one before).  Runs of one and two words and of one to three
-forms are hashed into ``BUCKETS`` weights.  A feature's value is its share of the stream's runs, ``SHORT`` more
-counted, so the score is a sparse dot product that does not grow with the length of the text, and a
-text of a few words stays near the bias.
+forms are hashed into ``BUCKETS`` weights.  A feature's value is its count over the square root of all runs of its
+stream, so the score is a sparse dot product in which a text of a few words stays near the bias.
 
 The fit reads at most ``sample`` labelled texts, those with the least hash of their id, in one task
 (the only bounded step, 20,000 by default); scoring reads every text, with the weights broadcast (2 MB).
@@ -15,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
+from gaugeline.llm.workers import importable
 
 BUCKETS = 1 << 18
 SAMPLE = 20_000
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 1e-4, 1e-4, 3
-SHORT = 6.0
 
 
 def _forms(data, starts, ends, word):
@@ -56,7 +55,7 @@ def features(data: np.ndarray, bounds: np.ndarray):
         count = np.bincount(owner, minlength=len(bounds) - 1)
         texts.append(owner)
         buckets.append((W.mix(h[inside]) % np.uint64(BUCKETS - 1)).astype(np.int64) + 1)
-        values.append(1.0 / (count[owner] + SHORT))
+        values.append(1.0 / np.sqrt(count[owner]))
     return np.concatenate(texts), np.concatenate(buckets), np.concatenate(values)
 
 
@@ -103,7 +102,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """
     chosen = (labels.select("doc_id", F.col("quality").cast("long").alias("y")).dropna().groupBy("doc_id").agg(F.max("y").alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = importable(docs).select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     found = (texts.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text").select("y", "text")
              .mapInArrow(_train, "bucket long, weight double").toArrow())
     weights = np.zeros(BUCKETS)
@@ -122,7 +121,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep=("doc_id",), name: str = "s
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, n) for c in batch.columns[1:]], pa.array(scores(shared.value, data, bounds))],
                                                  names=[*batch.schema.names[1:], name])
 
-    df = docs.select(F.col("text").cast("string").alias("__text"), *[F.col(c) for c in keep])
+    df = importable(docs).select(F.col("text").cast("string").alias("__text"), *[F.col(c) for c in keep])
     return df.mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in df.dtypes[1:]) + f", `{name}` double")
 
 
