@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
+from gaugeline.llm.workers import importable
 
 BLOCK_BYTES = 256 << 10
 KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
@@ -145,7 +146,7 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 10, keep=(
     """
     blocks = item_blocks(items)
     own = [F.col(c) for c in keep]
-    df = docs.select(F.col("text").cast("string").alias("text"), *own)
+    df = importable(docs).select(F.col("text").cast("string").alias("text"), *own)
     fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes[1:])
     out = df.mapInArrow(_scanner(blocks, size), f"{fields}, n_words long, n_hit long, items array<string>, items_sha256 string, "
                         "spans array<struct<start: long, end: long>>")

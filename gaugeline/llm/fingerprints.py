@@ -14,6 +14,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from gaugeline.llm.workers import importable
 
 BUCKETS = 256
 #: Offsets of the triplets in a run of five bytes, newest first.
@@ -152,7 +153,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     of one doc_id are ordered by their text.  A single row is its own neighbour.  A null text is empty; all texts under five
     bytes have the same bucket codes.  Equal texts have equal fingerprints.  Other columns are ignored.
     """
-    placed = in_ranges(docs)
+    placed = in_ranges(importable(docs))
     parts = max(1, placed.sparkSession.sparkContext.defaultParallelism, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = placed.repartition(parts, "part").sortWithinPartitions("part", "late", F.col("doc_id").desc_nulls_last(), "text")
     return dealt.mapInArrow(_score, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
 from gaugeline.llm.components import components
+from gaugeline.llm.workers import importable
 from gaugeline.sources.tables import discard, stored
 
 SIZE = 5
@@ -202,7 +203,7 @@ def link_components(docs: DataFrame, percent: int = 85) -> DataFrame:
     Repeated rows of one doc_id are one document if their texts are equal; a null doc_id is
     returned with its count, component null and kept true.  Other columns are ignored.
     """
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    base = importable(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signs = stored(base.mapInArrow(_signatures, "doc_id long, n_shingles long, set_key binary, sign binary, bands array<long>"), "signs")
     filled = signs.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("set_key").agg(F.min("doc_id").alias("rep"))

@@ -17,6 +17,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from gaugeline.llm.workers import importable
 
 # Token formats and their order.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -142,6 +143,6 @@ def scan_secrets(docs: DataFrame, keep=("doc_id",)) -> DataFrame:
     each secret replaced by its kind in brackets, null if there is none.  A null or empty text has none.
     Repeated rows are each judged.  A kept column may not carry the name of a result column.
     """
-    df = docs.select(F.col("text").cast("string").alias("text"), *[F.col(c) for c in keep])
+    df = importable(docs).select(F.col("text").cast("string").alias("text"), *[F.col(c) for c in keep])
     fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes[1:])
     return df.mapInArrow(_scan, f"{fields}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, masked string")
