@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
+from gaugeline.llm.workers import importable
 from gaugeline.sources.tables import stored
 
 VOCABULARY = 1 << 19
@@ -62,6 +63,11 @@ def discounted(counts: np.ndarray, factor: np.ndarray) -> np.ndarray:
     return counts * factor[np.minimum(counts, MOST + 1)]
 
 
+def _sums(at: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """Sums by index, as floats even where there is nothing to add."""
+    return np.bincount(at, weights=value, minlength=n).astype(np.float64)
+
+
 def _count_words(batches):
     """(word, count) of the training texts, summed over what a task has read so far."""
     held, size = [], 0
@@ -108,10 +114,16 @@ class Model:
     def base(self, counts):
         return np.log10((counts + 0.5) / (self.total + 0.5 * (self.types + 1)))
 
-    def member(self, counts: np.ndarray) -> np.ndarray:
+    def base_of(self, c: F.Column) -> F.Column:
+        return F.log10((c + 0.5) / F.lit(self.total + 0.5 * (self.types + 1)))
+
+    def member_of(self, c: F.Column) -> F.Column:
         """log10 of the share of <unk> of a rare word with that training count, 0: unseen."""
-        p = np.where(counts > 0, self.scale * discounted(counts, self.factor) / max(self.total, 1), self.unseen)
-        return np.log10(np.maximum(p / self.p[UNKNOWN], 1e-300))
+        factor = F.lit(1.0)
+        for r in range(1, MOST + 1):
+            factor = F.when(c == r, float(self.factor[r])).otherwise(factor)
+        p = F.when(c > 0, factor * c * F.lit(self.scale / max(self.total, 1))).otherwise(F.lit(float(self.unseen)))
+        return F.log10(F.greatest(p / F.lit(float(self.p[UNKNOWN])), F.lit(1e-300)))
 
     def numbers(self, words: np.ndarray) -> np.ndarray:
         """Vocabulary numbers of word hashes."""
@@ -226,7 +238,7 @@ def _history_sums(model, factor):
             for pair, count in _blocks(batch):
                 before, after = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 names, turn = np.unique(before, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(np.bincount(turn, weights=x, minlength=len(names))) for x in (
+                yield pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(_sums(turn, x, len(names))) for x in (
                     count, discounted(count, factor), model.value.p[after])]], names=["h", "n", "seen", "lower"])
 
     return run
@@ -252,7 +264,7 @@ class Katz:
 def fit(docs: DataFrame) -> Katz:
     """Learn from all texts of ``docs``.  A null text is empty; an empty text has one token, the end."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("text").cast("string").alias("text"))
+    texts = importable(docs).select(F.col("text").cast("string").alias("text"))
     words = stored(texts.mapInArrow(_count_words, "word long, c long").groupBy("word").agg(F.sum("c").alias("c")), "words")
     ends = texts.count()
     by_count = words.groupBy("c").agg(F.count("*").alias("n")).toArrow()  # as many rows as there are different counts
@@ -268,7 +280,7 @@ def fit(docs: DataFrame) -> Katz:
     kept = words.where(F.col("c") >= least).toArrow()
     model = Model(kept.column("word").to_numpy().view(np.uint64), kept.column("c").to_numpy(), total, types, ends, factor, seen_mass)
     shared = spark.sparkContext.broadcast(model)
-    parts = max(8, -(-total // PER_PART))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PER_PART))
     counted = texts.mapInArrow(_count_pairs(shared, parts), "part int, before binary, after binary, counts binary")
     bigrams = stored(counted.groupBy("part").applyInArrow(_sum_pairs, "part int, before binary, after binary, counts binary"), "bigrams")
     rows = bigrams.mapInArrow(_counts_of_counts, "r long, n long").groupBy("r").agg(F.sum("n")).collect()
@@ -317,10 +329,10 @@ def _row_sums(shared):
                 common, rare = number != UNKNOWN, np.flatnonzero(number == UNKNOWN)
                 tokens = np.bincount(owner, minlength=n)
                 known = np.bincount(text[common], minlength=n) + (model.ends > 0)
-                base = np.bincount(text[common], weights=model.base(model.count[number[common]]), minlength=n) + model.base(model.ends)
+                base = _sums(text[common], model.base(model.count[number[common]]), n) + model.base(model.ends)
                 count = _lookup(model.often, model.often_count, pair)
                 often = count > 0
-                score = np.bincount(owner[often], weights=log_probability(model, pair[often], count[often]), minlength=n)
+                score = _sums(owner[often], log_probability(model, pair[often], count[often]), n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=n))]).astype(np.int32)), pa.array(word[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, n) for c in batch.columns[1:]], pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), lists],
                                                  names=[*batch.schema.names[1:], "n_tokens", "n_known", "base", "score", "rare"])
@@ -329,50 +341,73 @@ def _row_sums(shared):
 
 
 def _pair_rows(shared, parts):
-    """Rows (part, texts, sizes, before, after) of all pairs but the frequent ones, text by text."""
+    """Rows (part, chunk, texts, sizes, before, after) of all pairs but the frequent ones, text by text.
+
+    A chunk are the texts of a few million pairs in a task; it is named after its texts, so a task that runs again names it alike.
+    """
+    names = ["part", "chunk", "texts", "sizes", "before", "after"]
+
+    def rows(pairs, owners, keys):
+        pair, owner, key = (np.concatenate(x) for x in (pairs, owners, keys))
+        chunk = int(W.mix(np.array([W.mix(key.view(np.uint64)).sum()], np.uint64)).view(np.int64)[0])
+        part = shared.value.part(pair, parts)
+        order = np.lexsort((owner, part))
+        cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+        out = []
+        for a, b in zip(cut[:-1], cut[1:]):
+            own = order[a:b]
+            text, size = np.unique(owner[own], return_counts=True)
+            out.append((int(part[own[0]]), chunk, key[text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
+        cols = list(zip(*out)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]], names=names)
+
     def run(batches):
-        model = shared.value
+        model, pairs, owners, keys, texts, size = shared.value, [], [], [], 0, 0
         for batch in batches:
-            keys = batch.column("row").to_numpy()
+            key = batch.column("row").to_numpy()
             for at, data, bounds in W.pieces(batch.column(0)):
                 _, _, _, pair, owner = model.pairs(data, bounds)
                 left = _lookup(model.often, model.often_count, pair) == 0
-                pair, owner = pair[left], owner[left]
-                part = model.part(pair, parts)
-                order = np.lexsort((owner, part))
-                cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-                out = []
-                for a, b in zip(cut[:-1], cut[1:]):
-                    own = order[a:b]
-                    text, size = np.unique(owner[own], return_counts=True)
-                    out.append((int(part[own[0]]), keys[at + text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
-                cols = list(zip(*out)) or [()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["part", "texts", "sizes", "before", "after"])
+                pairs.append(pair[left])
+                owners.append(owner[left] + texts)
+                keys.append(key[at:at + len(bounds) - 1])
+                texts, size = texts + len(bounds) - 1, size + len(pairs[-1])
+                if size > FLUSH // 2:
+                    yield rows(pairs, owners, keys)
+                    pairs, owners, keys, texts, size = [], [], [], 0, 0
+        if pairs:
+            yield rows(pairs, owners, keys)
 
     return run
 
 
 def _part_scores(shared):
-    """Sums by text over one part: its pairs against its block of the bigram table."""
+    """A part's pairs against its block of the bigram table: one row for each chunk, with the sums of its texts."""
     def run(rows: pa.Table, table: pa.Table) -> pa.Table:
         model = shared.value
         names, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for b in table.to_batches():
             for names, counts in _blocks(b):
                 pass
-        texts, sums = [np.zeros(0, np.int64)], [np.zeros(0)]
+        sums = []
         for b in rows.to_batches():
-            for t, s, x, y in zip(*(b.column(c).to_pylist() for c in ("texts", "sizes", "before", "after"))):
+            for s, x, y in zip(*(b.column(c).to_pylist() for c in ("sizes", "before", "after"))):
                 pair, size = _unpack_pairs(x, y), _unpack(s).astype(np.int64)
                 value = log_probability(model, pair, _lookup(names, counts, pair))
-                texts.append(np.frombuffer(t, np.int64))
-                sums.append(np.add.reduceat(value, np.cumsum(size) - size))
-        rows_, turn = np.unique(np.concatenate(texts), return_inverse=True)
-        return pa.table({"row": rows_, "score": np.bincount(turn, weights=np.concatenate(sums), minlength=len(rows_))})
+                sums.append(np.add.reduceat(value, np.cumsum(size) - size).tobytes())
+        return pa.table({"chunk": rows.column("chunk"), "texts": rows.column("texts"), "sums": pa.array(sums, pa.binary())})
 
     return run
 
 
+def _text_scores(table: pa.Table) -> pa.Table:
+    """Sums by text over all parts of a chunk."""
+    texts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(t, np.int64) for t in table.column("texts").to_pylist())])
+    sums = np.concatenate([np.zeros(0), *(np.frombuffer(x) for x in table.column("sums").to_pylist())])
+    names, turn = np.unique(texts, return_inverse=True)
+    return pa.table({"row": names, "score": _sums(turn, sums, len(names))})
+
+
 def score(docs: DataFrame, model: Katz) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_tokens, n_known, base_score, score (log10 of the text's probability).
 
@@ -380,28 +415,19 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
     Rows of equal id and text are scored together and returned as often as they come.
     """
     shared = model.shared
-    base = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"))
+    base = importable(docs).select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("row"))
     fields = "doc_id long, row long, n_tokens long, n_known long, base double, score double, rare array<long>"
     rows = stored(base.mapInArrow(_row_sums(shared), fields), "rows")
     rare = rows.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("n"))
     known = model.words.where(F.col("c") < model.least)
 
-    @F.pandas_udf("double")
-    def member(c):
-        import pandas as pd
-        return pd.Series(shared.value.member(c.to_numpy()))
-
-    @F.pandas_udf("double")
-    def plain(c):
-        import pandas as pd
-        return pd.Series(shared.value.base(c.to_numpy()))
-
-    # distinct counts below the vocabulary's least are few: their values are looked up, not computed for each row
-    value = known.select("c").distinct().unionByName(known.sparkSession.range(1).select(F.lit(0).cast("long").alias("c"))).select("c", member("c").alias("m"), plain("c").alias("b"))
-    found = rare.join(known, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c")).groupBy("row", "c").agg(F.sum("n").alias("n")).join(value, "c")
-    of_rare = found.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * F.col("b")).alias("base"), F.sum(F.col("n") * F.col("m")).alias("score"))
-    pairs = base.select("text", "row").mapInArrow(_pair_rows(shared, model.parts), "part int, texts binary, sizes binary, before binary, after binary")
-    of_pairs = pairs.groupBy("part").cogroup(model.bigrams.groupBy("part")).applyInArrow(_part_scores(shared), "row long, score double")
+    own, c = shared.value, F.col("c")
+    found = rare.join(known, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
+    of_rare = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * own.base_of(c)).alias("base"),
+                                       F.sum(F.col("n") * own.member_of(c)).alias("score"))
+    pairs = base.select("text", "row").mapInArrow(_pair_rows(shared, model.parts), "part int, chunk long, texts binary, sizes binary, before binary, after binary")
+    of_parts = pairs.groupBy("part").cogroup(model.bigrams.groupBy("part")).applyInArrow(_part_scores(shared), "chunk long, texts binary, sums binary")
+    of_pairs = of_parts.groupBy("chunk").applyInArrow(_text_scores, "row long, score double")
     none = [F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base")]
     summed = of_rare.select("row", "n_known", "base", "score").unionByName(of_pairs.select("row", *none, "score"))
     summed = summed.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("n_known", "base", "score")])
