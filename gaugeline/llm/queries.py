@@ -30,17 +30,18 @@ def op8_minhash_near_dedup(spark, folder):
 
 
 @query("""
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 400)) AS k FROM d, unnest(range(0, length(h) // 2 - 199)) AS u(p)),
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS x FROM documents),
+w AS (SELECT doc_id, unnest(range(0, octet_length(x) - 199)) AS p,
+    unnest(list_transform(range(0, octet_length(x) - 199), lambda i: md5(x[i + 1:i + 200]))) AS k FROM d),
 t AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
 c AS (SELECT doc_id, p, p > coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 200, -1) AS fresh FROM w WHERE k IN (SELECT k FROM t)),
 i AS (SELECT doc_id, p, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM c),
 s AS (SELECT doc_id, span, min(p) AS a, max(p) + 200 AS b FROM i GROUP BY ALL),
 g AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
 k AS (SELECT g.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
-    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM g JOIN d USING (doc_id) GROUP BY g.doc_id)
-SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-    sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    string_agg(CASE WHEN a > before THEN hex(x[before + 1:a]) ELSE '' END, '' ORDER BY a) AS kept FROM g JOIN d USING (doc_id) GROUP BY g.doc_id)
+SELECT doc_id, octet_length(x)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+    sha256(unhex(coalesce(kept, '') || CASE WHEN octet_length(x) > coalesce(last, 0) THEN hex(x[coalesce(last, 0) + 1:octet_length(x)]) ELSE '' END)) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id)
 """)
 def op4_suffix_array_dedup(spark, folder):
