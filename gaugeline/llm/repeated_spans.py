@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
+from gaugeline.llm.workers import importable
 from gaugeline.sources.tables import stored
 
 GRAM = 32
@@ -347,7 +348,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     of each other, whatever their doc_id, so all their bytes go if they have ``length`` or more.  A null
     doc_id stays null.  Other columns are ignored.  ``length`` has to be 64 or more.
     """
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
+    base = importable(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # never null, so that both joins below deal out the same texts in the same way and Spark does it once
     base = base.withColumn("key", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")))
@@ -355,7 +356,8 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     texts = stored(listed.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("grams").alias("grams")), "texts")
     # a short id is enough here: two texts that share one only get more grams looked at
     each = texts.select(F.xxhash64("key").alias("id"), F.explode("grams").alias("gram"))
-    often = each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
+    # written, so that the join below has two shuffled sides and Spark can split the part of a hot gram
+    often = stored(each.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"), "often")
     wanted = stored(each.join(often, "gram").groupBy("id").agg(F.collect_set(F.struct("gram", "n")).alias("wanted")), "wanted")
     sizes = wanted.agg(F.sum(F.size("wanted")).alias("all"), F.max(F.array_max(F.transform("wanted", lambda w: w["n"]))).alias("most")).first()
     blocks = 1 + (sizes["all"] or 0) // PER_BLOCK
