@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeline.functions.frames import unpivot
 from gaugeline.functions.scores import normal_cdf
+from gaugeline.operators import intervals as iv
 
 
 @dataclass(frozen=True)
@@ -36,24 +37,29 @@ def _std_pop(s, w):
     return F.sqrt(F.greatest(F.sum(s * s * w) / F.sum(w) - mean * mean, F.lit(0.0)))
 
 
+def order_statistic(s: Column, w: Column, share: float) -> Column:
+    """The first score whose running count exceeds floor(share * n); reads the distinct scores of one group."""
+    cells = F.array_sort(F.collect_list(F.struct(s.cast("double").alias("s"), w.cast("double").alias("w"))))
+    start = F.struct(F.floor(F.sum(w) * share).cast("double").alias("left"), F.lit(None).cast("double").alias("v"))
+    found = F.aggregate(cells, start, lambda a, x: F.struct(
+        (a["left"] - x["w"]).alias("left"),
+        F.when(a["v"].isNull() & (a["left"] - x["w"] < 0), x["s"]).otherwise(a["v"]).alias("v")))
+    return found["v"]
+
+
 def default_metrics() -> MetricRegistry:
     return MetricRegistry([
         Metric("mean", _weighted_mean, True),
         Metric("median", lambda s, w: F.percentile(s, 0.5, w), True),
         Metric("share_4_up", lambda s, w: F.sum(F.when(s >= 4, w).otherwise(0)) / F.sum(w), True),
-        Metric("p5", lambda s, w: F.min(F.when(F.col("__cum") > F.floor(F.col("__total") * 0.05), s)), True),
+        Metric("p5", lambda s, w: order_statistic(s, w, 0.05), True),
         Metric("std", _std_pop, False),
     ])
 
 
 def score_histogram(df: DataFrame, by, score: str) -> DataFrame:
-    """Counts per distinct score with running totals; all metrics read this."""
-    hist = df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("__w"))
-    w = Window.partitionBy(*by)
-    return hist.withColumns({
-        "__cum": F.sum("__w").over(w.orderBy(score).rowsBetween(Window.unboundedPreceding, 0)),
-        "__total": F.sum("__w").over(w),
-    })
+    """Counts per distinct score; all metrics read this."""
+    return df.where(F.col(score).isNotNull()).groupBy(*by, score).agg(F.count("*").alias("__w"))
 
 
 def metric_panel(df: DataFrame, by, score: str, registry: MetricRegistry | None = None) -> DataFrame:
@@ -64,6 +70,20 @@ def metric_panel(df: DataFrame, by, score: str, registry: MetricRegistry | None
         F.sum("__w").alias("n"), *[m.agg(s, w).alias(m.id) for m in registry.metrics.values()])
 
 
+def bootstrap_panel(df: DataFrame, key: str, by, score: str, registry: MetricRegistry | None = None, units: int | None = 1000,
+                    replicates: int = 500, salt="panel") -> DataFrame:
+    """Value and percentile interval of every registered metric, from a Poisson bootstrap of the score histogram."""
+    registry = registry or default_metrics()
+    cells = df.where(F.col(score).isNotNull()).groupBy(*by, iv.unit_of(key, units).alias("__unit"), score).agg(F.count("*").alias("__n"))
+    rows = iv.replicates_of(cells, [*by, score, "__n"], replicates, salt)
+    hist = rows.groupBy(*by, "__b", score).agg(F.sum(F.col("__w") * F.col("__n")).alias("__w"))
+    aggs = [m.agg(F.col(score), F.col("__w")).alias(m.id) for m in registry.metrics.values()]
+    values = {i: F.col(i) for i in registry.metrics}
+    long = unpivot(hist.groupBy(*by, "__b").agg(*aggs), [*by, "__b"], values, "metric", "value")
+    ends = iv.rank_pick(long, [*by, "metric"], "value", iv.percentile_ranks())
+    return unpivot(metric_panel(df, by, score, registry), by, values, "metric", "value").join(ends, [*by, "metric"])
+
+
 def metric_winners(panel: DataFrame, system: str, systems, by=(), registry=None, tie=0.001) -> DataFrame:
     """Winner per metric, direction aware; a difference below ``tie`` is a tie."""
     registry = registry or default_metrics()

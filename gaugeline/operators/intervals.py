@@ -64,6 +64,21 @@ def curve(post: DataFrame, keys, points=401) -> DataFrame:
     return grid.select(*keys, "i", "x", (F.col("mass") / F.col("step")).alias("density"))
 
 
+def unit_of(key: str, units: int | None) -> Column:
+    """Resampling unit of a row: a hash group of its key, or the key itself."""
+    hashed = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(units or 1))
+    return F.col(key).cast("string") if units is None else hashed.cast("string")
+
+
+def replicates_of(cells: DataFrame, columns, replicates: int, salt) -> DataFrame:
+    """Every cell of a unit once per replicate that draws the unit, with its Poisson weight ``__w``."""
+    rows = cells.groupBy("__unit").agg(F.collect_list(F.struct(*columns)).alias("__g"))  # a struct per cell of one unit
+    rows = with_range(rows, "__b", replicates)
+    key = F.concat("__unit", F.lit(":"), F.col("__b").cast("string"))
+    rows = pinned(rows, {"__w": poisson_one(uniform(key, salt))}).where("__w > 0")
+    return rows.select("__b", "__w", F.inline("__g"))
+
+
 def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int | None = 1000) -> DataFrame:
     """Sums per resampling unit: the only pass over the rows that a bootstrap needs.
 
@@ -71,9 +86,7 @@ def unit_sums(df: DataFrame, key: str, value: Column, by=(), units: int | None =
     units x replicates numbers, whatever the row count, and its ends differ from the row bootstrap's by about 1 / sqrt(2 * units) of
     its width.  With None every row is a unit of its own, which is the plain bootstrap and costs rows x replicates.
     """
-    hashed = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), F.lit(units or 1))
-    unit = F.col(key).cast("string") if units is None else hashed.cast("string")
-    return df.where(value.isNotNull()).groupBy(*by, unit.alias("__unit")).agg(
+    return df.where(value.isNotNull()).groupBy(*by, unit_of(key, units).alias("__unit")).agg(
         F.sum(value).alias("__s"), F.count("*").alias("__c"))
 
 
@@ -83,11 +96,7 @@ def replicate_means(sums: DataFrame, by=(), replicates: int = 2000, salt="boot")
     A unit has the same weight in all groups, so differences between groups within one replicate are paired.
     Each weight is drawn once, beside the sums it multiplies.
     """
-    rows = sums.groupBy("__unit").agg(F.collect_list(F.struct(*by, "__s", "__c")).alias("__g"))  # a struct per group
-    rows = with_range(rows, "__b", replicates)
-    key = F.concat("__unit", F.lit(":"), F.col("__b").cast("string"))
-    rows = pinned(rows, {"__w": poisson_one(uniform(key, salt))}).where("__w > 0")
-    rows = rows.select("__b", "__w", F.inline("__g"))
+    rows = replicates_of(sums, [*by, "__s", "__c"], replicates, salt)
     return rows.groupBy(*by, "__b").agg(
         (F.sum(F.col("__w") * F.col("__s")) / F.sum(F.col("__w") * F.col("__c"))).alias("__m"))
 

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from gaugeline.functions.frames import with_grid
 from gaugeline.functions.hashing import uniform
 from gaugeline.operators import comparison as co, intervals as iv, mixes as mx, reporting as rp
-from gaugeline.plans.registry import query, u_sql
-from gaugeline.plans.uncertainty import boot_sql
+from gaugeline.plans.registry import query, u_sql, unit_sql
+from gaugeline.plans.uncertainty import POISSON, boot_sql
 from gaugeline.plans.views import QUALITY_EVAL, SCORES, quality_eval, scores, with_views
 from gaugeline.sources.tables import table
 
@@ -89,6 +89,29 @@ def metric_panel(spark, d):
     return co.metric_panel(scores(spark, d), ["system", "metric"], "score")
 
 
+BOOT_PANEL = f"""
+uc AS (SELECT system, {unit_sql("event_id", 1000)} AS unit, score, count(*) AS n FROM v_scores GROUP BY ALL),
+ub AS (SELECT unit, b, {POISSON} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCHAR || ':' || b::VARCHAR)", "'panel'")} AS u
+  FROM (SELECT DISTINCT unit FROM uc), range(200) r(b))),
+bh AS (SELECT system, b, score, sum(w * n) AS w FROM uc JOIN ub USING (unit) WHERE w > 0 GROUP BY ALL
+  UNION ALL SELECT system, -1, score, sum(n) FROM uc GROUP BY ALL),
+bc AS (SELECT *, sum(w) OVER (PARTITION BY system, b ORDER BY score) AS c, sum(w) OVER (PARTITION BY system, b) AS t FROM bh),
+bm AS (SELECT system, b, sum(score * w) / sum(w)::DOUBLE AS mean, sum(w) FILTER (score >= 4) / sum(w)::DOUBLE AS share_4_up,
+    min(score) FILTER (c > floor(t * 5e-2)) AS p5, sqrt(sum(score * score * w) / sum(w) - pow(sum(score * w) / sum(w), 2)) AS std FROM bc GROUP BY ALL),
+bl AS (SELECT system, b, metric, value FROM bm UNPIVOT (value FOR metric IN (mean, share_4_up, p5, std))),
+br AS (SELECT *, row_number() OVER (PARTITION BY system, metric ORDER BY value) - 1 AS r, count(*) OVER (PARTITION BY system, metric) AS n FROM bl WHERE b >= 0)"""
+
+
+@query(with_views(SCORES, BOOT_PANEL) + """
+SELECT system, metric, round(p.value, 6) AS value, round(max(br.value) FILTER (r = floor(25e-3 * n)), 6) AS lo,
+  round(max(br.value) FILTER (r = floor(975e-3 * n)), 6) AS hi FROM br JOIN (SELECT * FROM bl WHERE b = -1) p USING (system, metric) GROUP BY ALL""")
+def bootstrap_metrics(spark, d):
+    """Intervals of registered metrics, one of them added by the caller."""
+    registry = co.MetricRegistry([m for m in co.default_metrics().metrics.values() if m.id in ("mean", "share_4_up", "std")])
+    registry.register("p5", lambda s, w: co.order_statistic(s, w, 0.05), True)
+    return co.bootstrap_panel(scores(spark, d), "event_id", ["system"], "score", registry, replicates=200)
+
+
 WINNERS = """
 lg AS (SELECT system, metric AS segment, id, value FROM
     (SELECT system, metric, mean, median, share_4_up, p5, std FROM pn)

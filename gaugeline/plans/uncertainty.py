@@ -117,7 +117,7 @@ def posterior_curve(spark, d):
     return iv.curve(posteriors(spark, d), KEYS)
 
 
-_W = "CASE " + " ".join(f"WHEN u < {b!r} THEN {k}" for k, b in enumerate(
+POISSON = "CASE " + " ".join(f"WHEN u < {b!r} THEN {k}" for k, b in enumerate(
     accumulate(0.36787944117144233 / factorial(k) for k in range(12)))) + " ELSE 12 END"
 
 
@@ -126,7 +126,7 @@ def boot_sql(source, key, value, by, units, reps, salt):
     return f"""
 us AS (SELECT {cols}{unit_sql(key, units)} AS unit, sum({value}) AS s, count(*) AS c FROM {source} GROUP BY ALL),
 ut AS (SELECT DISTINCT unit FROM us),
-wt AS (SELECT unit, b, {_W} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCHAR || ':' || b::VARCHAR)", f"'{salt}'")} AS u
+wt AS (SELECT unit, b, {POISSON} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCHAR || ':' || b::VARCHAR)", f"'{salt}'")} AS u
   FROM ut, range({reps}) r(b))),
 rp AS (SELECT {cols}b, sum(w * s) / sum(w * c)::DOUBLE AS m FROM us JOIN wt USING (unit) WHERE w > 0 GROUP BY ALL)"""
 
