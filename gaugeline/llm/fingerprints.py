@@ -25,7 +25,7 @@ MOST = BUCKETS * FAR + 2 * 15 * RATIO_WEIGHT + LENGTH_MOST * LENGTH_WEIGHT + 1
 _rng = np.random.Generator(np.random.PCG64(11))
 #: One scrambled 16-bit table for each triplet and place; the sum's high byte is the bucket.
 TABLES = _rng.integers(0, 1 << 16, (len(TRIPLETS), 3, 256), dtype=np.uint16)
-RANGE_ROWS, COARSE, FINE = 20_000, 1024, 64
+RANGE_ROWS, COARSE, FINE = 5_000, 1024, 64
 
 
 def counts(data: np.ndarray) -> np.ndarray:

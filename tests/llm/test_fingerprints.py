@@ -21,7 +21,7 @@ def brute(rows):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("size,coarse", [(20_000, 1024), (7, 1024), (2, 4)])
+@pytest.mark.parametrize("size,coarse", [(5_000, 1024), (7, 1024), (2, 4)])
 def test_brute_force(spark, documents, monkeypatch, size, coarse):
     monkeypatch.setattr(fp, "RANGE_ROWS", size)
     monkeypatch.setattr(fp, "COARSE", coarse)
