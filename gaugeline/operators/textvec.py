@@ -17,7 +17,7 @@ def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_ma
     """
     rows = pinned(docs.select(key, text), {"__t": tokens(F.col(text))}).select(key, "__t")
     terms = F.col("__t") if n_max == 1 else ngrams_upto(F.col("__t"), n_max)
-    rows = pinned(rows, {"__s": F.array_sort(terms)}).select(key, "__s").where(F.size("__s") > 0)
+    rows = pinned(rows, {"__s": F.sort_array(terms)}).select(key, "__s").where(F.size("__s") > 0)
     at = F.sequence(F.lit(0), F.size("__s") - 1)
     starts = F.filter(at, lambda i: (i == 0) | (F.get("__s", i) != F.get("__s", i - 1)))
     rows = pinned(rows, {"__i": starts})

@@ -52,7 +52,7 @@ r AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS we
     row_number() OVER (PARTITION BY doc_id ORDER BY w DESC, term) AS rank FROM w)""") + """
 SELECT doc_id, rank::INT AS rank, term, round(weight, 6) AS weight FROM r WHERE rank <= 3""")
 def tfidf_topterms(spark, d):
-    counts = doc_counts(spark, d)
+    counts = stored(doc_counts(spark, d), "counts")  # read for the idf and for the weights
     return tv.top_terms(tv.raw_weights(counts, doc_idf(spark, d, counts), "doc_id", capped=True), "doc_id", 3)
 
 
@@ -61,7 +61,7 @@ w AS (SELECT doc_id, term, tf * idf AS w FROM tf JOIN idf USING (term))""") + ""
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""")
 def tfidf_weights(spark, d):
     """The whole normalised TF-IDF matrix as rows."""
-    counts = doc_counts(spark, d)
+    counts = stored(doc_counts(spark, d), "counts")  # read for the idf and for the weights
     return tv.normalised(tv.raw_weights(counts, doc_idf(spark, d, counts), "doc_id", capped=True), "doc_id")
 
 
