@@ -5,9 +5,13 @@ Tables, all counted over every training text:
   bigrams   rows of (part, pairs, counts): sorted pairs of vocabulary numbers, in blocks of one part each.
   histories denominator and backoff weight by vocabulary number.
 
-The vocabulary are the ``VOCABULARY`` most frequent words (at least two occurrences), numbered by
-rank; it bounds what is broadcast.  All rarer and all unseen words are members of the class
-<unk>, which a bigram sees as one word; a member's share of the class comes from its own count.
+The vocabulary are all words with at least ``min_count`` occurrences, numbered by rank.  All rarer and
+all unseen words are members of the class <unk>, which a bigram sees as one word; a member's share of the
+class comes from its own count.
+
+The numbers of the ``CACHED`` most frequent words, at most, are broadcast.  Where the vocabulary is larger, the others
+are numbered in a table: pairs with a word that isn't cached go out under its hash and are joined with that table, their
+histories' denominators and weights come from the part's own block.  ``CACHED`` does not change a result.
 
 Discounts are Good-Turing for counts up to 5, at both orders.  A word w after h has
     P(w | h) = d(c) c(h, w) / n(h)    if the pair was seen, else
@@ -27,7 +31,7 @@ from gaugeline.llm import words as W
 from gaugeline.llm.workers import importable
 from gaugeline.sources.tables import stored
 
-VOCABULARY = 1 << 19
+CACHED = 1 << 19
 FREQUENT = 1 << 16
 PER_PART = 2_000_000
 START, END, UNKNOWN, FIRST = 0, 1, 2, 3
@@ -94,9 +98,12 @@ def _count_words(batches):
 
 
 class Model:
-    """What tasks need of the bounded tables: the vocabulary, unigram values, and by vocabulary number denominators and weights."""
+    """What tasks need of the bounded tables: the cached words, unigram values, and by cached number denominators and weights.
+
+    ``steps`` are the vocabulary's counts, falling, and how many words have them: a word's number tells its count.
+    """
 
-    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, types: int, ends: int, factor: np.ndarray, seen_mass: float):
+    def __init__(self, words: np.ndarray, counts: np.ndarray, total: int, types: int, ends: int, factor: np.ndarray, seen_mass: float, steps: tuple):
         rank = np.lexsort((words, -counts))
         words, counts = words[rank], counts[rank]
         self.order = np.argsort(words)
@@ -106,7 +113,10 @@ class Model:
         self.scale = 1.0 if seen_mass < 1 - 1e-12 else total / (total + 1.0)
         p = self.scale * discounted(self.count, factor) / max(total, 1)
         self.unseen = 1.0 - self.scale * seen_mass
-        p[UNKNOWN] = max(1.0 - p[[END, *range(FIRST, len(p))]].sum(), 1e-300)
+        self.step, self.upto = steps[0], np.cumsum(steps[1])
+        in_vocabulary = self.scale * (discounted(steps[0], factor) * steps[1]).sum() / max(total, 1)
+        p[UNKNOWN] = max(1.0 - p[END] - in_vocabulary, 1e-300)
+        self.wide = bool(len(self.upto)) and int(self.upto[-1]) > len(words)
         self.p = p
         with np.errstate(divide="ignore"):
             self.logp = np.log10(p)
@@ -132,8 +142,29 @@ class Model:
         at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
         return np.where(self.sorted[at] == words, self.order[at] + FIRST, UNKNOWN)
 
+    def prob(self, number: np.ndarray) -> np.ndarray:
+        """P of vocabulary numbers, cached or not."""
+        size = len(self.p)
+        out = self.p[np.minimum(number, size - 1)]
+        far = number >= size
+        if far.any():
+            count = self.step[np.searchsorted(self.upto, number[far] - FIRST, "right")]
+            out[far] = self.scale * discounted(count, self.factor) / max(self.total, 1)
+        return out
+
+    def far_pairs(self, data, bounds):
+        """(before, after, text) of the pairs with a word that isn't cached: its hash in place of a number."""
+        word, number, text, pair, owner, far = self.pairs(data, bounds)
+        token = (pair & np.uint64(0xFFFFFFFF)).copy()
+        is_word = np.ones(len(token), bool)
+        is_word[np.cumsum(np.bincount(text, minlength=len(bounds) - 1) + 1) - 1] = False
+        token[is_word] = np.where(number == UNKNOWN, word, number.astype(np.uint64))
+        before = pair >> np.uint64(32)
+        before[1:] = np.where(before[1:] == START, before[1:], token[:-1])
+        return before[far], token[far], owner[far]
+
     def pairs(self, data, bounds):
-        """(word hash, number, text) of all words; (pair, text) of all tokens, the end included."""
+        """(word hash, number, text) of all words; (pair, text, whether a word's number is still to be found) of all tokens, the end included."""
         word, text, _, _ = W.words(data, bounds)
         number, n = self.numbers(word), len(bounds) - 1
         count = np.bincount(text, minlength=n)
@@ -146,13 +177,14 @@ class Model:
         before[1:] = token[:-1]
         before[np.concatenate([[0], last[:-1] + 1])[:n]] = START
         owner = np.repeat(np.arange(n), count + 1)
-        return word, number, text, before.astype(np.uint64) << np.uint64(32) | token.astype(np.uint64), owner
+        far = (token == UNKNOWN) | (before == UNKNOWN) if self.wide else np.zeros(len(token), bool)
+        return word, number, text, before.astype(np.uint64) << np.uint64(32) | token.astype(np.uint64), owner, far
 
     def part(self, pair: np.ndarray, parts: int) -> np.ndarray:
         before = pair >> np.uint64(32)
-        often = self.count >= max(self.total / parts / 8, 1)
+        often = np.append(self.count >= max(self.total / parts / 8, 1), False)  # the last: all that aren't cached
         often[[START, UNKNOWN]] = True
-        return (W.mix(np.where(often[before.astype(np.int64)], pair, before)) % np.uint64(parts)).astype(np.int32)
+        return (W.mix(np.where(often[np.minimum(before.astype(np.int64), len(self.count))], pair, before)) % np.uint64(parts)).astype(np.int32)
 
 
 def _pack(x: np.ndarray) -> bytes:
@@ -185,31 +217,117 @@ def _count_pairs(model, parts):
         held, size = [], 0
 
         def rows():
-            pair, count = np.unique(np.concatenate(held), return_counts=True)
-            part = model.value.part(pair, parts)
-            order = np.argsort(part, kind="stable")
-            cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-            for a, b in zip(cut[:-1], cut[1:]):
-                own = order[a:b]
-                yield (int(part[own[0]]), *_pack_pairs(pair[own]), _pack(count[own]))
-
-        def batch_of(found):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
-                                              names=["part", "before", "after", "counts"])
+            return _packed_counts(model.value, parts, *np.unique(np.concatenate(held), return_counts=True))
 
         for batch in batches:
             for _, data, bounds in W.pieces(batch.column(0)):
-                held.append(model.value.pairs(data, bounds)[3])
+                _, _, _, pair, _, far = model.value.pairs(data, bounds)
+                held.append(pair[~far])
                 size += len(held[-1])
                 if size > FLUSH:
-                    yield batch_of(list(rows()))
+                    yield rows()
+                    held, size = [], 0
+        if size:
+            yield rows()
+
+    return run
+
+
+def _packed_counts(model, parts, pair, count) -> pa.RecordBatch:
+    """Rows (part, before, after, counts) of different pairs in rising order."""
+    part, found = model.part(pair, parts), []
+    order = np.argsort(part, kind="stable")
+    cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+    for a, b in zip(cut[:-1], cut[1:]):
+        own = order[a:b]
+        found.append((int(part[own[0]]), *_pack_pairs(pair[own]), _pack(count[own])))
+    cols = list(zip(*found)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary(), pa.binary()))],
+                                      names=["part", "before", "after", "counts"])
+
+
+def _far_rows(model, keyed):
+    """Rows (row, before, after, n) of the pairs with a word that isn't cached, summed over a few million bytes; without ``keyed`` row is 0."""
+    def run(batches):
+        held, size = [], 0
+
+        def rows():
+            row, before, after = (np.concatenate(x) for x in zip(*held))
+            order = np.lexsort((after, before, row))
+            row, before, after = row[order], before[order], after[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (before[1:] != before[:-1]) | (after[1:] != after[:-1])
+            at = np.flatnonzero(new)
+            n = np.diff(np.append(at, len(row)))
+            return pa.RecordBatch.from_arrays([pa.array(row[at]), pa.array(before[at].view(np.int64)), pa.array(after[at].view(np.int64)), pa.array(n)], names=["row", "before", "after", "n"])
+
+        for batch in batches:
+            for at, data, bounds in W.pieces(batch.column(0)):
+                before, after, owner = model.value.far_pairs(data, bounds)
+                key = batch.column("row").to_numpy()[at:at + len(bounds) - 1] if keyed else np.zeros(len(bounds) - 1, np.int64)
+                held.append((key[owner], before, after))
+                size += len(before)
+                if size > FLUSH // 4:
+                    yield rows()
                     held, size = [], 0
         if size:
-            yield batch_of(list(rows()))
+            yield rows()
+
+    return run
+
+
+def _numbered(pairs: DataFrame, numbers: DataFrame, size: int) -> DataFrame:
+    """Pairs with their words' hashes replaced by numbers, <unk> for words outside the vocabulary.
+
+    A cached side is dealt by a hash of the pair, so a frequent word fills no task.
+    """
+    for side in ("before", "after"):
+        far = (F.col(side) < 0) | (F.col(side) >= size)
+        keyed = pairs.withColumn("word", F.when(far, F.col(side)).otherwise(F.xxhash64("before", "after", "row")))
+        pairs = keyed.join(numbers, "word", "left").withColumn(side, F.when(far, F.coalesce("number", F.lit(UNKNOWN))).otherwise(F.col(side))).drop("word", "number")
+    return pairs
+
+
+def _pair_of(batch):
+    return batch.column("before").to_numpy().astype(np.uint64) << np.uint64(32) | batch.column("after").to_numpy().astype(np.uint64)
+
+
+def _count_far(model, parts):
+    """Rows of the bigram table from pairs under numbers."""
+    def run(batches):
+        held, size = [], 0
+
+        def rows():
+            pair, n = (np.concatenate(x) for x in zip(*held))
+            names, turn = np.unique(pair, return_inverse=True)
+            return _packed_counts(model.value, parts, names, np.bincount(turn, weights=n, minlength=len(names)).astype(np.int64))
+
+        for batch in batches:
+            held.append((_pair_of(batch), batch.column("n").to_numpy()))
+            size += batch.num_rows
+            if size > FLUSH // 4:
+                yield rows()
+                held, size = [], 0
+        if size:
+            yield rows()
 
     return run
 
 
+def _number_rest(words: DataFrame, min_count: int, least: int, cached: int) -> DataFrame:
+    """(word, number) of the vocabulary that isn't cached, numbered on by falling counts; numbers stay below 2^32."""
+    rest = words.where(f"c >= {min_count} AND c < {least}").orderBy(F.desc("c"), "word")
+    rest = stored(rest.select("word", F.monotonically_increasing_id().alias("id")), "numbers")
+    place, at = F.shiftright("id", 33), FIRST + cached
+    sizes, starts = sorted(tuple(r) for r in rest.groupBy(place.alias("place")).count().collect()), []  # a row a file
+    for p, n in sizes:
+        starts.append((int(p), at))
+        at += n
+    starts = words.sparkSession.createDataFrame(starts, "place long, start long")
+    rest = rest.withColumn("place", place).join(F.broadcast(starts), "place")
+    return rest.select("word", (F.col("start") + F.col("id").bitwiseAND((1 << 33) - 1)).alias("number"))
+
+
 def _sum_pairs(table: pa.Table) -> pa.Table:
     """One block of the bigram table from all rows of its part."""
     pair = np.concatenate([_unpack_pairs(a, b) for a, b in zip(table.column("before").to_pylist(), table.column("after").to_pylist())])
@@ -236,14 +354,29 @@ def _history_sums(model, factor):
     def run(batches):
         for batch in batches:
             for pair, count in _blocks(batch):
-                before, after = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-                names, turn = np.unique(before, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(_sums(turn, x, len(names))) for x in (
-                    count, discounted(count, factor), model.value.p[after])]], names=["h", "n", "seen", "lower"])
+                cached = pair >> np.uint64(32) < len(model.value.count)
+                names, *sums = _by_history(model.value, pair[cached], count[cached], factor)
+                yield pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(x) for x in sums]], names=["h", "n", "seen", "lower"])
 
     return run
 
 
+def _by_history(model, pair, count, factor):
+    """(history, tokens, discounted tokens, lower order's mass of what was seen)."""
+    before, after = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    names, turn = np.unique(before, return_inverse=True)
+    return names, *[_sums(turn, x, len(names)) for x in (count, discounted(count, factor), model.prob(after))]
+
+
+def _weights(n, seen, lower):
+    """(denominator, backoff weight) of histories."""
+    # nothing left for unseen words: one more in the denominator; nothing unseen: the seen ones share all
+    n = np.where((n - seen < 1e-9) & (lower < 1 - 1e-12), n + 1, n)
+    all_seen = lower >= 1 - 1e-12
+    n = np.where(all_seen, seen, n)
+    return n, np.where(all_seen, 0.0, np.maximum(1 - seen / n, 0) / np.maximum(1 - lower, 1e-300))
+
+
 def _frequent(least):
     def run(batches):
         for batch in batches:
@@ -257,11 +390,11 @@ def _frequent(least):
 class Katz:
     """A fitted model: ``bigrams`` and ``words`` are tables, the rest is bounded and shared with tasks."""
 
-    def __init__(self, words, bigrams, shared, parts, least):
-        self.words, self.bigrams, self.shared, self.parts, self.least = words, bigrams, shared, parts, least
+    def __init__(self, words, bigrams, shared, parts, least, min_count, numbers):
+        self.words, self.bigrams, self.shared, self.parts, self.least, self.min_count, self.numbers = words, bigrams, shared, parts, least, min_count, numbers
 
 
-def fit(docs: DataFrame) -> Katz:
+def fit(docs: DataFrame, min_count: int = 2) -> Katz:
     """Learn from all texts of ``docs``.  A null text is empty; an empty text has one token, the end."""
     spark = docs.sparkSession
     texts = importable(docs).select(F.col("text").cast("string").alias("text"))
@@ -275,39 +408,54 @@ def fit(docs: DataFrame) -> Katz:
     factor = good_turing(of_counts)
     seen_mass = float((n * discounted(c, factor)).sum() + discounted(np.array([ends]), factor)[0]) / max(total, 1)
     order = np.argsort(-c)
-    fits = c[order][(np.cumsum(n[order]) <= VOCABULARY) & (c[order] >= 2)]
+    order = order[c[order] >= min_count]
+    fits = c[order][np.cumsum(n[order]) <= CACHED]
     least = int(fits.min()) if len(fits) else 1 << 62
     kept = words.where(F.col("c") >= least).toArrow()
-    model = Model(kept.column("word").to_numpy().view(np.uint64), kept.column("c").to_numpy(), total, types, ends, factor, seen_mass)
+    model = Model(kept.column("word").to_numpy().view(np.uint64), kept.column("c").to_numpy(), total, types, ends, factor, seen_mass, (c[order], n[order]))
     shared = spark.sparkContext.broadcast(model)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PER_PART))
     counted = texts.mapInArrow(_count_pairs(shared, parts), "part int, before binary, after binary, counts binary")
+    numbers = None
+    if model.wide:
+        numbers = _number_rest(words, min_count, least, len(kept))
+        far = _numbered(texts.mapInArrow(_far_rows(shared, False), "row long, before long, after long, n long"), numbers, len(model.count))
+        counted = counted.unionByName(far.mapInArrow(_count_far(shared, parts), "part int, before binary, after binary, counts binary"))
     bigrams = stored(counted.groupBy("part").applyInArrow(_sum_pairs, "part int, before binary, after binary, counts binary"), "bigrams")
     rows = bigrams.mapInArrow(_counts_of_counts, "r long, n long").groupBy("r").agg(F.sum("n")).collect()
     pair_factor = good_turing({r: k for r, k in rows})
     sums = (bigrams.mapInArrow(_history_sums(shared, pair_factor), "h long, n double, seen double, lower double")
-            .groupBy("h").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toArrow())  # a row a vocabulary number
+            .groupBy("h").agg(F.sum("n").alias("n"), F.sum("seen").alias("seen"), F.sum("lower").alias("lower")).toArrow())  # a row a cached number
     h, n, seen, lower = (sums.column(x).to_numpy() for x in ("h", "n", "seen", "lower"))
     size = len(model.count)
     model.denominator, model.backoff = np.ones(size), np.ones(size)
-    # nothing left for unseen words: one more in the denominator; nothing unseen: the seen ones share all
-    n = np.where((n - seen < 1e-9) & (lower < 1 - 1e-12), n + 1, n)
-    all_seen = lower >= 1 - 1e-12
-    n = np.where(all_seen, seen, n)
-    model.denominator[h] = n
-    model.backoff[h] = np.where(all_seen, 0.0, np.maximum(1 - seen / n, 0) / np.maximum(1 - lower, 1e-300))
+    model.denominator[h], model.backoff[h] = _weights(n, seen, lower)
     model.pair_factor = pair_factor
     often = bigrams.mapInArrow(_frequent(max(2, -(-total // FREQUENT))), "pair long, c long").toArrow()  # at most FREQUENT rows
     turn = np.argsort(often.column("pair").to_numpy().view(np.uint64))
     model.often, model.often_count = often.column("pair").to_numpy().view(np.uint64)[turn], often.column("c").to_numpy()[turn]
     shared.unpersist()
-    return Katz(words, bigrams, spark.sparkContext.broadcast(model), parts, least)
+    return Katz(words, bigrams, spark.sparkContext.broadcast(model), parts, least, min_count, numbers)
 
 
-def log_probability(model, pair: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """log10 P(after | before), with the pair's count: the discounted share if it was seen, else the backoff weight times the next lower order."""
+def log_probability(model, pair: np.ndarray, count: np.ndarray, rest: tuple | None = None) -> np.ndarray:
+    """``rest``: history numbers that aren't cached, with their denominators and weights.
+
+    log10 P(after | before), with the pair's count: the discounted share if it was seen, else the backoff weight times the next lower order.
+    """
     before, after = (pair >> np.uint64(32)).astype(np.int64), (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    p = np.where(count > 0, discounted(count, model.pair_factor) / model.denominator[before], model.backoff[before] * model.p[after])
+    size = len(model.count)
+    near = np.minimum(before, size - 1)
+    denominator, backoff = model.denominator[near], model.backoff[near]
+    far = np.flatnonzero(before >= size)
+    if len(far):
+        names, n, weight = rest
+        denominator[far], backoff[far] = 1.0, 1.0  # a word that was only seen last backs off in full
+        if len(names):
+            at = np.minimum(np.searchsorted(names, before[far]), len(names) - 1)
+            has = names[at] == before[far]
+            denominator[far[has]], backoff[far[has]] = n[at[has]], weight[at[has]]
+    p = np.where(count > 0, discounted(count, model.pair_factor) / denominator, backoff * model.prob(after))
     return np.log10(np.maximum(p, 1e-300))
 
 
@@ -325,13 +473,13 @@ def _row_sums(shared):
         for batch in batches:
             for at, data, bounds in W.pieces(batch.column(0)):
                 n = len(bounds) - 1
-                word, number, text, pair, owner = model.pairs(data, bounds)
+                word, number, text, pair, owner, far = model.pairs(data, bounds)
                 common, rare = number != UNKNOWN, np.flatnonzero(number == UNKNOWN)
                 tokens = np.bincount(owner, minlength=n)
                 known = np.bincount(text[common], minlength=n) + (model.ends > 0)
                 base = _sums(text[common], model.base(model.count[number[common]]), n) + model.base(model.ends)
                 count = _lookup(model.often, model.often_count, pair)
-                often = count > 0
+                often = (count > 0) & ~far
                 score = _sums(owner[often], log_probability(model, pair[often], count[often]), n)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(text[rare], minlength=n))]).astype(np.int32)), pa.array(word[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, n) for c in batch.columns[1:]], pa.array(tokens), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score), lists],
@@ -345,29 +493,16 @@ def _pair_rows(shared, parts):
 
     A chunk are the texts of a few million pairs in a task; it is named after its texts, so a task that runs again names it alike.
     """
-    names = ["part", "chunk", "texts", "sizes", "before", "after"]
-
     def rows(pairs, owners, keys):
-        pair, owner, key = (np.concatenate(x) for x in (pairs, owners, keys))
-        chunk = int(W.mix(np.array([W.mix(key.view(np.uint64)).sum()], np.uint64)).view(np.int64)[0])
-        part = shared.value.part(pair, parts)
-        order = np.lexsort((owner, part))
-        cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
-        out = []
-        for a, b in zip(cut[:-1], cut[1:]):
-            own = order[a:b]
-            text, size = np.unique(owner[own], return_counts=True)
-            out.append((int(part[own[0]]), chunk, key[text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
-        cols = list(zip(*out)) or [()] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]], names=names)
+        return _chunk(shared.value, parts, *(np.concatenate(x) for x in (pairs, owners, keys)))
 
     def run(batches):
         model, pairs, owners, keys, texts, size = shared.value, [], [], [], 0, 0
         for batch in batches:
             key = batch.column("row").to_numpy()
             for at, data, bounds in W.pieces(batch.column(0)):
-                _, _, _, pair, owner = model.pairs(data, bounds)
-                left = _lookup(model.often, model.often_count, pair) == 0
+                _, _, _, pair, owner, far = model.pairs(data, bounds)
+                left = (_lookup(model.often, model.often_count, pair) == 0) & ~far
                 pairs.append(pair[left])
                 owners.append(owner[left] + texts)
                 keys.append(key[at:at + len(bounds) - 1])
@@ -381,6 +516,68 @@ def _pair_rows(shared, parts):
     return run
 
 
+def _chunk(model, parts, pair, owner, key) -> pa.RecordBatch:
+    """The rows of one chunk: pairs and the place of their text among the keys."""
+    names = ["part", "chunk", "texts", "sizes", "before", "after"]
+    chunk = int(W.mix(np.array([W.mix(key.view(np.uint64)).sum()], np.uint64)).view(np.int64)[0])
+    part = model.part(pair, parts)
+    order = np.lexsort((owner, part))
+    cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
+    out = []
+    for a, b in zip(cut[:-1], cut[1:]):
+        own = order[a:b]
+        text, size = np.unique(owner[own], return_counts=True)
+        out.append((int(part[own[0]]), chunk, key[text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
+    cols = list(zip(*out)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]], names=names)
+
+
+def _direct(model, pair, min_count):
+    """(whether a pair is scored without its part's block, count): the frequent ones, and those with <unk> that training has none of."""
+    count = _lookup(model.often, model.often_count, pair)
+    before, after = pair >> np.uint64(32), pair & np.uint64(0xFFFFFFFF)
+    unseen = (min_count < 2) & ((before == UNKNOWN) | (after == UNKNOWN) & (before < len(model.count)))
+    return (count > 0) & (before < len(model.count)) | unseen, count
+
+
+def _far_scores(shared, min_count):
+    """(row, score) of the numbered pairs that need no block."""
+    def run(batches):
+        for batch in batches:
+            pair, n = _pair_of(batch), batch.column("n").to_numpy()
+            own, count = _direct(shared.value, pair, min_count)
+            keys, turn = np.unique(batch.column("row").to_numpy()[own], return_inverse=True)
+            value = n[own] * log_probability(shared.value, pair[own], count[own])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(_sums(turn, value, len(keys)))], names=["row", "score"])
+
+    return run
+
+
+def _far_chunks(shared, parts, min_count):
+    """Rows as of ``_pair_rows`` from the other numbered pairs."""
+    def run(batches):
+        held, size = [], 0
+
+        def rows():
+            pair, row = (np.concatenate(x) for x in zip(*held))
+            key, owner = np.unique(row, return_inverse=True)
+            return _chunk(shared.value, parts, pair, owner, key)
+
+        for batch in batches:
+            pair = _pair_of(batch)
+            left = ~_direct(shared.value, pair, min_count)[0]
+            n = batch.column("n").to_numpy()[left]
+            held.append((np.repeat(pair[left], n), np.repeat(batch.column("row").to_numpy()[left], n)))
+            size += len(held[-1][0])
+            if size > FLUSH // 4:
+                yield rows()
+                held, size = [], 0
+        if size:
+            yield rows()
+
+    return run
+
+
 def _part_scores(shared):
     """A part's pairs against its block of the bigram table: one row for each chunk, with the sums of its texts."""
     def run(rows: pa.Table, table: pa.Table) -> pa.Table:
@@ -389,11 +586,13 @@ def _part_scores(shared):
         for b in table.to_batches():
             for names, counts in _blocks(b):
                 pass
-        sums = []
+        far = names >> np.uint64(32) >= len(model.count)
+        h, *sums = _by_history(model, names[far], counts[far], model.pair_factor)
+        rest, sums = (h, *_weights(*sums)), []
         for b in rows.to_batches():
             for s, x, y in zip(*(b.column(c).to_pylist() for c in ("sizes", "before", "after"))):
                 pair, size = _unpack_pairs(x, y), _unpack(s).astype(np.int64)
-                value = log_probability(model, pair, _lookup(names, counts, pair))
+                value = log_probability(model, pair, _lookup(names, counts, pair), rest)
                 sums.append(np.add.reduceat(value, np.cumsum(size) - size).tobytes())
         return pa.table({"chunk": rows.column("chunk"), "texts": rows.column("texts"), "sums": pa.array(sums, pa.binary())})
 
@@ -424,12 +623,18 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
     own, c = shared.value, F.col("c")
     found = rare.join(known, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
     of_rare = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * own.base_of(c)).alias("base"),
-                                       F.sum(F.col("n") * own.member_of(c)).alias("score"))
+                                       F.sum(F.when(c < model.min_count, F.col("n") * own.member_of(c)).otherwise(0.0)).alias("score"))
     pairs = base.select("text", "row").mapInArrow(_pair_rows(shared, model.parts), "part int, chunk long, texts binary, sizes binary, before binary, after binary")
+    if own.wide:
+        far = base.select("text", "row").mapInArrow(_far_rows(shared, True), "row long, before long, after long, n long")
+        far = stored(_numbered(far, model.numbers, len(own.count)), "far")
+        pairs = pairs.unionByName(far.mapInArrow(_far_chunks(shared, model.parts, model.min_count), pairs.schema))
     of_parts = pairs.groupBy("part").cogroup(model.bigrams.groupBy("part")).applyInArrow(_part_scores(shared), "chunk long, texts binary, sums binary")
     of_pairs = of_parts.groupBy("chunk").applyInArrow(_text_scores, "row long, score double")
     none = [F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base")]
     summed = of_rare.select("row", "n_known", "base", "score").unionByName(of_pairs.select("row", *none, "score"))
+    if own.wide:
+        summed = summed.unionByName(far.mapInArrow(_far_scores(shared, model.min_count), "row long, score double").select("row", *none, "score"))
     summed = summed.groupBy("row").agg(*[F.sum(c).alias(f"more_{c}") for c in ("n_known", "base", "score")])
     copies = rows.groupBy("row").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("doc_id", "n_tokens", "n_known", "base", "score")])
     out = copies.join(summed, "row", "left").withColumn("at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
@@ -440,13 +645,14 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.round(with_more("n_known")).cast("long").alias("n_known"), with_more("base").alias("base_score"), with_more("score").alias("score"))
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, min_count: int = 2) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from the rows outside the held-out fold, scores all.  With no training text every probability is 1.
+    Learns from the rows outside the held-out fold, scores all.  Words of fewer than ``min_count`` occurrences are members of <unk>; with 1
+    these are the words that training lacks.  With no training text every probability is 1.
     Extra columns are ignored.
     """
     docs = docs.select("doc_id", "text")
-    model = fit(docs.where(~in_fold(F.col("doc_id"))))
+    model = fit(docs.where(~in_fold(F.col("doc_id"))), min_count)
     out = score(docs, model)
     return out.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", F.lit(model.shared.value.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -154,7 +154,7 @@ def op6_merkle_fixity(spark, folder):
 
 @query()
 def op7_katz_backoff(spark, folder):
-    """Base and Katz backoff log probabilities of the documents, learned from the training fold."""
+    """Base and Katz backoff log probabilities of the documents, learned from the training fold; every word of it is in the vocabulary."""
     from gaugeline.llm.katz import score_documents
 
-    return score_documents(table(spark, folder, "documents"))
+    return score_documents(table(spark, folder, "documents"), min_count=1)
