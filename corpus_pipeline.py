@@ -16,10 +16,10 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of every group of near-duplicates; of rows with one doc_id, one row."""
+    """One document, that of the least doc_id, of every group of near-duplicates (similarity of 0.80 or more); of rows with one doc_id, one row."""
     from gaugeline.llm.near_duplicates import link_components
 
-    kept = link_components(docs).where("kept").select("doc_id").distinct()
+    kept = link_components(docs, 80).where("kept").select("doc_id").distinct()
     known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return known.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
 

@@ -5,10 +5,10 @@
    value, 128 values from 64 evaluations.  Both extremes agree with probability J, so the
    signature is unbiased with less variance than 64 minima.
 2. Equal sets form a class; only its least document goes on.
-3. 32 bands of 4 values put documents into buckets.  A pair of similarity 0.85 misses all of
-   them with probability (1 - 0.85^4)^32 = 6e-11.  Inside a bucket the signatures (a byte of each
-   value) are compared in numpy; a pair that agrees in fewer than 80 of 128 bytes has a
-   similarity of 0.85 with probability below 1e-9 and is left out.  What is left falls into
+3. 32 bands of 4 values put documents into buckets.  A pair of similarity 0.80 misses all of
+   them with probability (1 - 0.80^4)^32 = 5e-8, one of 0.85 with 6e-11.  Inside a bucket the signatures
+   (a byte of each value) are compared in numpy; a pair that agrees in fewer than 72 of 128 bytes has a
+   similarity of 0.80 with probability below 1e-9 and is left out.  What is left falls into
    families, the connected components of the possible links.
 4. The texts of a family meet in one task (large families in several, see ``_confirmed``) and
    the links are found on the full sets.  Each task returns its components as stars, at most
@@ -27,7 +27,7 @@ from gaugeline.sources.tables import discard, stored
 
 SIZE = 5
 FUNCTIONS, BAND = 64, 4
-LEAST_BYTES = 80
+LEAST_BYTES = 72
 SMALL = 128
 BLOCK, BLOCK_BYTES = 1024, 8 << 20
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -194,7 +194,7 @@ def _possible_links(signs: DataFrame) -> DataFrame:
     return small.mapInArrow(_small_buckets, "u long, v long").unionByName(large).distinct()
 
 
-def link_components(docs: DataFrame, percent: int = 85) -> DataFrame:
+def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents link when 100 * |intersection| >= percent * |union| of their distinct 5-word
