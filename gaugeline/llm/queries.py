@@ -158,3 +158,70 @@ def op7_katz_backoff(spark, folder):
     from gaugeline.llm.katz import score_documents
 
     return score_documents(table(spark, folder, "documents"), min_count=1)
+
+
+@query()
+def op11_best_fit_packing(spark, folder):
+    """All documents as tokens, packed into sequences of 2048."""
+    import public_tokenizers
+
+    from gaugeline.llm.packing import pack_documents
+
+    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2048)
+
+
+@query("""
+WITH RECURSIVE d AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 2 = 0 AS hit FROM documents),
+v AS (SELECT doc_id, source, replace(text, chr(10), '') AS cut, hit, text,
+    concat_ws('', CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END, CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END,
+        CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END, CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END) AS head FROM d),
+f AS (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN hit THEN sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS other FROM v),
+g AS (SELECT doc_id, leaf, other, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+    count(*) OVER (PARTITION BY source) AS n FROM f),
+t(s, lvl, i, h, n) AS (SELECT s, 0, i, leaf, n FROM g
+    UNION ALL SELECT s, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 2) // 3 FROM t WHERE n > 1 GROUP BY s, lvl, i // 3),
+r AS (SELECT s, h, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, i, h, n) AS (SELECT 0, s, h, n FROM r UNION ALL SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, i // 3),
+e AS (SELECT s, lvl, i, coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM t WHERE n > 1 WINDOW w AS (PARTITION BY s, lvl, i // 3 ORDER BY i)),
+k AS (SELECT lvl, i, coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+    coalesce(string_agg(h, '' ORDER BY i) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM u WHERE n > 1 WINDOW w AS (PARTITION BY lvl, i // 3 ORDER BY i)),
+p(doc_id, s, lvl, i, inside, h, proof) AS (SELECT doc_id, s, 0, i, n > 1, other, '' FROM g
+    UNION ALL (
+        SELECT p.doc_id, p.s, p.lvl + 1, p.i // 3, (SELECT max(n) FROM t WHERE t.s = p.s AND t.lvl = p.lvl + 1) > 1, sha256(e.a || p.h || e.b), p.proof || e.a || e.b
+            FROM p JOIN e ON e.s = p.s AND e.lvl = p.lvl AND e.i = p.i WHERE p.inside)),
+q(doc_id, s, lvl, i, h, proof) AS (SELECT doc_id, s, 0, s, h, proof FROM p WHERE NOT inside
+    UNION ALL SELECT q.doc_id, q.s, q.lvl + 1, q.i // 3, sha256(k.a || q.h || k.b), q.proof || k.a || k.b FROM q JOIN k ON k.lvl = q.lvl AND k.i = q.i)
+SELECT g.doc_id, g.leaf, r.h AS subroot, z.h AS root, sha256(q.proof) AS proof_sha256, q.h AS folded_root, q.h = z.h AS verified
+FROM g JOIN r USING (s) JOIN q USING (doc_id) CROSS JOIN (SELECT h FROM u WHERE n = 1) z WHERE q.lvl = (SELECT max(lvl) FROM u)
+""")
+def op12_merkle_manifest(spark, folder):
+    """Leaves, roots and proofs of the documents by source, and the roots that a replica without line ends in half of them folds to."""
+    from gaugeline.llm.manifest import manifest, without_line_ends
+
+    docs = table(spark, folder, "documents")
+    leaf, other = without_line_ends(docs)
+    out = manifest(docs.select("doc_id", "source", leaf.alias("leaf"), other.alias("other")))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+c AS (SELECT count(*) FILTER (len(ws) > 0) AS nn, sum(len(ws))::BIGINT AS ll FROM d),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark),
+p AS (SELECT doc_id, w, any_value(n) AS n, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS w FROM d) GROUP BY doc_id, w),
+x AS (SELECT w, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM p, c GROUP BY w, nn),
+s AS (SELECT item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))))::BIGINT AS score
+    FROM b JOIN p USING (w) JOIN x USING (w) CROSS JOIN c GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 50
+""")
+def op13_ranked_search(spark, folder):
+    """The 50 best documents of every benchmark item."""
+    from gaugeline.llm.search import rank_documents
+
+    return rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
