@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from gaugeline.functions import text as tx
-from gaugeline.operators import classify as cl, leakage as lk, learned as ln, sampling as sp, textvec as tv
+from gaugeline.operators import classify as cl, leakage as lk, learned as ln, nearest as nb, sampling as sp, textvec as tv
 from gaugeline.plans.registry import query, report_sql
 from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_recursive, with_views
 from gaugeline.sources.tables import stored, table
@@ -199,17 +199,36 @@ def unit_box(spark, d):
     return box(table(spark, d, "embeddings")).select("vec_id", "label", "x", "y")
 
 
-@query(with_recursive(CENTRES, BOX, """
-ps AS (SELECT vec_id, arg_max(centre_label, round(similarity, 9) - centre_label * 1e-12) AS p FROM cs GROUP BY 1)""") + """
-SELECT least(floor(x * 5), 4)::INT AS cell_x, least(floor(y * 5), 4)::INT AS cell_y, count(*) AS n,
-  round(avg(CASE WHEN label = p THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM ub JOIN ps USING (vec_id) GROUP BY ALL""")
-def competence_grid(spark, d):
-    """Where on the map the nearest-centre classifier is right."""
+PICKED = """
+ps AS (SELECT vec_id, arg_max(centre_label, round(similarity, 9) - centre_label * 1e-12) AS p FROM cs GROUP BY 1)"""
+
+
+def judged_map(spark, d):
+    """The map with whether the nearest-centre classifier is right."""
     rows = centre_similarity(spark, d)
     best = F.element_at(F.array_sort(F.transform("sims", lambda s: F.struct(
         F.round(s["similarity"], 9).alias("s"), (-s["centre_label"]).alias("l")))), -1)["l"]
     rows = rows.withColumn("correct", (-best == F.col("label")).cast("int"))
-    return tv.competence_grid(box(rows.select("vec_id", "embedding", "correct")), "x", "y", "correct", 5)
+    return box(rows.select("vec_id", "embedding", "correct"))
+
+
+@query(with_recursive(CENTRES, BOX, PICKED) + """
+SELECT least(floor(x * 5), 4)::INT AS cell_x, least(floor(y * 5), 4)::INT AS cell_y, count(*) AS n,
+  round(avg(CASE WHEN label = p THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM ub JOIN ps USING (vec_id) GROUP BY ALL""")
+def competence_grid(spark, d):
+    """Where on the map the nearest-centre classifier is right."""
+    return tv.competence_grid(judged_map(spark, d), "x", "y", "correct", 5)
+
+
+@query(with_recursive(CENTRES, BOX, PICKED, """
+jm AS (SELECT x, y, CASE WHEN label = p THEN 1 ELSE 0 END AS ok FROM ub JOIN ps USING (vec_id)),
+lt AS (SELECT c AS cell, (c % 24 + 5e-1) / 24e0 AS qx, (c // 24 + 5e-1) / 24e0 AS qy FROM range(576) r(c)),
+ds AS (SELECT cell, ok, (qx - x) * (qx - x) + (qy - y) * (qy - y) AS d2 FROM lt, jm),
+nn AS (SELECT *, rank() OVER (PARTITION BY cell ORDER BY d2) AS r FROM ds)""") + """
+SELECT cell, count(*) AS neighbours, round(avg(ok), 6) AS accuracy, round(sqrt(max(d2)), 6) AS radius FROM nn WHERE r <= 15 GROUP BY cell""")
+def competence_surface(spark, d):
+    """Share of right answers among the 15 nearest rows at every place of a 24 x 24 lattice over the map."""
+    return nb.competence_surface(judged_map(spark, d), "x", "y", "correct", nb.lattice(spark, 24), "cell", 15)
 
 
 @query()
