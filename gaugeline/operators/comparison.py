@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gaugeline.functions.frames import unpivot
 from gaugeline.functions.scores import normal_cdf
 from gaugeline.operators import intervals as iv
+from gaugeline.operators.replicates import row_replicates
 
 
 @dataclass(frozen=True)
@@ -70,13 +71,20 @@ def metric_panel(df: DataFrame, by, score: str, registry: MetricRegistry | None
         F.sum("__w").alias("n"), *[m.agg(s, w).alias(m.id) for m in registry.metrics.values()])
 
 
-def bootstrap_panel(df: DataFrame, key: str, by, score: str, registry: MetricRegistry | None = None, units: int | None = 1000,
+def bootstrap_panel(df: DataFrame, key: str, by, score: str, registry: MetricRegistry | None = None, units: int | None = None,
                     replicates: int = 500, salt="panel") -> DataFrame:
-    """Value and percentile interval of every registered metric, from a Poisson bootstrap of the score histogram."""
+    """Value and percentile interval of every registered metric, from a Poisson bootstrap of the score histogram.
+
+    Rows are resampled, or hash groups of them where ``units`` gives their number.
+    """
     registry = registry or default_metrics()
-    cells = df.where(F.col(score).isNotNull()).groupBy(*by, iv.unit_of(key, units).alias("__unit"), score).agg(F.count("*").alias("__n"))
-    rows = iv.replicates_of(cells, [*by, score, "__n"], replicates, salt)
-    hist = rows.groupBy(*by, "__b", score).agg(F.sum(F.col("__w") * F.col("__n")).alias("__w"))
+    known = df.where(F.col(score).isNotNull())
+    if units is None:
+        hist = row_replicates(known, key, F.lit(1.0), [*by, score], replicates, salt).where("__c > 0").withColumnRenamed("__c", "__w")
+    else:
+        cells = known.groupBy(*by, iv.unit_of(key, units).alias("__unit"), score).agg(F.count("*").alias("__n"))
+        rows = iv.replicates_of(cells, [*by, score, "__n"], replicates, salt)
+        hist = rows.groupBy(*by, "__b", score).agg(F.sum(F.col("__w") * F.col("__n")).alias("__w"))
     aggs = [m.agg(F.col(score), F.col("__w")).alias(m.id) for m in registry.metrics.values()]
     values = {i: F.col(i) for i in registry.metrics}
     long = unpivot(hist.groupBy(*by, "__b").agg(*aggs), [*by, "__b"], values, "metric", "value")

@@ -4,7 +4,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeline.functions.frames import pinned, side_by_side, with_range, with_structs
 from gaugeline.functions.hashing import poisson_one, uniform
+from gaugeline.operators.replicates import row_replicates
 from gaugeline.operators.sampling import draw
+from gaugeline.sources.tables import stored
 
 # The priors offered by name.
 PRIORS = (("uniform", 1.0, 1.0), ("jeffreys", 0.5, 0.5), ("weak", 2.0, 2.0), ("optimistic", 8.0, 2.0))
@@ -118,31 +120,53 @@ def percentile_ranks(low=0.025, high=0.975) -> dict:
     return {"lo": lambda n: F.floor(F.lit(low) * n), "hi": lambda n: F.floor(F.lit(high) * n)}
 
 
-def bootstrap_interval(df, key, value: Column, by=(), units=1000, replicates=2000, salt="boot") -> DataFrame:
-    sums = unit_sums(df, key, value, by, units)
-    reps = replicate_means(sums, by, replicates, salt)
+def replicates_by_row(df, key, value: Column, by=(), replicates=2000, salt="boot") -> DataFrame:
+    """Mean of every replicate, rows being the units."""
+    sums = row_replicates(df, key, value, by, replicates, salt)
+    return sums.select(*by, "__b", (F.col("__s") / F.nullif(F.col("__c"), F.lit(0.0))).alias("__m"))
+
+
+def bootstrap_interval(df, key, value: Column, by=(), units: int | None = None, replicates=2000, salt="boot") -> DataFrame:
+    """Percentile interval of the mean per group; rows are resampled, or hash groups of them where ``units`` gives their number."""
+    if units is None:
+        reps = replicates_by_row(df, key, value, by, replicates, salt)
+        point = df.where(value.isNotNull()).groupBy(*by).agg(F.count("*").alias("n"), F.avg(value).alias("mean"))
+    else:
+        sums = unit_sums(df, key, value, by, units)
+        reps = replicate_means(sums, by, replicates, salt)
+        point = sums.groupBy(*by).agg(F.sum("__c").alias("n"), (F.sum("__s") / F.sum("__c")).alias("mean"))
     picks = rank_pick(reps, by, "__m", percentile_ranks())
-    point = sums.groupBy(*by).agg(F.sum("__c").alias("n"), (F.sum("__s") / F.sum("__c")).alias("mean"))
-    return point.join(picks, list(by))
+    return point.join(picks, list(by)) if by else side_by_side(point, picks)
 
 
-def delta_interval(df, key, value: Column, arm: str, arms, by=(), units=1000, replicates=2000, salt="boot"):
-    """Interval of mean(second arm) - mean(first arm), replicate by replicate."""
+def delta_interval(df, key, value: Column, arm: str, arms, by=(), units: int | None = None, replicates=2000, salt="boot"):
+    """Interval of mean(second arm) - mean(first arm), replicate by replicate; rows of one key in both arms are paired."""
     a, b = arms
-    sums = unit_sums(df, key, value, [*by, arm], units)
-    reps = replicate_means(sums, [*by, arm], replicates, salt)
+    if units is None:
+        reps = replicates_by_row(df, key, value, [*by, arm], replicates, salt)
+        point = df.where(value.isNotNull()).groupBy(*by, arm).agg(F.avg(value).alias("__mean"))
+    else:
+        sums = unit_sums(df, key, value, [*by, arm], units)
+        reps = replicate_means(sums, [*by, arm], replicates, salt)
+        point = sums.groupBy(*by, arm).agg((F.sum("__s") / F.sum("__c")).alias("__mean"))
 
     def side(name, m):
         return F.max(F.when(F.col(arm) == name, F.col(m)))
 
     deltas = reps.groupBy(*by, "__b").agg((side(b, "__m") - side(a, "__m")).alias("__d"))
     picks = rank_pick(deltas, by, "__d", percentile_ranks())
-    point = sums.groupBy(*by, arm).agg((F.sum("__s") / F.sum("__c")).alias("__mean"))
     point = point.groupBy(*by).agg((side(b, "__mean") - side(a, "__mean")).alias("delta"))
     out = point.join(picks, list(by)) if by else side_by_side(point, picks)
     return out.withColumn("includes_zero", (F.col("lo") <= 0) & (F.col("hi") >= 0))
 
 
+def bootstrap_coverage(df, key, value: str, n: int, draws: int, truth: Column, total: Column, replicates=500, salt="cover"):
+    """Per small draw: its bootstrap interval of the mean and whether that contains the full-pool value."""
+    drawn = stored(draw(df, key, n, range(draws), total), "coverage")
+    ends = bootstrap_interval(drawn, key, F.col(value), ["seed"], None, replicates, salt)
+    return ends.withColumn("truth", truth).withColumn("covers", (F.col("lo") <= F.col("truth")) & (F.col("truth") <= F.col("hi")))
+
+
 def coverage(df, key, correct: str, n: int, draws: int, truth: Column, total: Column, level=0.95):
     """Share of credible intervals of small draws, uniform prior, that contain the full-pool value."""
     per_draw = draw(df, key, n, range(draws), total).groupBy("seed").agg(

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from gaugeline.functions.frames import with_grid
 from gaugeline.functions.hashing import uniform
 from gaugeline.operators import comparison as co, intervals as iv, mixes as mx, reporting as rp
-from gaugeline.plans.registry import query, u_sql, unit_sql
-from gaugeline.plans.uncertainty import POISSON, boot_sql
+from gaugeline.operators.replicates import row_weights_sql
+from gaugeline.plans.registry import query, u_sql
+from gaugeline.plans.uncertainty import row_boot_sql
 from gaugeline.plans.views import QUALITY_EVAL, SCORES, quality_eval, scores, with_views
 from gaugeline.sources.tables import table
 
@@ -90,11 +91,9 @@ def metric_panel(spark, d):
 
 
 BOOT_PANEL = f"""
-uc AS (SELECT system, {unit_sql("event_id", 1000)} AS unit, score, count(*) AS n FROM v_scores GROUP BY ALL),
-ub AS (SELECT unit, b, {POISSON} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCHAR || ':' || b::VARCHAR)", "'panel'")} AS u
-  FROM (SELECT DISTINCT unit FROM uc), range(200) r(b))),
-bh AS (SELECT system, b, score, sum(w * n) AS w FROM uc JOIN ub USING (unit) WHERE w > 0 GROUP BY ALL
-  UNION ALL SELECT system, -1, score, sum(n) FROM uc GROUP BY ALL),
+{row_weights_sql("(SELECT * FROM v_scores WHERE score IS NOT NULL)", "event_id", "system, score", 200, "panel")},
+bh AS (SELECT system, b, score, sum(w) AS w FROM wt WHERE w > 0 GROUP BY ALL
+  UNION ALL SELECT system, -1, score, count(*) FROM v_scores WHERE score IS NOT NULL GROUP BY ALL),
 bc AS (SELECT *, sum(w) OVER (PARTITION BY system, b ORDER BY score) AS c, sum(w) OVER (PARTITION BY system, b) AS t FROM bh),
 bm AS (SELECT system, b, sum(score * w) / sum(w)::DOUBLE AS mean, sum(w) FILTER (score >= 4) / sum(w)::DOUBLE AS share_4_up,
     min(score) FILTER (c > floor(t * 5e-2)) AS p5, sqrt(sum(score * score * w) / sum(w) - pow(sum(score * w) / sum(w), 2)) AS std FROM bc GROUP BY ALL),
@@ -291,7 +290,7 @@ def scorecard_wins(spark, d):
     return co.wins(compared_cards(spark, d))
 
 
-SHIP_BOOT = boot_sql("v_ship", "event_id", "ok", "system", 1000, 2000, "ship")
+SHIP_BOOT = row_boot_sql("v_ship", "event_id", "ok", "system", 2000, "ship")
 
 
 @query(with_views(SCORES, QUALITY_EVAL, """

@@ -6,6 +6,7 @@ from math import factorial
 from pyspark.sql import functions as F
 
 from gaugeline.operators import calibration as ca, intervals as iv
+from gaugeline.operators.replicates import row_weights_sql
 from gaugeline.plans.registry import query, u_sql, unit_sql
 from gaugeline.plans.views import (
     LANG_EVAL, QUALITY_EVAL, SCORES, lang_eval, quality_eval, scores, with_views)
@@ -131,27 +132,60 @@ wt AS (SELECT unit, b, {POISSON} AS w FROM (SELECT unit, b, {u_sql("(unit::VARCH
 rp AS (SELECT {cols}b, sum(w * s) / sum(w * c)::DOUBLE AS m FROM us JOIN wt USING (unit) WHERE w > 0 GROUP BY ALL)"""
 
 
-@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric", 1000, 2000, "boot"), """
-rk AS (SELECT metric, m, row_number() OVER (PARTITION BY metric ORDER BY m) - 1 AS r, count(*) OVER (PARTITION BY metric) AS n FROM rp),
-ci AS (SELECT metric, max(m) FILTER (r = floor(25e-3 * n)) AS lo, max(m) FILTER (r = floor(975e-3 * n)) AS hi FROM rk GROUP BY 1)""") + """
+def row_boot_sql(source, key, value, by, reps, salt):
+    """Replicate means with rows as units: rp (by, b, m)."""
+    return row_weights_sql(f"(SELECT * FROM {source} WHERE {value} IS NOT NULL)", key, f"{by}, {value}", reps, salt) + f""",
+rp AS (SELECT {by}, b, sum(w * {value}) / sum(w)::DOUBLE AS m FROM wt GROUP BY ALL HAVING sum(w) > 0)"""
+
+
+RANKED = """
+rk AS (SELECT {by}, {m}, row_number() OVER (PARTITION BY {by} ORDER BY {m}) - 1 AS r, count(*) OVER (PARTITION BY {by}) AS n FROM {source}),
+ci AS (SELECT {by}, max({m}) FILTER (r = floor(25e-3 * n)) AS lo, max({m}) FILTER (r = floor(975e-3 * n)) AS hi FROM rk GROUP BY 1)"""
+
+
+@query(with_views(SCORES, row_boot_sql("v_scores", "event_id", "score", "metric", 2000, "boot"), RANKED.format(by="metric", m="m", source="rp")) + """
 SELECT metric, n, round(mean, 6) AS mean, round(lo, 6) AS lo, round(hi, 6) AS hi FROM
   (SELECT metric, count(*) AS n, avg(score) AS mean FROM v_scores GROUP BY 1) JOIN ci USING (metric)""")
 def bootstrap_ci(spark, d):
+    """Percentile intervals of the mean score; rows are the units."""
     return iv.bootstrap_interval(scores(spark, d), "event_id", F.col("score"), ["metric"])
 
 
-@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric, system", 1000, 2000, "delta"), """
-dl AS (SELECT metric, b, max(m) FILTER (system = 'B') - max(m) FILTER (system = 'A') AS d FROM rp GROUP BY ALL),
-rk AS (SELECT metric, d, row_number() OVER (PARTITION BY metric ORDER BY d) - 1 AS r, count(*) OVER (PARTITION BY metric) AS n FROM dl),
-ci AS (SELECT metric, max(d) FILTER (r = floor(25e-3 * n)) AS lo, max(d) FILTER (r = floor(975e-3 * n)) AS hi FROM rk GROUP BY 1)""") + """
+@query(with_views(SCORES, boot_sql("v_scores", "event_id", "score", "metric", 1000, 2000, "boot"), RANKED.format(by="metric", m="m", source="rp")) + """
+SELECT metric, n, round(mean, 6) AS mean, round(lo, 6) AS lo, round(hi, 6) AS hi FROM
+  (SELECT metric, count(*) AS n, avg(score) AS mean FROM v_scores GROUP BY 1) JOIN ci USING (metric)""")
+def bootstrap_ci_units(spark, d):
+    """The same with 1000 hash groups of rows as units, at a cost that the number of rows does not change."""
+    return iv.bootstrap_interval(scores(spark, d), "event_id", F.col("score"), ["metric"], units=1000)
+
+
+@query(with_views(SCORES, row_boot_sql("v_scores", "event_id", "score", "metric, system", 2000, "delta"), """
+dl AS (SELECT metric, b, max(m) FILTER (system = 'B') - max(m) FILTER (system = 'A') AS d FROM rp GROUP BY ALL)""", RANKED.format(by="metric", m="d", source="dl")) + """
 SELECT metric, round(delta, 6) AS delta, round(lo, 6) AS lo, round(hi, 6) AS hi, lo <= 0 AND hi >= 0 AS includes_zero FROM
   (SELECT metric, avg(score) FILTER (system = 'B') - avg(score) FILTER (system = 'A') AS delta FROM v_scores GROUP BY 1)
   JOIN ci USING (metric)""")
 def delta_ci(spark, d):
+    """Percentile intervals of the difference of the systems' means; rows are the units."""
     return iv.delta_interval(
         scores(spark, d), "event_id", F.col("score"), "system", ("A", "B"), ["metric"], salt="delta")
 
 
+@query(with_views(QUALITY_EVAL, """
+dr AS (SELECT * FROM (SELECT s.seed, doc_id, y_true, row_number() OVER (PARTITION BY s.seed ORDER BY md5(s.seed::VARCHAR || ':' || doc_id::VARCHAR)) AS i
+  FROM v_quality_eval v, range(100) s(seed)) WHERE i <= 60)""", row_boot_sql("dr", "doc_id", "y_true", "seed", 500, "cover"), RANKED.format(by="seed", m="m", source="rp")) + """,
+q AS (SELECT lo, hi, (SELECT avg(y_true) FROM v_quality_eval) AS truth FROM ci)
+SELECT count(*) AS draws, round(max(truth), 6) AS truth, round(avg(CASE WHEN lo <= truth AND truth <= hi THEN 1e0 ELSE 0e0 END), 6) AS coverage,
+  round(avg(hi - lo), 6) AS mean_width FROM q""")
+def bootstrap_coverage(spark, d):
+    """How often the bootstrap interval of a draw of 60 contains the value of the whole pool."""
+    q = quality_eval(spark, d).select("doc_id", "y_true")
+    total, truth = q.agg(F.count("*")).scalar(), q.agg(F.avg("y_true")).scalar()
+    table = iv.bootstrap_coverage(q, "doc_id", "y_true", 60, 100, truth, total)
+    return table.agg(F.count("*").alias("draws"), F.max("truth").alias("truth"),
+                     F.avg(F.col("covers").cast("double")).alias("coverage"),
+                     F.avg(F.col("hi") - F.col("lo")).alias("mean_width"))
+
+
 @query(with_views(QUALITY_EVAL, """
 rk AS (SELECT s.seed, v.y_true, row_number() OVER (PARTITION BY s.seed ORDER BY md5(s.seed::VARCHAR || ':' || doc_id::VARCHAR)) AS i
   FROM v_quality_eval v, range(100) s(seed)),

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import statistics
@@ -5,7 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeline.operators import agreement as ag, calibration as ca, intervals as iv
+from gaugeline.operators import agreement as ag, calibration as ca, intervals as iv, replicates as rep
 
 
 def scored(spark, n=4000, seed=1):
@@ -152,3 +153,68 @@ def test_hash_units_give_the_interval_of_the_row_bootstrap(spark):
     assert units.n == plain.n == 6000 and abs(units["mean"] - plain["mean"]) < 1e-9
     width = plain.hi - plain.lo
     assert abs(units.lo - plain.lo) < 0.15 * width and abs(units.hi - plain.hi) < 0.15 * width
+
+
+def poisson_of(key, salt, b):
+    """The weight of a row in a replicate, written out."""
+    m = hashlib.md5(f"{salt}:{key}".encode()).hexdigest()
+    low, high = int(m[:8], 16), int(m[8:16], 16)
+    z = (low + b * 0x9E3779B9) % 2**32
+    z = (z ^ z >> 16) * 0x85EBCA6B % 2**32 ^ high
+    z = (z ^ z >> 13) * 0xC2B2AE35 % 2**32
+    u = (z ^ z >> 16) / 2**32
+    k, cdf, term = 0, 0.0, math.exp(-1)
+    while k < 12 and u >= cdf + term:
+        cdf, term, k = cdf + term, term / (k + 1), k + 1
+    return k
+
+
+def test_row_replicates_are_the_weighted_sums(spark):
+    rows = [(i, [None, "a", "b"][i % 3], i % 7 - 2.5 if i % 11 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, g string, v double").repartition(3)
+    got = {(r["g"], r["__b"]): (r["__s"], r["__c"]) for r in rep.row_replicates(df, "id", F.col("v"), ["g"], 40, "t").collect()}
+    want = {}
+    for i, g, v in rows:
+        for b in range(40 if v is not None else 0):
+            s, c = want.get((g, b), (0.0, 0.0))
+            w = poisson_of(i, "t", b)
+            want[g, b] = s + w * v, c + w
+    assert got == {k: (pytest.approx(s), c) for k, (s, c) in want.items()}
+
+
+def test_weights_are_poisson_and_unrelated(spark):
+    df = spark.range(3000).select("id", F.lit(1.0).alias("v"))
+    reps = rep.row_replicates(df, "id", F.col("v"), [], 400).collect()
+    sums = [r["__c"] for r in reps]
+    assert len(sums) == 400 and abs(statistics.mean(sums) - 3000) < 4 * math.sqrt(3000 / 400)
+    assert 0.8 * 3000 < statistics.variance(sums) < 1.2 * 3000  # rows are drawn apart from each other
+
+
+def test_many_groups_and_no_rows(spark):
+    """More groups than a task holds at once; a task returns some of them twice, and they are added up."""
+    df = spark.range(4000).select("id", (F.col("id") % 1300).alias("g"), F.lit(2.0).alias("v"))
+    got = rep.row_replicates(df.coalesce(1), "id", F.col("v"), ["g"], 5).collect()
+    assert len(got) == 1300 * 5 and all(r["__s"] == 2 * r["__c"] for r in got)
+    total = {r["__b"]: r["__c"] for r in rep.row_replicates(df, "id", F.col("v"), [], 5).collect()}
+    assert all(sum(r["__c"] for r in got if r["__b"] == b) == total[b] for b in range(5))
+    assert iv.bootstrap_interval(df.limit(0), "id", F.col("v"), ["g"]).collect() == []
+
+
+def test_row_bootstrap_matches_the_normal_interval_and_pairs_by_key(spark):
+    rows, df = scored(spark)
+    for r in iv.bootstrap_interval(df, "id", F.col("v"), ["g"], replicates=1000).collect():
+        vals = [x[3] for x in rows if x[1] == r.g]
+        se = statistics.stdev(vals) / math.sqrt(len(vals))
+        assert r.n == len(vals) and r.lo == pytest.approx(r["mean"] - 1.96 * se, abs=0.35 * se) and r.hi == pytest.approx(r["mean"] + 1.96 * se, abs=0.35 * se)
+    both = spark.createDataFrame([(i, s, float(i % 5)) for i in range(300) for s in "AB"], "id long, s string, v double")
+    r = iv.delta_interval(both, "id", F.col("v"), "s", ("A", "B"), replicates=200).first()
+    assert (r.delta, r.lo, r.hi, r.includes_zero) == (0.0, 0.0, 0.0, True)
+    a, b = (iv.bootstrap_interval(df.repartition(p), "id", F.col("v"), ["g"], replicates=100).orderBy("g").collect() for p in (1, 13))
+    assert [tuple(x)[1:] for x in a] == [pytest.approx(tuple(x)[1:]) for x in b]
+
+
+def test_bootstrap_coverage(spark):
+    df = spark.range(3000).select("id", (F.pmod(F.xxhash64("id"), F.lit(10)) < 7).cast("int").alias("ok"))
+    truth, total = df.agg(F.avg("ok")).scalar(), df.agg(F.count("*")).scalar()
+    got = iv.bootstrap_coverage(df, "id", "ok", 80, 60, truth, total, replicates=300).collect()
+    assert len(got) == 60 and sum(r.covers for r in got) >= 50
