@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.sources.tables import stored
+from gaugeline.operators.asof import as_of_join
 
 
 def series(df: DataFrame, ts: str, metric: str, score: str, unit: str = "week") -> DataFrame:
@@ -63,26 +63,8 @@ def version_at(ts: Column, timeline) -> Column:
 
 
 def as_of_versions(facts: DataFrame, versions: DataFrame, ts: str, start: str, name: str) -> DataFrame:
-    """As-of join to a version table, by day buckets.
-
-    Versions are a dimension: only their start times meet in one ordering.
-
-    Each version's validity range is cut into days, so facts meet versions in an
-    equi-join on the day; the time inside the day decides the rest.  The ranges
-    are written out: Spark broadcasts them while they are short, and splits hot
-    days itself beyond that.
-    """
-    order = Window.orderBy(start)
-    ranges = versions.select(
-        name, F.col(start).alias("__from"), F.lead(start).over(order).alias("__to"))
-    last = facts.agg(F.max(ts)).scalar()
-    days = F.explode(F.sequence(F.col("__from").cast("date"),
-                                F.greatest(F.col("__from"), F.coalesce(F.col("__to"), last)).cast("date")))
-    ranges = stored(ranges.select(name, "__from", "__to", days.alias("__day")), "ranges")
-    keyed = facts.withColumn("__day", F.col(ts).cast("date"))
-    hit = (keyed["__day"] == ranges["__day"]) & (F.col(ts) >= F.col("__from")) & (
-        F.col("__to").isNull() | (F.col(ts) < F.col("__to")))
-    return keyed.join(ranges, hit, "left").drop("__day", "__from", "__to")
+    """The facts with the name of the version that was live at their time, null before the first one."""
+    return as_of_join(facts, versions, ts, start, [name])
 
 
 def version_change(means: DataFrame, version_order: str) -> DataFrame:

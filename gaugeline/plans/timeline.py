@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from gaugeline.operators import drift as dr
+from gaugeline.operators.asof import as_of_join
 from gaugeline.plans.registry import query
 from gaugeline.plans.views import SCORES, scores, with_views
 
@@ -89,6 +90,20 @@ def score_by_release(spark, d):
         F.count("*").alias("n"), F.avg("score").alias("mean"))
 
 
+@query(with_views(SCORES, """
+pv AS (SELECT user_id, ts AS changed, max(event_id) AS change_id FROM v_scores WHERE score >= 2 GROUP BY ALL),
+a AS (SELECT s.event_id, s.metric, s.score, s.ts, pv.changed, pv.change_id FROM v_scores s ASOF LEFT JOIN pv ON s.user_id = pv.user_id AND s.ts >= pv.changed)""") + """
+SELECT metric, count(*) AS n, count(change_id) AS with_change, sum(change_id)::BIGINT AS change_ids, round(avg(epoch(ts) - epoch(changed)), 3) AS mean_age FROM a GROUP BY 1""")
+def score_since_change(spark, d):
+    """As-of join within every user: each score with the user's last one of 2 or more."""
+    s = scores(spark, d)
+    changes = s.where("score >= 2").select("user_id", F.col("ts").alias("changed"), F.col("event_id").alias("change_id"))
+    joined = as_of_join(s.select("event_id", "user_id", "metric", "ts"), changes.withColumn("began", F.col("changed")), "ts", "began", ["change_id", "changed"], ["user_id"])
+    age = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.col("changed").cast("timestamp"))) / 1e6
+    return joined.groupBy("metric").agg(F.count("*").alias("n"), F.count("change_id").alias("with_change"), F.sum("change_id").alias("change_ids"),
+                                        F.round(F.avg(age), 3).alias("mean_age"))
+
+
 @query(with_views(SCORES, AS_OF, """
 vm AS (SELECT metric, version, count(*) AS n, avg(score) AS mean, stddev_samp(score) / sqrt(count(*)) AS se FROM v_ver GROUP BY ALL),
 vc AS (SELECT *, mean - lag(mean) OVER w AS delta, sqrt(se * se + pow(lag(se) OVER w, 2)) AS delta_se FROM vm
