@@ -5,6 +5,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeline.functions.scores import kappa
+from gaugeline.operators.selection import quantiles
 from gaugeline.sources.tables import stored
 
 
@@ -48,25 +49,19 @@ def verbosity_curve(df: DataFrame, length: str, score: str, quality: str, n_bins
     """Mean score by length bin among the rows of quality 1.
 
     Bin edges are interpolated quantiles of the length; bins are closed on the
-    right and equal edges are merged.  The edges come from a histogram of the
+    right and equal edges are merged.  The edges are selected from a histogram of the
     distinct lengths, which is written once: the frame is read a single time, and
     no task ever holds all lengths of a large table.
     """
     hist = stored(df.groupBy(quality, length).agg(
         F.count("*").alias("__n"), F.sum(score).alias("__s"), F.sum(quality).alias("__q")), "lengths")
     good = F.col(quality) == 1
-    enough = hist.where(good).agg(F.coalesce(F.sum("__n"), F.lit(0))).scalar() >= n_bins
-    hist = hist.where(good | ~enough)
-    stats = hist.agg(
-        F.least(F.lit(n_bins), F.count_distinct(length)).alias("bins"),
-        F.percentile(length, F.array(*[F.lit(i / n_bins) for i in range(n_bins + 1)]), F.col("__n")).alias("full"),
-        *[F.percentile(length, F.array(*[F.lit(i / k) for i in range(k + 1)]), F.col("__n")).alias(f"p{k}")
-          for k in range(1, n_bins)],
-    )
-    pick = F.col("full")
-    for k in range(1, n_bins):
-        pick = F.when(F.col("bins") == k, F.col(f"p{k}")).otherwise(pick)
-    edges = stats.select(F.array_distinct(pick)).scalar()
+    enough = (hist.where(good).agg(F.sum("__n")).first()[0] or 0) >= n_bins
+    hist = hist.where(good) if enough else hist
+    bins = min(n_bins, hist.where(F.col(length).isNotNull()).select(length).distinct().limit(n_bins).count())
+    cuts = {f"e{i}": i / bins for i in range(bins + 1)} if bins else {}
+    ends = quantiles(hist, [], length, cuts, "__n") if bins else hist.sparkSession.range(1)
+    edges = ends.select(F.array_distinct(F.array(*[F.col(c) for c in cuts]).cast("array<double>"))).scalar()
     placed = hist.withColumn("__edges", edges)
     inner = F.slice(F.col("__edges"), 2, F.greatest(F.size("__edges") - 2, F.lit(0)))
     below = F.size(F.filter(inner, lambda e: e < F.col(length)))

@@ -9,17 +9,23 @@ from gaugeline.functions.frames import unpivot
 from gaugeline.functions.scores import normal_cdf
 from gaugeline.operators import intervals as iv
 from gaugeline.operators.replicates import row_replicates
+from gaugeline.operators.selection import meet, floor_rank, order_statistics, quantiles
+from gaugeline.sources.tables import stored
 
 
 @dataclass(frozen=True)
 class Metric:
+    """``agg(score, weight)`` is an aggregate, or None for an order statistic: the value at floor(share * n), or the interpolated quantile."""
+
     id: str
-    agg: Callable[[Column, Column], Column]
+    agg: Callable[[Column, Column], Column] | None
     higher_is_better: bool
+    share: float | None = None
+    interpolated: bool = False
 
 
 class MetricRegistry:
-    """Metrics over a score histogram: ``agg(score, weight)`` is an aggregate."""
+    """Metrics over a score histogram."""
 
     def __init__(self, metrics=()):
         self.metrics = {m.id: m for m in metrics}
@@ -28,6 +34,21 @@ class MetricRegistry:
         self.metrics[id] = Metric(id, agg, higher_is_better)
         return self
 
+    def register_rank(self, id, share, higher_is_better, interpolated=False):
+        self.metrics[id] = Metric(id, None, higher_is_better, share, interpolated)
+        return self
+
+    def over(self, hist: DataFrame, by, score: str, weight: str) -> DataFrame:
+        """Every metric per group of a histogram; ranks are selected, not collected."""
+        s, w = F.col(score), F.col(weight)
+        by, all_ = list(by), self.metrics.values()
+        out = hist.groupBy(*by).agg(F.sum(w).cast("long").alias("n"), *[m.agg(s, w).alias(m.id) for m in all_ if m.agg])
+        plain = {m.id: floor_rank(m.share) for m in all_ if not m.agg and not m.interpolated}
+        between = {m.id: m.share for m in all_ if not m.agg and m.interpolated}
+        for table in ([order_statistics(hist, by, score, plain, weight)] if plain else []) + ([quantiles(hist, by, score, between, weight)] if between else []):
+            out = meet(out, table, by)
+        return out.select(*by, "n", *self.metrics)
+
 
 def _weighted_mean(s, w):
     return F.sum(s * w) / F.sum(w)
@@ -38,22 +59,12 @@ def _std_pop(s, w):
     return F.sqrt(F.greatest(F.sum(s * s * w) / F.sum(w) - mean * mean, F.lit(0.0)))
 
 
-def order_statistic(s: Column, w: Column, share: float) -> Column:
-    """The first score whose running count exceeds floor(share * n); reads the distinct scores of one group."""
-    cells = F.array_sort(F.collect_list(F.struct(s.cast("double").alias("s"), w.cast("double").alias("w"))))
-    start = F.struct(F.floor(F.sum(w) * share).cast("double").alias("left"), F.lit(None).cast("double").alias("v"))
-    found = F.aggregate(cells, start, lambda a, x: F.struct(
-        (a["left"] - x["w"]).alias("left"),
-        F.when(a["v"].isNull() & (a["left"] - x["w"] < 0), x["s"]).otherwise(a["v"]).alias("v")))
-    return found["v"]
-
-
 def default_metrics() -> MetricRegistry:
     return MetricRegistry([
         Metric("mean", _weighted_mean, True),
-        Metric("median", lambda s, w: F.percentile(s, 0.5, w), True),
+        Metric("median", None, True, 0.5, True),
         Metric("share_4_up", lambda s, w: F.sum(F.when(s >= 4, w).otherwise(0)) / F.sum(w), True),
-        Metric("p5", lambda s, w: order_statistic(s, w, 0.05), True),
+        Metric("p5", None, True, 0.05),
         Metric("std", _std_pop, False),
     ])
 
@@ -64,11 +75,8 @@ def score_histogram(df: DataFrame, by, score: str) -> DataFrame:
 
 
 def metric_panel(df: DataFrame, by, score: str, registry: MetricRegistry | None = None) -> DataFrame:
-    registry = registry or default_metrics()
-    hist = score_histogram(df, by, score)
-    s, w = F.col(score), F.col("__w")
-    return hist.groupBy(*by).agg(
-        F.sum("__w").alias("n"), *[m.agg(s, w).alias(m.id) for m in registry.metrics.values()])
+    hist = stored(score_histogram(df, by, score), "scores")
+    return (registry or default_metrics()).over(hist, by, score, "__w")
 
 
 def bootstrap_panel(df: DataFrame, key: str, by, score: str, registry: MetricRegistry | None = None, units: int | None = None,
@@ -85,9 +93,8 @@ def bootstrap_panel(df: DataFrame, key: str, by, score: str, registry: MetricReg
         cells = known.groupBy(*by, iv.unit_of(key, units).alias("__unit"), score).agg(F.count("*").alias("__n"))
         rows = iv.replicates_of(cells, [*by, score, "__n"], replicates, salt)
         hist = rows.groupBy(*by, "__b", score).agg(F.sum(F.col("__w") * F.col("__n")).alias("__w"))
-    aggs = [m.agg(F.col(score), F.col("__w")).alias(m.id) for m in registry.metrics.values()]
     values = {i: F.col(i) for i in registry.metrics}
-    long = unpivot(hist.groupBy(*by, "__b").agg(*aggs), [*by, "__b"], values, "metric", "value")
+    long = unpivot(registry.over(stored(hist, "replicates"), [*by, "__b"], score, "__w"), [*by, "__b"], values, "metric", "value")
     ends = iv.rank_pick(long, [*by, "metric"], "value", iv.percentile_ranks())
     return unpivot(metric_panel(df, by, score, registry), by, values, "metric", "value").join(ends, [*by, "metric"])
 

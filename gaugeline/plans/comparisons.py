@@ -107,7 +107,7 @@ SELECT system, metric, round(p.value, 6) AS value, round(max(br.value) FILTER (r
 def bootstrap_metrics(spark, d):
     """Intervals of registered metrics, one of them added by the caller."""
     registry = co.MetricRegistry([m for m in co.default_metrics().metrics.values() if m.id in ("mean", "share_4_up", "std")])
-    registry.register("p5", lambda s, w: co.order_statistic(s, w, 0.05), True)
+    registry.register_rank("p5", 0.05, True)
     return co.bootstrap_panel(scores(spark, d), "event_id", ["system"], "score", registry, replicates=200)
 
 
