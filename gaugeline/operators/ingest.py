@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeline.functions.frames import pinned
 from gaugeline.functions.text import strip
+from gaugeline.operators.numbering import running_number
 
 LABEL_LIST = "array<string>"
 
@@ -146,6 +147,21 @@ def alignment(left: DataFrame, right: DataFrame, key, value: str) -> DataFrame:
         F.count("*").alias("keys"))
 
 
+def alignment_by_position(left: DataFrame, right: DataFrame, left_order, right_order, value: str) -> DataFrame:
+    """Mismatch counts of two results that should match line by line, each in its own order.
+
+    The order should end in a unique key.  Beyond the end of the shorter side the lines of the longer one count as left_only or right_only.
+    """
+    a = running_number(left.select(F.col(value).alias("__a"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(left_order)]), [f"__o{i}" for i in range(len(left_order))], "position")
+    b = running_number(right.select(F.col(value).alias("__b"), *[F.col(c).alias(f"__o{i}") for i, c in enumerate(right_order)]), [f"__o{i}" for i in range(len(right_order))], "position")
+    both = a.select("position", "__a", F.lit(1).alias("__l")).join(b.select("position", "__b", F.lit(1).alias("__r")), "position", "full_outer")
+    paired = F.col("__l").isNotNull() & F.col("__r").isNotNull()
+    differs = paired & ~F.col("__a").eqNullSafe(F.col("__b"))
+    return both.agg(F.count_if(F.col("__r").isNull()).alias("left_only"), F.count_if(F.col("__l").isNull()).alias("right_only"),
+                    F.count_if(differs).alias("value_differs"), F.min(F.when(differs, F.col("position"))).alias("first_difference"),
+                    F.count("*").alias("positions"))
+
+
 def json_field(raw: Column, *keys: str) -> Column:
     """First non-empty of several fields of a JSON object; NULL on bad JSON."""
     parsed = F.from_json(raw, F.lit("map<string,string>"))

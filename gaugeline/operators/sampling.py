@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeline.functions.frames import side_by_side, with_grid
 from gaugeline.functions.hashing import hash_uniform, key_hash, uniform
+from gaugeline.operators.numbering import running_number
 
 
 def hash_split(df: DataFrame, key: str, train_frac: float, salt) -> DataFrame:
@@ -205,14 +206,11 @@ def skewed_draw(df: DataFrame, key: str, label: str, n: int, skews, salt) -> Dat
     return out
 
 
-def batches(df: DataFrame, key: str, size: int, rows_per_bucket: int = 10000) -> DataFrame:
-    """Number rows into groups of at most ``size`` inside hash buckets.
+def batches(df: DataFrame, key: str, size: int, partitions: int | None = None) -> DataFrame:
+    """The rows with ``batch``: groups of exactly ``size`` rows in order of the key, only the last one shorter.
 
-    The number of buckets follows the row count, so a bucket stays small enough
-    to be sorted by one task at any table size; the hash spreads any key evenly.
+    One running numbering of the whole table, from range partitions and their offsets.  Rows of one key get neighbouring numbers, in an order
+    of a hash of the whole row; a null key comes first.
     """
-    buckets = F.ceil(df.agg(F.count("*")).scalar() / rows_per_bucket)
-    bucket = F.pmod(F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long"), buckets)
-    rows = df.withColumn("bucket", bucket)
-    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(key))
-    return rows.withColumn("batch", F.floor((rank - 1) / size).cast("int"))
+    numbered = running_number(df, [F.asc_nulls_first(key), F.xxhash64(*df.columns)], "__number", partitions=partitions)
+    return numbered.withColumn("batch", F.floor(F.col("__number") / size).cast("long")).drop("__number")

@@ -131,27 +131,26 @@ ANSWER_CLASSES = ["de", "en", "es", "fr"]
 
 
 @query("""
-WITH b AS (SELECT doc_id, lang, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(count(*) OVER () / 200)::BIGINT) AS bucket FROM documents),
-n AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1 AS i FROM b),
-k AS (SELECT *, i // 20 AS batch, max(i) OVER (PARTITION BY bucket, i // 20) AS last FROM n)
-SELECT bucket, batch::INT AS batch, doc_id AS item_id, CASE WHEN (bucket + batch) % 4 = 3 OR doc_id % 7 = 0
-  OR ((bucket + batch) % 4 = 2 AND i = last) THEN NULL ELSE lang END AS y_pred FROM k""")
+WITH n AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+k AS (SELECT *, i // 20 AS batch, max(i) OVER (PARTITION BY i // 20) AS last FROM n)
+SELECT batch, doc_id AS item_id, CASE WHEN batch % 4 = 3 OR doc_id % 7 = 0
+  OR (batch % 4 = 2 AND i = last) THEN NULL ELSE lang END AS y_pred FROM k""")
 def batch_answers_ingest(spark, d):
     """Raw answers to batches of 20: plain, fenced, in prose with one missing, or no array."""
     docs = table(spark, d, "documents").select("doc_id", "lang")
-    rows = sp.batches(docs, "doc_id", 20, 200)
+    rows = sp.batches(docs, "doc_id", 20)
     said = F.when(F.col("doc_id") % 7 == 0, F.lit('"klingon"')).when(
         F.col("doc_id") % 13 == 0, F.concat(F.lit('["'), "lang", F.lit('"]'))).otherwise(
         F.concat(F.lit('"'), "lang", F.lit('"')))
-    packed = rows.groupBy("bucket", "batch").agg(F.array_sort(F.collect_list(F.struct("doc_id", said.alias("a")))).alias("x"))
-    kind = (F.col("bucket") + F.col("batch")) % 4
+    packed = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("doc_id", said.alias("a")))).alias("x"))
+    kind = F.col("batch") % 4
     answers = F.when(kind == 2, F.slice("x.a", 1, F.size("x") - 1)).otherwise(F.col("x.a"))
     body = F.concat(F.lit("["), F.array_join(answers, ", "), F.lit("]"))
     raw = (F.when(kind == 0, body).when(kind == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
            .when(kind == 2, F.concat(F.lit("Sure, here it is:\n"), body, F.lit(" Anything else?")))
            .otherwise(F.lit("I cannot answer that.")))
-    asked = packed.select("bucket", "batch", F.col("x.doc_id").alias("items"), raw.alias("raw"))
-    return ing.align_batch(asked, ["bucket", "batch"], "items", "raw", ANSWER_CLASSES)
+    asked = packed.select("batch", F.col("x.doc_id").alias("items"), raw.alias("raw"))
+    return ing.align_batch(asked, ["batch"], "items", "raw", ANSWER_CLASSES)
 
 
 @query("""
@@ -265,6 +264,18 @@ def alignment_check(spark, d):
     return ing.alignment(docs, labels, "doc_id", "v")
 
 
+@query("""
+WITH a AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, (n_chars >= 400)::INT AS x FROM documents),
+b AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS position, quality AS y FROM labels)
+SELECT count(*) FILTER (b.position IS NULL) AS left_only, count(*) FILTER (a.position IS NULL) AS right_only, count(*) FILTER (x <> y) AS value_differs,
+  min(coalesce(a.position, b.position)) FILTER (x <> y) AS first_difference, count(*) AS positions FROM a FULL JOIN b ON a.position = b.position""")
+def alignment_by_position(spark, d):
+    """Guessed and labelled quality line by line, as two lists are compared that carry no key."""
+    docs = table(spark, d, "documents").select("doc_id", (F.col("n_chars") >= 400).cast("int").alias("v"))
+    labels = table(spark, d, "labels").withColumnRenamed("quality", "v")
+    return ing.alignment_by_position(docs, labels, ["doc_id"], ["doc_id"], "v")
+
+
 TAGS = """
 tg AS (SELECT p_partkey, list_distinct(string_split(p_name || ' ' || lower(p_type) || ' size' || (p_size // 10), ' ')) AS t FROM part),
 ex AS (SELECT p_partkey, unnest(t) AS tag FROM tg)"""

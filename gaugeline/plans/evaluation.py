@@ -237,11 +237,10 @@ def spread_by_n(spark, d):
         F.count("*").alias("draws"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std_error"))
 
 
-@query(f"""
-WITH b AS (SELECT doc_id, (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % ceil(count(*) OVER () / 200)::BIGINT) AS bucket FROM documents)
-SELECT doc_id, bucket, ((row_number() OVER (PARTITION BY bucket ORDER BY doc_id) - 1) // 20)::INT AS batch FROM b""")
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS batch FROM documents")
 def batch_assign(spark, d):
-    return sp.batches(table(spark, d, "documents").select("doc_id"), "doc_id", 20, 200)
+    """Documents in running batches of 20."""
+    return sp.batches(table(spark, d, "documents").select("doc_id"), "doc_id", 20)
 
 
 @query("""

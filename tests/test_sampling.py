@@ -90,15 +90,6 @@ def test_copies_can_exceed_one(spark):
     assert total == 1000
 
 
-def test_batches(spark):
-    rows = sp.batches(spark.range(1000).toDF("k"), "k", 20, 300).collect()
-    sizes = {}
-    for r in rows:
-        sizes.setdefault((r.bucket, r.batch), []).append(r.k)
-    assert len(rows) == 1000 and max(map(len, sizes.values())) == 20 and len({b for b, _ in sizes}) == 4
-    assert sum(len(v) < 20 for v in sizes.values()) <= 4  # one short batch per bucket at most
-
-
 def test_poisson_draws(spark):
     r = spark.range(40000).select(poisson_one(uniform(F.col("id"), "x")).alias("w")).agg(F.avg("w"), F.var_samp("w"), F.max("w")).first()
     assert abs(r[0] - 1) < 0.02 and abs(r[1] - 1) < 0.04 and r[2] <= 8
