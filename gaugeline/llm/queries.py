@@ -95,7 +95,7 @@ def op5_quartile_fingerprints(spark, folder):
 WITH u AS (SELECT page_id, url, instr(url, '://') AS k, substr(url, instr(url, '://') + 3) AS rest FROM pages),
 p AS (SELECT page_id, CASE WHEN k > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
     CASE WHEN k > 0 THEN regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') ELSE '' END AS path FROM u),
-r(h, q, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr', 'allow'), ('com', '/de/', 'block')),
+r(h, q, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
 m AS (SELECT p.*, h, q, v FROM p LEFT JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q)),
 b AS (SELECT page_id, host, path, max({'n': length(h) + length(q), 'rule': h || q, 'v': v}) FILTER (h IS NOT NULL) AS best FROM m GROUP BY ALL)
 SELECT page_id, host, path, best.rule AS rule, coalesce(best.v, 'allow') AS verdict FROM b

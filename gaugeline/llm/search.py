@@ -4,8 +4,8 @@ Terms are runs of digits, letters and non-ASCII bytes, A-Z lower-cased.  A term'
 weight * ((10^9 tf) div (1000 tf + 20 m)) for each term of the item that it holds, m = 50 + (50 n N) div L, in whole numbers.
 
 Whole texts are tokenised once.  Of every document its number of terms and the counts of the items' terms are kept, so what is written follows the
-corpus; document frequencies are summed from that.  The items are the stated query set: they are taken in blocks of at most ``TERMS`` distinct terms
-(or one longer item), so no vocabulary that is sent to the tasks grows with their table.
+corpus; document frequencies are summed from that.  The items are the stated query set: they are dealt by hash into blocks of about half of ``TERMS``
+terms (or one longer item), so no vocabulary that is sent to the tasks grows with their table.
 
 A task takes its documents in runs of at most ``POSTINGS`` counts.  For an item, the documents of each of its terms are a bitmap over the run; turned round, they give
 every document the mask of the terms it holds, and documents of one mask are a group.  With the largest count of each term in the run and the least m of the
@@ -48,13 +48,13 @@ def _item_terms(batches):
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str, terms: int = TERMS) -> DataFrame:
-    """Written rows (block, item, id, terms): every item with its distinct terms, dealt into blocks of at most ``terms`` terms or one item."""
+    """Written rows (__item, terms, block): every item with its distinct terms, dealt by hash into blocks of about half of ``terms``, or one longer item."""
     rows = importable(items).select(F.to_json(F.struct(F.col(item_id).alias("id"))).alias("__item"), F.col(text).cast("string").alias("__text"))
     pairs = rows.mapInArrow(_item_terms, "__item string, term long").distinct()
     each = pairs.groupBy("__item").agg(F.array_sort(F.collect_list("term")).alias("terms"))  # an item's own terms
     sized = stored(each.withColumn("h", F.pmod(F.xxhash64("__item"), F.lit(1 << 20))), "items")
     total = sized.agg(F.sum(F.size("terms"))).first()[0] or 0
-    # Ranges of a hash hold about half a block each; one that comes out fuller is split when it is read.
+    # a block gets half of ``terms`` on average, so that few come out fuller than that
     return stored(sized.withColumn("block", F.pmod("h", F.lit(1 + 2 * total // terms))).drop("h"), "item-blocks")
 
 

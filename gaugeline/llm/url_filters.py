@@ -17,7 +17,7 @@ are as many lanes as shuffle partitions, and ``LANES`` at least.
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 #: Fixed values of the query: (host, path, verdict).
-RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr", "allow"), ("com", "/de/", "block")]
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 LANES = 32
 
 

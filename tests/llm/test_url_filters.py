@@ -48,3 +48,13 @@ def test_no_python_in_the_plan(spark):
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")
     plan = uf.judge_urls(pages, uf.rule_table(spark, uf.RULES))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_rules_of_the_query(spark):
+    """The contract's five rules as strings, and urls at the edge of com/fr/."""
+    assert {(h + p, v) for h, p, v in uf.RULES} == {("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")}
+    urls = ["http://a.com/fr/1", "http://a.com/fr", "http://a.com/france", "http://com/fr/", "http://x.com/de/", "https://Example.org/en/12?q", "http://b.example.org/es", "http://org"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in uf.judge_urls(pages, uf.rule_table(spark, uf.RULES)).collect()}
+    assert got == {0: ("com/fr/", "allow"), 1: (None, "allow"), 2: (None, "allow"), 3: ("com/fr/", "allow"), 4: ("com/de/", "block"),
+                   5: ("example.org/en/1", "block"), 6: ("org/", "allow"), 7: (None, "allow")}
