@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from gaugeline.functions import text as tx
-from gaugeline.operators import classify as cl, leakage as lk, learned as ln, nearest as nb, sampling as sp, textvec as tv
+from gaugeline.operators import classify as cl, leakage as lk, learned as ln, nearest as nb, sampling as sp, textvec as tv, vector_index as vi
 from gaugeline.plans.registry import query, report_sql
 from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_recursive, with_views
 from gaugeline.sources.tables import stored, table
@@ -159,6 +159,17 @@ def embedding_topk(spark, d):
     return rows.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
 
 
+@query("""
+WITH q AS (SELECT a.vec_id, b.vec_id AS neighbour, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS similarity
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0)
+SELECT vec_id, neighbour, round(similarity, 6) AS similarity, rank::INT AS rank FROM
+  (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour) AS rank FROM q) WHERE rank <= 5""")
+def dense_neighbours(spark, d):
+    """The five vectors nearest to every hundredth vector, among all."""
+    e = table(spark, d, "embeddings")
+    return vi.nearest_vectors(e, e.where("vec_id % 100 = 0"), "vec_id", "embedding", 5)
+
+
 # Covariance, then the leading eigenvector by repeated squaring (the 2^18th power), again on what is left.
 _SQUARE = "list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / t))"
 _LEAD = """
