@@ -3,8 +3,9 @@
 from pyspark.sql import Window, functions as F
 
 from gaugeline.functions import text as tx
+from gaugeline.functions.frames import side_by_side
 from gaugeline.operators import classify as cl, leakage as lk, learned as ln, nearest as nb, sampling as sp, textvec as tv, vector_index as vi
-from gaugeline.plans.registry import query, report_sql
+from gaugeline.plans.registry import query, report_sql, u_sql
 from gaugeline.plans.views import LANG_EVAL, LANGS, lang_eval, with_recursive, with_views
 from gaugeline.sources.tables import stored, table
 
@@ -252,15 +253,32 @@ def lsa_embed(spark, d):
     return emb.select("doc_id", F.size("embedding").alias("k"), F.abs(F.col("embedding")[0]).alias("first"))
 
 
+def text_model(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y_true"))
+    rows = sp.hash_split(docs, "doc_id", 0.7, "split")
+    return rows, ln.TextClassifier(LANGS).fit(rows.where("split = 'train'"), "doc_id")
+
+
 @query()
 def tfidf_logreg(spark, d):
     """Linear text classifier fitted on the train split, scored on the rest."""
-    docs = table(spark, d, "documents").select("doc_id", "text", F.col("lang").alias("y_true"))
-    rows = sp.hash_split(docs, "doc_id", 0.7, "split")
-    model = ln.TextClassifier(LANGS).fit(rows.where("split = 'train'"), "doc_id")
+    rows, model = text_model(spark, d)
     return cl.per_class(cl.confusion(model.predict(rows.where("split = 'test'"))))
 
 
+@query(f"""
+WITH t AS (SELECT * FROM documents WHERE {u_sql("doc_id", "'split'")} < 0.7e0)
+SELECT c AS class, (SELECT count(*) FROM t) AS n, (SELECT count(*) FROM t WHERE lang = c) AS positives, true AS at_optimum
+FROM (VALUES ('de'), ('en'), ('es'), ('fr')) k(c)""")
+def tfidf_logreg_fit(spark, d):
+    """Per class: training rows, and whether the gradient of its loss is 0 up to the tolerance where the fit ended."""
+    rows, model = text_model(spark, d)
+    fits = spark.createDataFrame([(c, bool(g <= 1e-5)) for c, g in zip(model.classes, model.gradients)], "class string, at_optimum boolean")
+    counts = rows.where("split = 'train'").groupBy().agg(F.count("*").alias("n"), *[F.count_if(F.col("y_true") == c).alias(c) for c in LANGS])
+    positives = F.element_at(F.create_map(*[x for c in LANGS for x in (F.lit(c), F.col(c))]), F.col("class"))
+    return side_by_side(fits, counts).select("class", "n", positives.alias("positives"), "at_optimum")
+
+
 SHINGLES = """
 bt AS (SELECT item_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM benchmark),
 dt AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS t FROM documents),
