@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from gaugeline.llm import near_duplicates as nd
 
@@ -64,7 +65,22 @@ def test_ties_repeats_and_empty_table(spark):
     assert result(spark, []) == []
 
 
+def test_two_texts_of_one_id(spark):
+    """Rows are documents: brute force over row numbers, ids joined at the end."""
+    a, b = noisy_copies(3, 100, 1, 5), noisy_copies(3, 100, 1, 6)
+    rows = [(1, a[0]), (1, b[0]), (2, a[1]), (3, b[1]), (7, a[2]), (7, a[2]), (7, b[2]), (9, "left alone here by all others"), (9, ""), (9, None), (4, "x y z"), (4, "p q r")]
+    found = brute(list(enumerate(t for _, t in rows)))
+    least = {}
+    for n, _, c, _ in found:
+        least[c] = min(least.get(c, 10 ** 9), rows[n][0])
+    want = sorted((rows[n][0], size, least[c], rows[n][0] == least[c]) for n, size, c, _ in found)
+    assert result(spark, rows) == want
+    assert {(r[0], r[2]) for r in want} == {(1, 1), (2, 1), (3, 1), (7, 1), (9, 9), (4, 4)}
+
+
 def test_null_id(spark):
-    df = spark.createDataFrame([(None, "x y z", ""), (1, "q r s", "")], SCHEMA)
-    got = {r.doc_id: (r.n_shingles, r.kept) for r in nd.link_components(df).collect()}
-    assert got == {None: (1, True), 1: (1, True)}
+    df = spark.createDataFrame([(None, "x y z", ""), (1, "q r s", ""), (None, "Q R S", ""), (None, None, ""), (None, "u v", ""), (None, "U V", "")], SCHEMA)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in nd.link_components(df).collect()), key=str)
+    assert got == sorted([(None, 1, None, True)] * 3 + [(1, 1, 1, True), (None, 1, 1, False), (None, 0, None, True)], key=str)
+    named = nd.grouped(df.withColumn("group", F.col("text")), 80, keep=["sign"]).collect()
+    assert len({r["group"] for r in named}) == 4 and {r.sign for r in named} == {""}
