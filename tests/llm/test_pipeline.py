@@ -4,6 +4,7 @@ import random
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
@@ -77,6 +78,18 @@ def test_stages_against_brute_force(spark, fixture):
     assert sorted(map(str, STAGE["mix_sources"](spark, last, folder).collect())) == sorted(map(str, mx.mix(last).collect()))
 
 
+def test_near_duplicates_lose_no_text(spark):
+    rnd = random.Random(4)
+    a, b, c, d = (clean(rnd, 80) for _ in range(4))
+    rows = [(1, a, "x"), (1, b, "y"), (2, a + " more", "x"), (3, b, "x"), (None, c, "x"), (None, c, "x"), (None, c + " end", None), (None, d, "x"), (5, d, "x"),
+            (6, None, "x"), (6, "", "x"), (6, " \n", None), (None, None, None)]
+    docs = spark.createDataFrame([(i, t, None, s, None, 0, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long, kept int, __c int").withColumn("group", F.lit(1))
+    got = sorted(((r.doc_id, r.text, r.source) for r in STAGE["near_duplicates"](spark, docs, "").collect()), key=str)
+    of_c = [r for r in got if r[1] in (c, c + " end")]
+    assert len(of_c) == 1 and of_c[0][0] is None
+    assert sorted([r for r in got if r not in of_c], key=str) == sorted([(1, a, "x"), (1, b, "y"), (5, d, "x"), *rows[9:]], key=str)
+
+
 def test_run_is_the_stages_in_order(spark, fixture):
     folder, _, _ = fixture
     docs = spark.read.parquet(f"{folder}/documents.parquet")
