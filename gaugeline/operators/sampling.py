@@ -8,9 +8,10 @@ short (probability below 1e-15) raises an error instead of being returned.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeline.functions.frames import side_by_side, with_grid
+from gaugeline.functions.frames import with_grid
 from gaugeline.functions.hashing import hash_uniform, key_hash, uniform
 from gaugeline.operators.numbering import running_number
+from gaugeline.operators.ranks import rank_directory
 
 
 def hash_split(df: DataFrame, key: str, train_frac: float, salt) -> DataFrame:
@@ -125,28 +126,15 @@ def quota_sample(df: DataFrame, key: str, stratum: str, quotas: dict, salt) -> D
 
 
 def draw_replace(df: DataFrame, key: str, n: int, seeds, salt="replace") -> DataFrame:
-    """``n`` rows with replacement per seed, as (seed, copies) beside each row drawn.
+    """``n`` rows with replacement per seed, as (seed, copies) beside each key drawn.
 
-    Rows are numbered in the order of their hash, in two steps: 4096 hash ranges are counted, then a row is ranked
-    inside its range.  Draw j of a seed is the row at floor(u * N); only ranges that are hit are ranked.
+    Draw j of a seed is the row at rank floor(u * N) of the keys in hash order; the ranks are looked up in a directory, none is sorted.
     """
-    digest = key_hash(F.col(key), salt)
-    hashed = df.withColumn("__h", digest).withColumn("__cell", F.substring("__h", 1, 3))
-    cells = hashed.groupBy("__cell").agg(F.count("*").alias("__c"))
-    upto = F.sum("__c").over(Window.orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0))
-    cells = cells.select("__cell", (upto - F.col("__c")).alias("from"), upto.alias("to"))  # at most 4096 rows, one array
-    ranges = cells.agg(F.array_sort(F.collect_list(F.struct("from", "to", F.col("__cell").alias("cell")))).alias("__ranges"))
-    total = df.agg(F.count("*")).scalar()
+    ranks = rank_directory(df, key, salt)
     picks = with_grid(df.sparkSession.range(n).withColumnRenamed("id", "__j"), "seed", list(seeds))
-    at = F.floor(uniform(F.concat_ws(":", F.lit("pick"), "seed", "__j"), salt) * total)
-    picks = picks.groupBy("seed", at.alias("__at")).agg(F.count("*").cast("int").alias("copies"))
-    picks = side_by_side(picks, ranges)
-    hit = F.filter("__ranges", lambda r: (r["from"] <= F.col("__at")) & (F.col("__at") < r["to"]))
-    placed = picks.withColumn("__hit", F.get(hit, F.lit(0))).where("__hit IS NOT NULL")
-    wanted = placed.select("seed", "copies", F.col("__hit.cell").alias("__cell"), (F.col("__at") - F.col("__hit.from") + 1).alias("__rank"))
-    inside = hashed.join(wanted.select("__cell").distinct(), "__cell", "left_semi")
-    rank = F.row_number().over(Window.partitionBy("__cell").orderBy("__h", key))
-    return inside.withColumn("__rank", rank).join(wanted, ["__cell", "__rank"]).drop("__cell", "__rank", "__h")
+    at = F.floor(uniform(F.concat_ws(":", F.lit("pick"), "seed", "__j"), salt) * ranks.total)
+    picks = picks.groupBy("seed", at.alias("at")).agg(F.count("*").cast("int").alias("copies"))
+    return ranks.look_up(picks).groupBy("seed", key).agg(F.sum("copies").cast("int").alias("copies"))
 
 
 def _skews(df: DataFrame, label: str, skews):

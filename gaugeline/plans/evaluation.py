@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from gaugeline.functions.frames import unpivot, with_grid
-from gaugeline.operators import classify as cl, sampling as sp
+from gaugeline.operators import classify as cl, ranks as rk, sampling as sp
 from gaugeline.plans.registry import query, report_sql, u_sql
 from gaugeline.plans.views import (
     LANG_EVAL, LANGS, QUALITY_EVAL, lang_eval, lang_eval_frame, quality_eval, with_views)
@@ -148,7 +148,11 @@ SELECT metric, count(*) AS draws, round(avg(v), 6) AS mean, round(stddev_samp(v)
   round(min(v), 6) AS min, round(max(v), 6) AS max FROM val GROUP BY metric""")
 def resample_spread(spark, d):
     rows = drawn_docs(spark, d, 150, range(40))
-    counts = cl.confusion(rows, by=["seed"])
+    return spread_of(cl.confusion(rows, by=["seed"]))
+
+
+def spread_of(counts):
+    """Spread over the seeds of accuracy and recall per class."""
     right = F.col("y_true") == F.col("y_pred")
     hit = F.sum(F.when(right, F.col("n")).otherwise(0))
     # accuracy and per-class recall of every draw from one small grouping
@@ -237,6 +241,49 @@ def spread_by_n(spark, d):
         F.count("*").alias("draws"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std_error"))
 
 
+def ranked_draw_sql(n: int, seeds: int, total: str) -> str:
+    """Views nr (doc_id, pos) and picks (seed, place, pos): the draws by rank of ``draw_by_rank`` for any size of the table."""
+    u = "(('0x' || substr(md5('rank:' || {0}), 1, 13))::BIGINT / 4503599627370496e0)"
+    tried, order = u.format("seed::VARCHAR || ':' || j::VARCHAR"), u.format("'order:' || seed::VARCHAR || ':' || pos::VARCHAR")
+    return f"""
+nn AS (SELECT N, least({n}, N) AS n, CASE WHEN 2 * least({n}, N) <= N THEN least({n}, N) ELSE N - least({n}, N) END AS m FROM (SELECT count(*) AS N FROM {total})),
+nr AS (SELECT *, row_number() OVER (ORDER BY md5('place:' || doc_id::VARCHAR), doc_id) - 1 AS pos FROM {total}),
+ft AS (SELECT seed, floor({tried} * N)::BIGINT AS pos, min(j) AS j FROM nn, range({seeds}) s(seed), range({2 * n + 64}) k(j)
+  WHERE j < 2 * m + 64 GROUP BY ALL),
+dw AS (SELECT seed, pos, row_number() OVER (PARTITION BY seed ORDER BY j) AS place FROM ft),
+cm AS (SELECT seed, pos FROM nr, range({seeds}) s(seed) WHERE NOT EXISTS (
+  SELECT 1 FROM dw, nn WHERE dw.seed = s.seed AND dw.pos = nr.pos AND place <= m)),
+picks AS (SELECT seed, place, pos FROM dw, nn WHERE 2 * n <= N AND place <= m
+  UNION ALL SELECT seed, row_number() OVER (PARTITION BY seed ORDER BY {order}, pos), pos FROM cm, nn WHERE 2 * n > N)"""
+
+
+@query(with_views(LANG_EVAL, ranked_draw_sql(150, 40, "documents"), """
+pick AS (SELECT seed, y_true, y_pred FROM picks JOIN nr USING (pos) JOIN v_lang_eval USING (doc_id)),
+val AS (SELECT seed, 'accuracy' AS metric, avg(CASE WHEN y_true = y_pred THEN 1e0 ELSE 0e0 END) AS v FROM pick GROUP BY 1
+  UNION ALL SELECT seed, 'recall_' || y_true, avg(CASE WHEN y_true = y_pred THEN 1e0 ELSE 0e0 END) FROM pick GROUP BY seed, y_true)""") + """
+SELECT metric, count(*) AS draws, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std,
+  round(min(v), 6) AS min, round(max(v), 6) AS max FROM val GROUP BY metric""")
+def resample_spread_ranked(spark, d):
+    """As ``resample_spread``, from draws that look up their ranks in a directory written once for all seeds."""
+    ranks = rk.rank_directory(table(spark, d, "documents").select("doc_id"), "doc_id", "place")
+    draws = stored(rk.draw_by_rank(ranks, 150, range(40)), "draws")
+    return spread_of(cl.confusion(draws.join(lang_eval_of(spark, d, draws), "doc_id"), by=["seed"]))
+
+
+@query("WITH q AS (SELECT doc_id, quality FROM labels SEMI JOIN documents USING (doc_id))," + ranked_draw_sql(200, 40, "q") + """,
+m AS (SELECT k.n AS n, seed, avg(quality) AS v FROM picks JOIN nr USING (pos), (VALUES (20), (50), (200)) k(n) WHERE place <= k.n GROUP BY ALL)
+SELECT n, count(*) AS draws, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std_error FROM m GROUP BY n""")
+def spread_by_n_ranked(spark, d):
+    """Standard error of a mean against the sample size, from draws by rank."""
+    q = table(spark, d, "labels").select("doc_id", "quality")
+    q = q.join(table(spark, d, "documents").select("doc_id"), "doc_id", "left_semi")
+    draws = stored(rk.draw_by_rank(rk.rank_directory(q, "doc_id", "place"), 200, range(40)), "draws")
+    rows = with_grid(draws.join(q, "doc_id"), "n", [20, 50, 200]).where("place <= n")
+    means = rows.groupBy("n", "seed").agg(F.avg("quality").alias("v"))
+    return means.groupBy("n").agg(
+        F.count("*").alias("draws"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std_error"))
+
+
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 20 AS batch FROM documents")
 def batch_assign(spark, d):
     """Documents in running batches of 20."""

@@ -144,15 +144,17 @@ def scratch(spark, label: str) -> str:
     return os.path.join(base, "gaugeline", f"{label}-{uuid.uuid4().hex}")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write a result that several steps read, and continue from the files.
 
     It is computed once, lost executors cost nothing, and Spark plans the next
-    joins with its real size.
+    joins with its real size.  ``by`` makes one folder per value, which a filter
+    on that column prunes.
     """
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    out = df.sparkSession.read.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    # an empty table in folders leaves no file to take the schema from
+    out = df.sparkSession.read.schema(df.schema).parquet(path) if by else df.sparkSession.read.parquet(path)
     out.stored_at = path
     return out
 
