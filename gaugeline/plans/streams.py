@@ -46,6 +46,19 @@ def stream_first_alert(spark, d):
     return mo.first_alerts(weekly_means(spark, d, "alert"), F.col("mean") < 1.95).select("metric", _date("first_alert"))
 
 
+@query(with_views(SCORES, WINDOWS) + f"""
+SELECT metric, {_START.replace('(w ', '(min(w) ')} AS first_alert FROM wm WHERE closed AND mean < 1 + 95e-2 GROUP BY metric""")
+def stream_alert_state(spark, d):
+    """First alerts from keyed state: the windows that a catch-up run has closed are streamed on into one state per metric."""
+    out = scratch(spark, "alert-state")
+    means = weekly_means(spark, d, "closed").where("closed").select("window_start", "metric", "mean")
+    means.write.parquet(f"{out}/closed")
+    closed = spark.readStream.schema(means.schema).parquet(f"{out}/closed")
+    mo.run_alert_states(closed, F.col("mean") < 1.95, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    alerts = spark.read.schema("metric string, first_alert timestamp").parquet(f"{out}/data")
+    return alerts.select("metric", _date("first_alert"))
+
+
 @query(with_views(QUALITY_EVAL) + """
 SELECT y_true::VARCHAR AS y_true, pred_A::VARCHAR AS y_pred, count(*) AS n FROM v_quality_eval GROUP BY ALL""")
 def stream_confusion(spark, d):

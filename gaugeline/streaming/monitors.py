@@ -12,8 +12,10 @@ state with ``late``; ``dropped_rows`` tells how many rows came after their windo
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from gaugeline.sources.tables import exists
 
@@ -55,6 +57,50 @@ def first_alerts(closed: DataFrame, below: Column) -> DataFrame:
     return closed.where(F.col("closed") & below).groupBy("metric").agg(F.min("window_start").alias("first_alert"))
 
 
+class FirstAlert(StatefulProcessor):
+    """State of one metric: the window of its alert, once there is one."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.alert = handle.getValueState("alert", StructType([StructField("window_start", TimestampType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        firsts = [f for f in (part["window_start"].min() for part in rows) if not pd.isna(f)]
+        if firsts and not self.alert.exists():
+            first = min(firsts)
+            self.alert.update((first.to_pydatetime(),))
+            yield pd.DataFrame({"metric": [key[0]], "first_alert": [first]})
+
+    def close(self) -> None:
+        pass
+
+
+#: Setting and value that keep the state of custom operators in RocksDB, which spills to disk and is saved in the checkpoint folder.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
+def alert_states(closed: DataFrame, below: Column) -> DataFrame:
+    """A stream of alerts: one row per metric, in the batch that brings its first closed window below the line.
+
+    ``closed`` streams closed windows (metric, window_start, ...) of a metric in order of time, as a watermarked mean does; inside a
+    batch any order will do.  The state is one value per metric that has alerted, so the windows are never read again.
+    """
+    hits = closed.where(below).select("metric", "window_start")
+    return hits.groupBy("metric").transformWithStateInPandas(
+        FirstAlert(), StructType([closed.schema["metric"], StructField("first_alert", TimestampType())]), "Append", "None")
+
+
+def run_alert_states(closed: DataFrame, below: Column, out: str, checkpoint: str, trigger=None):
+    """``alert_states`` into exactly-once files; a restart goes on from the state and alerts for no metric twice."""
+    name, store = STATE_STORE
+    before = closed.sparkSession.conf.get(name)
+    closed.sparkSession.conf.set(name, store)
+    try:  # a query keeps the settings that it started with
+        return run_to_files(alert_states(closed, below), out, checkpoint, trigger)
+    finally:
+        closed.sparkSession.conf.set(name, before)
+
+
 def running_confusion(labels: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
     """Confusion counts as labels arrive, joined to a static prediction table; store that table first if it is costly."""
     joined = labels.join(predictions, key, "left")

@@ -112,7 +112,7 @@ def shuffled_table(spark, folder, monkeypatch):
     return folder
 
 
-@pytest.mark.parametrize("name", ["stream_drift", "stream_first_alert", "stream_confusion", "stream_dedup"])
+@pytest.mark.parametrize("name", ["stream_drift", "stream_first_alert", "stream_alert_state", "stream_confusion", "stream_dedup"])
 def test_unordered_files_of_a_table_folder_equal_the_batch(spark, shuffled_table, name):
     import check
 
@@ -144,3 +144,28 @@ def test_late_rows_of_a_live_run_are_counted_and_kept(spark, folder):
         mo.run_quarantine(stream, dt.timedelta(days=1), f"{folder}/q", f"{folder}/ckq").awaitTermination()
     assert mo.dropped_rows(query) == 1
     assert [r.id for r in spark.read.parquet(f"{folder}/q/late").collect()] == [4]
+
+
+def test_alert_state_alerts_once_over_restarts_and_equals_the_batch(spark, folder):
+    day = lambda d: dt.datetime(2024, 1, d)
+    runs = [
+        [("a", day(2), 1.0), ("a", day(1), 3.0), ("b", day(1), 3.0), ("hot", day(1), 1.5), ("hot", day(2), 1.0)],
+        [("a", day(3), 0.5), ("b", day(2), 3.0), ("c", day(1), 2.0), (None, day(3), 1.0)],
+        [("b", day(4), 1.0), ("b", day(3), 1.9), ("c", day(2), 2.0), ("a", day(9), 1.0), (None, day(5), 1.0)],
+        [("b", day(5), 0.0), ("hot", day(6), 0.0)],
+    ]
+    every, alerts_by_run = [], []
+    for i, rows in enumerate(runs):  # a new query on the same checkpoint is a restart
+        every += rows
+        spark.createDataFrame(rows, "metric string, window_start timestamp, mean double").coalesce(1).write.parquet(f"{folder}/in{i}")
+        closed = spark.readStream.schema("metric string, window_start timestamp, mean double").parquet(f"{folder}/in[0-{i}]")
+        mo.run_alert_states(closed, F.col("mean") < 2, f"{folder}/out", f"{folder}/ck").awaitTermination()
+        out = spark.read.schema("metric string, first_alert timestamp").parquet(f"{folder}/out").collect()
+        alerts_by_run.append(len(out))
+    first = {}
+    for metric, at, mean in every:
+        if mean < 2:
+            first[metric] = min(first.get(metric, at), at)
+    assert {r.metric: r.first_alert for r in out} == first and len(out) == len(first) == 4
+    assert alerts_by_run == [2, 3, 4, 4]
+    assert "RocksDB" not in spark.conf.get(mo.STATE_STORE[0])
