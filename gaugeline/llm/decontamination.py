@@ -8,7 +8,9 @@ into code points of the original text.
 
 The items are the stated query set.  They are read in blocks of at most ``BLOCK_BYTES`` of text (or one
 longer item), one automaton a block of about 3 million nodes, so no automaton grows with the table.
-A usual benchmark is one block; a worker keeps the last four automata and builds others anew for a batch.
+A usual benchmark is one block.  More blocks go over a chunk of texts one after the other; a worker keeps the last four automata.
+At most ``PASS_BYTES`` of items are with the driver and the workers at a time: beyond that the texts are written with what
+was found so far and read again with the next items.
 """
 
 import hashlib
@@ -17,12 +19,17 @@ import pickle
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm import words as W
 from gaugeline.llm.workers import importable
+from gaugeline.sources.tables import discard, stored
 
 BLOCK_BYTES = 256 << 10
+PASS_BYTES = 64 << 20
+#: Texts that one automaton scans before the next block's takes its place.
+CHUNK_BYTES = 32 << 20
 KEPT = bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100))
 #: Byte by byte: what stays in a word, lower-cased; all else is a blank.
 NORMAL = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in KEPT else 0x20 for c in range(256))
@@ -59,80 +66,121 @@ def _automaton(key: str, packed: bytes, size: int):
     return _automata[key]
 
 
-def _found(text: bytes, blocks, size: int):
-    """(number of words, hits as (first word, words, items)) of one text."""
-    words = normal_words(text)
-    if not words:
-        return 0, []
-    line = " " + b" ".join(words).decode("latin-1") + " "
-    hits = []
-    for key, packed in blocks:
-        automaton = _automaton(key, packed.value, size)
-        if automaton is not None:
-            hits += [(end - width + 1, n, items) for end, (n, width, items) in automaton.iter(line)]
+def _line(words: list[bytes]) -> str:
+    return " " + b" ".join(words).decode("latin-1") + " "
+
+
+def _mark(line: str, automaton, covered: np.ndarray, items: set) -> None:
+    """Mark the words of ``line`` inside a match and add the items that the matches belong to."""
+    hits = [(end - width + 1, n, owners) for end, (n, width, owners) in automaton.iter(line)]
     if hits:
         blanks = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == 0x20)
-        hits = [(int(np.searchsorted(blanks, start)), n, items) for start, n, items in hits]
-    return len(words), hits
+        for first, (_, n, owners) in zip(np.searchsorted(blanks, [h[0] for h in hits]).tolist(), hits):
+            covered[first:first + n] = True
+            items |= owners
+
 
+def _runs(covered: np.ndarray):
+    """(first word, word after the last) of each run of covered words."""
+    edge = np.diff(covered.astype(np.int8), prepend=0, append=0)
+    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
-def _offsets(text: bytes, covered: np.ndarray) -> list[dict]:
-    """Code-point spans of the runs of covered words."""
+
+def _chunks(texts: pa.Array):
+    """(start, rows) of runs of texts with at most ``CHUNK_BYTES`` together, or of one longer text."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > CHUNK_BYTES:
+            yield start, i - start
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
+def _offsets(text: bytes, runs) -> list[dict]:
+    """Code-point spans of runs of words."""
     starts, ends = W.spans(np.frombuffer(text.translate(NORMAL), np.uint8) != 0x20, np.array([0, len(text)]))
     point = np.concatenate([[0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)])
-    edge = np.diff(covered.astype(np.int8), prepend=0, append=0)
-    return [{"start": int(point[starts[a]]), "end": int(point[ends[b - 1]])}
-            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
+    return [{"start": int(point[starts[a]]), "end": int(point[ends[b - 1]])} for a, b in runs]
+
 
+RUNS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-def _scanner(blocks, size: int):
-    none = hashlib.sha256(b"").hexdigest()
 
+def _scanner(blocks, size: int, last: bool):
+    """Scan (__text, __runs, __items, kept columns) with the automata of ``blocks``, adding to the runs and items found before.
+
+    The last pass gives the results in place of text and runs.
+    """
     def scan(batches):
         for batch in batches:
-            for at in range(0, len(batch), 512):
-                part = batch.slice(at, 512)
-                out = []
-                for text in part.column("text").cast(pa.binary()).to_pylist():
-                    n, hits = _found(text or b"", blocks, size)
-                    if not hits:
-                        out.append((n, 0, [], none, []))
-                        continue
-                    covered = np.zeros(n, bool)
-                    for first, k, _ in hits:
-                        covered[first:first + k] = True
-                    items = sorted(set().union(*(i for _, _, i in hits)))
-                    digest = hashlib.sha256(",".join(items).encode()).hexdigest()
-                    out.append((n, int(covered.sum()), items, digest, _offsets(text, covered)))
-                cols = list(zip(*out))
+            for at, rows in _chunks(batch.column("__text").cast(pa.binary())):
+                part = batch.slice(at, rows)
+                texts = [t or b"" for t in part.column("__text").cast(pa.binary()).to_pylist()]
+                lines, covered, items = [], [], []
+                for text, runs, before in zip(texts, part.column("__runs").to_pylist(), part.column("__items").to_pylist()):
+                    words = normal_words(text)
+                    lines.append(_line(words) if words else "")
+                    covered.append(np.zeros(len(words), bool))
+                    for r in runs:
+                        covered[-1][r["a"]:r["b"]] = True
+                    items.append(set(before))
+                for key, packed in blocks:  # outside the texts: one automaton at a time
+                    automaton = _automaton(key, packed.value, size)
+                    if automaton is not None:
+                        for line, c, found in zip(lines, covered, items):
+                            if line:
+                                _mark(line, automaton, c, found)
+                runs = [_runs(c) for c in covered]
+                listed = [sorted(found) for found in items]
+                kept, names = part.columns[3:], part.schema.names[3:]
+                if not last:
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("__text"), pa.array([[{"a": a, "b": b} for a, b in r] for r in runs], RUNS),
+                        pa.array(listed, pa.list_(pa.string())), *kept], names=["__text", "__runs", "__items", *names])
+                    continue
                 yield pa.RecordBatch.from_arrays([
-                    *part.columns[1:], pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.string())),
-                    pa.array(cols[3]), pa.array(cols[4], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                ], names=[*part.schema.names[1:], "n_words", "n_hit", "items", "items_sha256", "spans"])
+                    *kept, pa.array([len(c) for c in covered], pa.int64()), pa.array([int(c.sum()) for c in covered], pa.int64()),
+                    pa.array(listed, pa.list_(pa.string())), pa.array([hashlib.sha256(",".join(i).encode()).hexdigest() for i in listed]),
+                    pa.array([_offsets(t, r) if r else [] for t, r in zip(texts, runs)], SPANS),
+                ], names=[*names, "n_words", "n_hit", "items", "items_sha256", "spans"])
 
     return scan
 
 
 def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text"):
-    """Broadcast blocks of (item_id as string, UTF-8 text), filled as the rows come in; items without id or text have no window."""
-    spark = items.sparkSession
-    blocks, now, size = [], [], 0
-
-    def close():
-        packed = pickle.dumps(sorted(now))
-        blocks.append((hashlib.sha256(packed).hexdigest(), spark.sparkContext.broadcast(packed)))
-
+    """Blocks of (item_id as string, UTF-8 text) as (digest, bytes), filled as the rows come in; items without id or text have no window."""
+    now, size = [], 0
     rows = items.select(F.col(item_id).cast("string"), F.col(text).cast("string")).dropna()
     for i, t in rows.toLocalIterator():
         raw = t.encode()
         if now and size + len(raw) > BLOCK_BYTES:
-            close()
+            yield _packed(now)
             now, size = [], 0
         now.append((i, raw))
         size += len(raw)
     if now:
-        close()
-    return blocks
+        yield _packed(now)
+
+
+def _packed(block):
+    packed = pickle.dumps(sorted(block))
+    return hashlib.sha256(packed).hexdigest(), packed
+
+
+def _passes(blocks):
+    """Lists of blocks with at most ``PASS_BYTES`` together, or of one larger block, each with whether it is the last; one list at least."""
+    now, size = [], 0
+    for key, packed in blocks:
+        if now and size + len(packed) > PASS_BYTES:
+            yield now, False
+            now, size = [], 0
+        now.append((key, packed))
+        size += len(packed)
+    yield now, True
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, size: int = 10, keep=("doc_id",)) -> DataFrame:
@@ -142,13 +190,26 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 10, keep=(
     sorted as strings, of the items with an occurring window; ``spans`` the runs of hit words as code points
     of the original text, end exclusive.  A null or wordless text has no words and no hit.  Items with the same
     windows all count, a repeated item_id counts once.  Rows keep their order of columns; repeated rows are
-    each judged; an empty table on either side gives no hit.  A kept column may not carry the name of a result.
+    each judged; an empty table on either side gives no hit.  A kept column may not carry the name of a result, nor ``__text``, ``__runs`` or ``__items``.
     """
-    blocks = item_blocks(items)
     own = [F.col(c) for c in keep]
-    df = importable(docs).select(F.col("text").cast("string").alias("text"), *own)
-    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes[1:])
-    out = df.mapInArrow(_scanner(blocks, size), f"{fields}, n_words long, n_hit long, items array<string>, items_sha256 string, "
-                        "spans array<struct<start: long, end: long>>")
+    df = importable(docs).select(F.col("text").cast("string").alias("__text"),
+                                 F.expr("cast(array() AS array<struct<a: long, b: long>>)").alias("__runs"),
+                                 F.expr("cast(array() AS array<string>)").alias("__items"), *own)
+    fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes[3:])
+    state = "__text string, __runs array<struct<a: long, b: long>>, __items array<string>" + (f", {fields}" if fields else "")
+    result = "n_words long, n_hit long, items array<string>, items_sha256 string, spans array<struct<start: long, end: long>>"
+    context, before = docs.sparkSession.sparkContext, None
+    for blocks, last in _passes(item_blocks(items)):
+        sent = [(key, context.broadcast(packed)) for key, packed in blocks]
+        if last:
+            out = df.mapInArrow(_scanner(sent, size, True), f"{fields}, {result}" if fields else result)
+            break
+        df = stored(df.mapInArrow(_scanner(sent, size, False), state), "scanned")
+        for _, packed in sent:
+            packed.destroy()
+        if before is not None:
+            discard(before)
+        before = df
     return out.select(*keep, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "items_sha256", "spans",
                       (F.col("n_hit") > 0).alias("contaminated"))

@@ -362,8 +362,9 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     sizes = wanted.agg(F.sum(F.size("wanted")).alias("all"), F.max(F.array_max(F.transform("wanted", lambda w: w["n"]))).alias("most")).first()
     blocks = 1 + (sizes["all"] or 0) // PER_BLOCK
     asked = texts.select("key", "rep", F.xxhash64("key").alias("id")).join(wanted, "id").select("key", "rep", "wanted")
-    around = base.join(asked, "key").select("doc_id", "rep", "key", "text", "wanted").mapInArrow(
-        _contexts(length), "key binary, gram long, hot boolean, at long, lo long, hi long, around binary")
+    # which copies count as settled follows from what a task has seen, so it is decided once and written
+    around = stored(base.join(asked, "key").select("doc_id", "rep", "key", "text", "wanted").mapInArrow(
+        _contexts(length), "key binary, gram long, hot boolean, at long, lo long, hi long, around binary"), "contexts")
     # settled rows carry no bytes and may go to any block
     block = F.pmod(F.when(F.col("around").isNull(), F.xxhash64("key")).otherwise(F.col("gram")), F.lit(blocks))
     every = around.where("NOT hot").withColumn("block", block).groupBy("block").applyInArrow(_sorter(length), "key binary, a long, b long")

@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from gaugeline.llm import secrets as sec
 from gaugeline.llm.decontamination import find_contamination, normal_words
 from gaugeline.sources.tables import table
@@ -61,6 +63,51 @@ def test_contamination_blocks_and_offsets(spark, documents, monkeypatch):
         assert "Ä: The QUICK brown,fox é"[7:22] == "QUICK brown,fox"
 
 
+def test_more_items_than_a_pass_holds(spark, documents, monkeypatch):
+    from gaugeline.llm import decontamination as dc
+
+    rnd = random.Random(4)
+    text = lambda n: " ".join(f"w{rnd.randrange(25)}" for _ in range(n))
+    items = [(i, text(rnd.randrange(1, 14))) for i in range(9)] + [(3, "w1 w2")]
+    docs = [(i, text(rnd.randrange(60))) for i in range(30)] + [(3, text(20)), (None, "w1 w2"), (40, None), (41, "")]
+    df = documents([(d, t, "s") for d, t in docs]).withColumn("runs", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(dc, "BLOCK_BYTES", 1)
+    keep = ("doc_id", "text", "runs")
+    whole = sorted(map(str, find_contamination(df, bench, keep=keep).collect()))
+    monkeypatch.setattr(dc, "PASS_BYTES", 200)
+    assert sum(1 for _ in dc._passes(dc.item_blocks(bench))) > 2
+    got = find_contamination(df, bench, keep=keep)
+    assert sorted(map(str, got.collect())) == whole
+    rows = got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()
+    assert sorted((tuple(r) for r in rows), key=str) == brute_hits(docs, items)
+
+
+def test_six_blocks_build_six_automata_a_chunk(monkeypatch):
+    import types
+
+    import pyarrow as pa
+    from gaugeline.llm import decontamination as dc
+
+    built = []
+    monkeypatch.setattr(dc, "_automata", {})
+    monkeypatch.setattr(dc, "windows", lambda words, size: built.append(words) or [b" ".join(words)])
+    blocks = [(str(i), types.SimpleNamespace(value=dc._packed([(str(i), b"w%d x" % i)])[1])) for i in range(6)]
+    n = 50
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([f"a w{i % 7} x b" for i in range(n)]), pa.array([[]] * n, dc.RUNS), pa.array([[]] * n, pa.list_(pa.string())),
+        pa.array(range(n))], names=["__text", "__runs", "__items", "doc_id"])
+    out = pa.Table.from_batches(list(dc._scanner(blocks, 10, True)(iter([batch]))))
+    assert len(built) == 6
+    assert out["n_hit"].to_pylist() == [2 if i % 7 < 6 else 0 for i in range(n)]
+    assert out["items"].to_pylist() == [[str(i % 7)] if i % 7 < 6 else [] for i in range(n)]
+    built.clear()
+    monkeypatch.setattr(dc, "_automata", {})
+    monkeypatch.setattr(dc, "CHUNK_BYTES", 100)  # chunks of ten texts, four automata kept
+    again = pa.Table.from_batches(list(dc._scanner(blocks, 10, True)(iter([batch]))))
+    assert again == out and len(built) > 6
+
+
 def test_normal_words_keep_all_non_ascii_bytes():
     assert normal_words("a b\u0085c d_E\x1f9".encode()) == ["a".encode(), "b\u0085c d".encode(), b"e", b"9"]
 
