@@ -111,15 +111,15 @@ SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _scanner(blocks, size: int, last: bool):
-    """Scan (__text, __runs, __items, kept columns) with the automata of ``blocks``, adding to the runs and items found before.
+    """Scan (__scan, __runs, __items, kept columns) with the automata of ``blocks``, adding to the runs and items found before.
 
     The last pass gives the results in place of text and runs.
     """
     def scan(batches):
         for batch in batches:
-            for at, rows in _chunks(batch.column("__text").cast(pa.binary())):
+            for at, rows in _chunks(batch.column("__scan").cast(pa.binary())):
                 part = batch.slice(at, rows)
-                texts = [t or b"" for t in part.column("__text").cast(pa.binary()).to_pylist()]
+                texts = [t or b"" for t in part.column("__scan").cast(pa.binary()).to_pylist()]
                 lines, covered, items = [], [], []
                 for text, runs, before in zip(texts, part.column("__runs").to_pylist(), part.column("__items").to_pylist()):
                     words = normal_words(text)
@@ -139,8 +139,8 @@ def _scanner(blocks, size: int, last: bool):
                 kept, names = part.columns[3:], part.schema.names[3:]
                 if not last:
                     yield pa.RecordBatch.from_arrays([
-                        part.column("__text"), pa.array([[{"a": a, "b": b} for a, b in r] for r in runs], RUNS),
-                        pa.array(listed, pa.list_(pa.string())), *kept], names=["__text", "__runs", "__items", *names])
+                        part.column("__scan"), pa.array([[{"a": a, "b": b} for a, b in r] for r in runs], RUNS),
+                        pa.array(listed, pa.list_(pa.string())), *kept], names=["__scan", "__runs", "__items", *names])
                     continue
                 yield pa.RecordBatch.from_arrays([
                     *kept, pa.array([len(c) for c in covered], pa.int64()), pa.array([int(c.sum()) for c in covered], pa.int64()),
@@ -190,14 +190,14 @@ def find_contamination(docs: DataFrame, items: DataFrame, size: int = 10, keep=(
     sorted as strings, of the items with an occurring window; ``spans`` the runs of hit words as code points
     of the original text, end exclusive.  A null or wordless text has no words and no hit.  Items with the same
     windows all count, a repeated item_id counts once.  Rows keep their order of columns; repeated rows are
-    each judged; an empty table on either side gives no hit.  A kept column may not carry the name of a result, nor ``__text``, ``__runs`` or ``__items``.
+    each judged; an empty table on either side gives no hit.  A kept column may not carry the name of a result, nor ``__scan``, ``__runs`` or ``__items``.
     """
     own = [F.col(c) for c in keep]
-    df = importable(docs).select(F.col("text").cast("string").alias("__text"),
+    df = importable(docs).select(F.col("text").cast("string").alias("__scan"),
                                  F.expr("cast(array() AS array<struct<a: long, b: long>>)").alias("__runs"),
                                  F.expr("cast(array() AS array<string>)").alias("__items"), *own)
     fields = ", ".join(f"`{n}` {t}" for n, t in df.dtypes[3:])
-    state = "__text string, __runs array<struct<a: long, b: long>>, __items array<string>" + (f", {fields}" if fields else "")
+    state = "__scan string, __runs array<struct<a: long, b: long>>, __items array<string>" + (f", {fields}" if fields else "")
     result = "n_words long, n_hit long, items array<string>, items_sha256 string, spans array<struct<start: long, end: long>>"
     context, before = docs.sparkSession.sparkContext, None
     for blocks, last in _passes(item_blocks(items)):

@@ -70,10 +70,10 @@ def test_more_items_than_a_pass_holds(spark, documents, monkeypatch):
     text = lambda n: " ".join(f"w{rnd.randrange(25)}" for _ in range(n))
     items = [(i, text(rnd.randrange(1, 14))) for i in range(9)] + [(3, "w1 w2")]
     docs = [(i, text(rnd.randrange(60))) for i in range(30)] + [(3, text(20)), (None, "w1 w2"), (40, None), (41, "")]
-    df = documents([(d, t, "s") for d, t in docs]).withColumn("runs", F.lit(1))
+    df = documents([(d, t, "s") for d, t in docs]).withColumns({"runs": F.lit(1), "__text": F.col("text")})
     bench = spark.createDataFrame(items, "item_id long, text string")
     monkeypatch.setattr(dc, "BLOCK_BYTES", 1)
-    keep = ("doc_id", "text", "runs")
+    keep = ("doc_id", "text", "runs", "__text")
     whole = sorted(map(str, find_contamination(df, bench, keep=keep).collect()))
     monkeypatch.setattr(dc, "PASS_BYTES", 200)
     assert sum(1 for _ in dc._passes(dc.item_blocks(bench))) > 2
@@ -96,7 +96,7 @@ def test_six_blocks_build_six_automata_a_chunk(monkeypatch):
     n = 50
     batch = pa.RecordBatch.from_arrays([
         pa.array([f"a w{i % 7} x b" for i in range(n)]), pa.array([[]] * n, dc.RUNS), pa.array([[]] * n, pa.list_(pa.string())),
-        pa.array(range(n))], names=["__text", "__runs", "__items", "doc_id"])
+        pa.array(range(n))], names=["__scan", "__runs", "__items", "doc_id"])
     out = pa.Table.from_batches(list(dc._scanner(blocks, 10, True)(iter([batch]))))
     assert len(built) == 6
     assert out["n_hit"].to_pylist() == [2 if i % 7 < 6 else 0 for i in range(n)]
