@@ -246,15 +246,16 @@ def ranked_draw_sql(n: int, seeds: int, total: str) -> str:
     u = "(('0x' || substr(md5('rank:' || {0}), 1, 13))::BIGINT / 4503599627370496e0)"
     tried, order = u.format("seed::VARCHAR || ':' || j::VARCHAR"), u.format("'order:' || seed::VARCHAR || ':' || pos::VARCHAR")
     return f"""
-nn AS (SELECT N, least({n}, N) AS n, CASE WHEN 2 * least({n}, N) <= N THEN least({n}, N) ELSE N - least({n}, N) END AS m FROM (SELECT count(*) AS N FROM {total})),
+nn AS (SELECT total, least({n}, total) AS size, CASE WHEN 2 * least({n}, total) <= total THEN least({n}, total) ELSE total - least({n}, total) END AS m
+  FROM (SELECT count(*) AS total FROM {total})),
 nr AS (SELECT *, row_number() OVER (ORDER BY md5('place:' || doc_id::VARCHAR), doc_id) - 1 AS pos FROM {total}),
-ft AS (SELECT seed, floor({tried} * N)::BIGINT AS pos, min(j) AS j FROM nn, range({seeds}) s(seed), range({2 * n + 64}) k(j)
+ft AS (SELECT seed, floor({tried} * total)::BIGINT AS pos, min(j) AS j FROM nn, range({seeds}) s(seed), range({2 * n + 64}) k(j)
   WHERE j < 2 * m + 64 GROUP BY ALL),
 dw AS (SELECT seed, pos, row_number() OVER (PARTITION BY seed ORDER BY j) AS place FROM ft),
 cm AS (SELECT seed, pos FROM nr, range({seeds}) s(seed) WHERE NOT EXISTS (
   SELECT 1 FROM dw, nn WHERE dw.seed = s.seed AND dw.pos = nr.pos AND place <= m)),
-picks AS (SELECT seed, place, pos FROM dw, nn WHERE 2 * n <= N AND place <= m
-  UNION ALL SELECT seed, row_number() OVER (PARTITION BY seed ORDER BY {order}, pos), pos FROM cm, nn WHERE 2 * n > N)"""
+picks AS (SELECT seed, place, pos FROM dw, nn WHERE 2 * size <= total AND place <= m
+  UNION ALL SELECT seed, row_number() OVER (PARTITION BY seed ORDER BY {order}, pos), pos FROM cm, nn WHERE 2 * size > total)"""
 
 
 @query(with_views(LANG_EVAL, ranked_draw_sql(150, 40, "documents"), """
