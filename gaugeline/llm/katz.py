@@ -489,12 +489,9 @@ def _row_sums(shared):
 
 
 def _pair_rows(shared, parts):
-    """Rows (part, chunk, texts, sizes, before, after) of all pairs but the frequent ones, text by text.
-
-    A chunk are the texts of a few million pairs in a task; it is named after its texts, so a task that runs again names it alike.
-    """
+    """Rows (part, texts, sizes, before, after) of all pairs but the frequent ones, text by text, a few million pairs of a task at a time."""
     def rows(pairs, owners, keys):
-        return _chunk(shared.value, parts, *(np.concatenate(x) for x in (pairs, owners, keys)))
+        return _dealt(shared.value, parts, *(np.concatenate(x) for x in (pairs, owners, keys)))
 
     def run(batches):
         model, pairs, owners, keys, texts, size = shared.value, [], [], [], 0, 0
@@ -516,10 +513,9 @@ def _pair_rows(shared, parts):
     return run
 
 
-def _chunk(model, parts, pair, owner, key) -> pa.RecordBatch:
-    """The rows of one chunk: pairs and the place of their text among the keys."""
-    names = ["part", "chunk", "texts", "sizes", "before", "after"]
-    chunk = int(W.mix(np.array([W.mix(key.view(np.uint64)).sum()], np.uint64)).view(np.int64)[0])
+def _dealt(model, parts, pair, owner, key) -> pa.RecordBatch:
+    """One row a part, from pairs and the place of their text among the keys."""
+    names = ["part", "texts", "sizes", "before", "after"]
     part = model.part(pair, parts)
     order = np.lexsort((owner, part))
     cut = np.flatnonzero(np.diff(part[order], prepend=-1, append=-1))
@@ -527,9 +523,9 @@ def _chunk(model, parts, pair, owner, key) -> pa.RecordBatch:
     for a, b in zip(cut[:-1], cut[1:]):
         own = order[a:b]
         text, size = np.unique(owner[own], return_counts=True)
-        out.append((int(part[own[0]]), chunk, key[text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
+        out.append((int(part[own[0]]), key[text].tobytes(), _pack(size), *_pack_pairs(pair[own])))
     cols = list(zip(*out)) or [()] * len(names)
-    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[2:]]], names=names)
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=names)
 
 
 def _direct(model, pair, min_count):
@@ -553,7 +549,7 @@ def _far_scores(shared, min_count):
     return run
 
 
-def _far_chunks(shared, parts, min_count):
+def _far_pair_rows(shared, parts, min_count):
     """Rows as of ``_pair_rows`` from the other numbered pairs."""
     def run(batches):
         held, size = [], 0
@@ -561,7 +557,7 @@ def _far_chunks(shared, parts, min_count):
         def rows():
             pair, row = (np.concatenate(x) for x in zip(*held))
             key, owner = np.unique(row, return_inverse=True)
-            return _chunk(shared.value, parts, pair, owner, key)
+            return _dealt(shared.value, parts, pair, owner, key)
 
         for batch in batches:
             pair = _pair_of(batch)
@@ -578,8 +574,11 @@ def _far_chunks(shared, parts, min_count):
     return run
 
 
-def _part_scores(shared):
-    """A part's pairs against its block of the bigram table: one row for each chunk, with the sums of its texts."""
+def _part_scores(shared, parts):
+    """A part's pairs against its block of the bigram table: rows (bucket, texts, sums).
+
+    A text's bucket comes from its key alone, so all its sums meet in one bucket, whatever tasks its pairs went through.
+    """
     def run(rows: pa.Table, table: pa.Table) -> pa.Table:
         model = shared.value
         names, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -588,19 +587,30 @@ def _part_scores(shared):
                 pass
         far = names >> np.uint64(32) >= len(model.count)
         h, *sums = _by_history(model, names[far], counts[far], model.pair_factor)
-        rest, sums = (h, *_weights(*sums)), []
+        rest, keys, sums = (h, *_weights(*sums)), [np.zeros(0, np.int64)], [np.zeros(0)]
         for b in rows.to_batches():
-            for s, x, y in zip(*(b.column(c).to_pylist() for c in ("sizes", "before", "after"))):
+            for t, s, x, y in zip(*(b.column(c).to_pylist() for c in ("texts", "sizes", "before", "after"))):
                 pair, size = _unpack_pairs(x, y), _unpack(s).astype(np.int64)
                 value = log_probability(model, pair, _lookup(names, counts, pair), rest)
-                sums.append(np.add.reduceat(value, np.cumsum(size) - size).tobytes())
-        return pa.table({"chunk": rows.column("chunk"), "texts": rows.column("texts"), "sums": pa.array(sums, pa.binary())})
+                keys.append(np.frombuffer(t, np.int64))
+                sums.append(np.add.reduceat(value, np.cumsum(size) - size))
+        return _in_buckets(np.concatenate(keys), np.concatenate(sums), parts)
 
     return run
 
 
+def _in_buckets(key, value, buckets) -> pa.Table:
+    """One row a bucket that has texts; the keys and sums of its texts lie side by side."""
+    bucket = (W.mix(key.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-2))  # the last is the end, also where there is no text
+    ends = pa.py_buffer((cut * 8).astype(np.int32))
+    blobs = [pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, ends, pa.py_buffer(x[order])]) for x in (key, value)]
+    return pa.table({"bucket": pa.array(bucket[order][cut[:-1]]), "texts": blobs[0], "sums": blobs[1]})
+
+
 def _text_scores(table: pa.Table) -> pa.Table:
-    """Sums by text over all parts of a chunk."""
+    """Sums by text over all parts: one row a text of the bucket."""
     texts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(t, np.int64) for t in table.column("texts").to_pylist())])
     sums = np.concatenate([np.zeros(0), *(np.frombuffer(x) for x in table.column("sums").to_pylist())])
     names, turn = np.unique(texts, return_inverse=True)
@@ -624,13 +634,13 @@ def score(docs: DataFrame, model: Katz) -> DataFrame:
     found = rare.join(known, "word", "left").select("row", "n", F.coalesce("c", F.lit(0)).alias("c"))
     of_rare = found.groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("n_known"), F.sum(F.col("n") * own.base_of(c)).alias("base"),
                                        F.sum(F.when(c < model.min_count, F.col("n") * own.member_of(c)).otherwise(0.0)).alias("score"))
-    pairs = base.select("text", "row").mapInArrow(_pair_rows(shared, model.parts), "part int, chunk long, texts binary, sizes binary, before binary, after binary")
+    pairs = base.select("text", "row").mapInArrow(_pair_rows(shared, model.parts), "part int, texts binary, sizes binary, before binary, after binary")
     if own.wide:
         far = base.select("text", "row").mapInArrow(_far_rows(shared, True), "row long, before long, after long, n long")
         far = stored(_numbered(far, model.numbers, len(own.count)), "far")
-        pairs = pairs.unionByName(far.mapInArrow(_far_chunks(shared, model.parts, model.min_count), pairs.schema))
-    of_parts = pairs.groupBy("part").cogroup(model.bigrams.groupBy("part")).applyInArrow(_part_scores(shared), "chunk long, texts binary, sums binary")
-    of_pairs = of_parts.groupBy("chunk").applyInArrow(_text_scores, "row long, score double")
+        pairs = pairs.unionByName(far.mapInArrow(_far_pair_rows(shared, model.parts, model.min_count), pairs.schema))
+    of_parts = pairs.groupBy("part").cogroup(model.bigrams.groupBy("part")).applyInArrow(_part_scores(shared, model.parts), "bucket int, texts binary, sums binary")
+    of_pairs = of_parts.groupBy("bucket").applyInArrow(_text_scores, "row long, score double")
     none = [F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("base")]
     summed = of_rare.select("row", "n_known", "base", "score").unionByName(of_pairs.select("row", *none, "score"))
     if own.wide:

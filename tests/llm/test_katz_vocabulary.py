@@ -68,3 +68,31 @@ def test_words_that_occur_once(spark, documents, monkeypatch, cached, per_part):
     rows = rows_of(100)
     assert np.allclose([x for _, x in sorted((str(g[0]), round(g[6], 6)) for g in scores(spark, documents, rows, min_count=1))],
                        [x for _, x in plain_all_words(rows)], rtol=0, atol=2e-6)
+
+
+@pytest.mark.parametrize("cached", [0, 12])
+def test_one_sum_a_text_whatever_tasks_hold_its_pairs(spark, documents, monkeypatch, cached):
+    """The joins by word spread a text's pairs over all tasks; their sums still leave the grouped step as one row a text."""
+    monkeypatch.setattr(katz, "CACHED", cached)
+    monkeypatch.setattr(katz, "FREQUENT", 20)
+    made, inner = spark.sparkContext.accumulator(0), katz._text_scores
+
+    def counted(table):
+        out = inner(table)
+        made.add(out.num_rows)
+        return out
+
+    monkeypatch.setattr(katz, "_text_scores", counted)
+    rows = [(i, t) for i, t in rows_of(100) if i is not None and i < 900]
+    docs = documents([(d, t, "s") for d, t in rows])
+    katz.score_documents(docs).collect()
+    assert 0 < made.value <= len(rows)
+
+
+def test_buckets_hold_every_sum_once():
+    key, value = np.array([7, -3, 7, 11, 1 << 60], np.int64), np.array([1.0, 2.0, 4.0, 8.0, 16.0])
+    got = [katz._in_buckets(key, value, b) for b in (1, 2, 50)]
+    for t in got:
+        pairs = [(k, v) for a, b in zip(t["texts"].to_pylist(), t["sums"].to_pylist()) for k, v in zip(np.frombuffer(a, np.int64), np.frombuffer(b))]
+        assert sorted(pairs) == sorted(zip(key, value)) and len(set(t["bucket"].to_pylist())) == t.num_rows
+    assert katz._in_buckets(key[:0], value[:0], 4).num_rows == 0
