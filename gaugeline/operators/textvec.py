@@ -8,22 +8,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeline.functions.frames import pinned
 from gaugeline.functions.text import masked_tokens, ngrams_upto
+from gaugeline.sources.tables import stored
 
 
-def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_max: int = 1) -> DataFrame:
-    """(key, term, tf) per row of ``docs``; terms are 1..n_max-grams, the key is unique.
+def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_max: int = 1, keep=()) -> DataFrame:
+    """(key, term, tf) per row of ``docs``; terms are 1..n_max-grams, the key is unique.  The columns ``keep`` go with the key.
 
     The sorted terms of a row fall into runs of equal ones; a run's length is the count.
     """
-    rows = pinned(docs.select(key, text), {"__t": tokens(F.col(text))}).select(key, "__t")
+    rows = pinned(docs.select(key, *keep, text), {"__t": tokens(F.col(text))}).select(key, *keep, "__t")
     terms = F.col("__t") if n_max == 1 else ngrams_upto(F.col("__t"), n_max)
-    rows = pinned(rows, {"__s": F.sort_array(terms)}).select(key, "__s").where(F.size("__s") > 0)
+    rows = pinned(rows, {"__s": F.sort_array(terms)}).select(key, *keep, "__s").where(F.size("__s") > 0)
     at = F.sequence(F.lit(0), F.size("__s") - 1)
     starts = F.filter(at, lambda i: (i == 0) | (F.get("__s", i) != F.get("__s", i - 1)))
     rows = pinned(rows, {"__i": starts})
     runs = F.transform("__i", lambda i, j: F.struct(
         F.get("__s", i).alias("term"), (F.coalesce(F.get("__i", j + 1), F.size("__s")) - i).cast("long").alias("tf")))
-    return rows.select(key, F.inline(runs))
+    return rows.select(key, *keep, F.inline(runs))
 
 
 def document_frequency(counts: DataFrame) -> DataFrame:
@@ -66,25 +67,32 @@ def top_terms(weights: DataFrame, key: str, k: int) -> DataFrame:
                       (-F.col("t.neg") / F.col("norm")).alias("weight"))
 
 
-def log_odds_model(counts: DataFrame, labels: DataFrame, key: str, label: str, classes, vocab: DataFrame):
-    """A linear model table: per term one coefficient column per class.
+def log_odds_model(counts: DataFrame, docs: DataFrame, key: str, label: str, classes, min_df: int = 2):
+    """A linear model table: per term that ``min_df`` documents share its idf and one coefficient column per class.
 
-    Coefficients are smoothed log odds of a term inside against outside the
-    class; intercepts are log class shares.
+    Coefficients are smoothed log odds of a term inside against outside the class; intercepts are log class shares.
+    ``counts`` are the terms of ``docs`` with their label, so document frequency and class counts come from one
+    aggregation and no count is moved to meet its label.  Rows of one key share their labels; only such keys are looked up.
+    Rows without a key count for the idf alone.
     """
     size = F.struct(F.count("*").alias("all"), *[F.count_if(F.col(label) == c).alias(c) for c in classes])
-    total = labels.agg(size).scalar()  # one subquery for all class sizes
+    total = docs.agg(size).scalar()  # one subquery for all class sizes
     n_all, sizes = total["all"], {c: total[c] for c in classes}
-    rows = counts.join(vocab.select("term"), "term").join(labels, key)
+    owners = docs.where(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count("*").alias("__n"), *[F.count_if(F.col(label) == c).alias(f"__n_{c}") for c in classes])
+    rows = counts.join(stored(owners.where("__n > 1"), "owners"), key, "left")
+    has = F.col(key).isNotNull()
     seen = rows.groupBy("term").agg(
-        F.count("*").alias("df"), *[F.count_if(F.col(label) == c).alias(f"df_{c}") for c in classes])
+        F.count("*").alias("df"), F.sum(F.when(has, F.coalesce("__n", F.lit(1))).otherwise(0)).alias("__df"),
+        *[F.sum(F.when(has, F.coalesce(f"__n_{c}", F.when(F.col(label) == c, 1).otherwise(0))).otherwise(0)).alias(f"df_{c}") for c in classes])
     coefs = []
     for c in classes:
         inside = F.ln((F.col(f"df_{c}") + 1.0) / (sizes[c] + 2.0))
-        outside = F.ln((F.col("df") - F.col(f"df_{c}") + 1.0) / (n_all - sizes[c] + 2.0))
+        outside = F.ln((F.col("__df") - F.col(f"df_{c}") + 1.0) / (n_all - sizes[c] + 2.0))
         coefs.append((inside - outside).alias(f"coef_{c}"))
     intercepts = {c: F.ln(sizes[c] / n_all) for c in classes}
-    return seen.select("term", *coefs), intercepts
+    model = with_idf(seen.where((F.col("df") >= min_df) & (F.col("__df") > 0)), n_all)
+    return model.select("term", "idf", *coefs), intercepts
 
 
 def read_linear_model(spark: SparkSession, path: str):
@@ -111,7 +119,24 @@ def linear_scores(weights: DataFrame, model: DataFrame, intercepts: dict, key: s
     """
     hits = weights.join(model, "term").groupBy(key).agg(
         *[F.sum(F.col("weight") * F.col(f"coef_{c}")).alias(f"dot_{c}") for c in classes])
-    rows = items.join(hits, key, "left")
+    return _best_class(items.join(hits, key, "left"), intercepts, classes)
+
+
+def linear_scores_of_counts(counts: DataFrame, model: DataFrame, intercepts: dict, key: str, classes,
+                            items: DataFrame) -> DataFrame:
+    """``linear_scores`` of normalised tf * idf, for a model that has every term of the vocabulary and its idf.
+
+    Length and dot products are added up together, so counts move once to their term and the products once to their item.
+    """
+    w = F.col("tf") * F.col("idf")
+    found = counts.where(F.col(key).isNotNull()).select(key, "term", "tf").join(model, "term").select(
+        key, (w * w).alias("__sq"), *[(w * F.col(f"coef_{c}")).alias(f"dot_{c}") for c in classes])
+    sums = found.groupBy(key).agg(F.sqrt(F.sum("__sq")).alias("__norm"), *[F.sum(f"dot_{c}").alias(f"dot_{c}") for c in classes])
+    hits = sums.select(key, *[(F.col(f"dot_{c}") / F.col("__norm")).alias(f"dot_{c}") for c in classes])
+    return _best_class(items.join(hits, key, "left"), intercepts, classes)
+
+
+def _best_class(rows: DataFrame, intercepts: dict, classes) -> DataFrame:
     scores = {c: F.coalesce(F.col(f"dot_{c}"), F.lit(0.0)) + intercepts[c] for c in classes}
     rows = rows.withColumns({f"score_{c}": s for c, s in scores.items()})
     rows = rows.drop(*[f"dot_{c}" for c in classes])

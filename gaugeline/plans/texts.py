@@ -97,12 +97,11 @@ _PICK = "CASE " + " ".join(f"WHEN s_{c} = {_BEST} THEN '{c}'" for c in LANGS) +
 @query(with_views(DOC_TF, vocab_sql(None, N_DOCS), MODEL) + f"SELECT lang AS y_true, {_PICK} AS y_pred, count(*) AS n FROM sc GROUP BY ALL")
 def linear_score(spark, d):
     """Batch scoring with a stored linear model: log odds of all terms that two documents share."""
-    docs = table(spark, d, "documents").select("doc_id", "lang")
-    counts = stored(doc_counts(spark, d), "counts")  # read for the vocabulary, the model and the weights
-    idf = doc_idf(spark, d, counts, None)
-    model, intercepts = tv.log_odds_model(counts, docs, "doc_id", "lang", LANGS, idf)
-    weights = tv.normalised(tv.raw_weights(counts, idf, "doc_id"), "doc_id")
-    scored = tv.linear_scores(weights, model, intercepts, "doc_id", LANGS, docs)
+    docs = table(spark, d, "documents")
+    counts = stored(tv.term_counts(docs, "doc_id", "text", keep=["lang"]), "counts")  # read for the model and for the scores
+    docs = docs.select("doc_id", "lang")
+    model, intercepts = tv.log_odds_model(counts, docs, "doc_id", "lang", LANGS)
+    scored = tv.linear_scores_of_counts(counts, model, intercepts, "doc_id", LANGS, docs)
     return cl.confusion(scored, "lang", "y_pred")
 
 
