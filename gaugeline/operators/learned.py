@@ -5,18 +5,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import PCA, CountVectorizerModel, ElementwiseProduct, Normalizer
+import pyarrow.compute  # noqa: F401
+from pyspark import StorageLevel
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.functions import unwrap_udt
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from gaugeline.functions.text import ngrams_upto, word_tokens
-from gaugeline.operators.textvec import document_frequency, term_counts, vocabulary, with_idf
-from gaugeline.sources.tables import stored
+from gaugeline.functions.text import word_tokens
+from gaugeline.operators.textvec import ARROW_ROWS, gram_finder, term_statistics, vocabulary, with_idf
+from gaugeline.sources.tables import discard, stored
 
 
 def tfidf_vectors(train: DataFrame, key: str, text: str, max_features=20000, n_max=2, min_df=2, tokens=word_tokens, order="total"):
@@ -26,22 +28,42 @@ def tfidf_vectors(train: DataFrame, key: str, text: str, max_features=20000, n_m
     frequency, ``order="df"``); that capped list is all that reaches the driver.
     """
     n = train.agg(F.count("*")).scalar()
-    stats = document_frequency(term_counts(train, key, text, tokens, n_max))
+    stats = term_statistics(train, text, tokens, n_max)
     vocab = with_idf(vocabulary(stats, max_features, min_df, order=order), n)
     terms = vocab.select("term", "idf").collect()
-    cv = CountVectorizerModel.from_vocabulary([t["term"] for t in terms], "__terms", "__tf")
-    scale = ElementwiseProduct(scalingVec=Vectors.dense([t["idf"] for t in terms]), inputCol="__tf", outputCol="__w")
-    unit = Normalizer(inputCol="__w", outputCol="features", p=2.0)
+    sent = train.sparkSession.sparkContext.broadcast(([t["term"] for t in terms], np.array([t["idf"] for t in terms])))
+    vector = F.arrow_udf(_weigher(sent, gram_finder(n_max), ARROW_ROWS, np, pa), VectorUDT())
 
     def features(df):
-        words = df.withColumn("__t", tokens(F.col(text)))
-        grams = words.withColumn("__terms", ngrams_upto(F.col("__t"), n_max) if n_max > 1 else F.col("__t"))
-        return unit.transform(scale.transform(cv.transform(grams))).drop("__t", "__terms", "__tf", "__w")
+        return df.withColumn("features", vector(tokens(F.col(text))))
 
     features.size = len(terms)
     return features
 
 
+def _weigher(sent, grams, rows: int, array, arrow):
+    """Token lists to sparse vectors of length 1, as Spark stores them; without known terms a vector is empty."""
+    def part(tokens):
+        vocab, idf = sent.value
+        size = max(len(vocab), 1)
+        terms, row, term = grams(tokens)
+        place = arrow.compute.index_in(terms, value_set=arrow.array(vocab, arrow.string()))
+        place = place.fill_null(-1).to_numpy(zero_copy_only=False)[term]
+        key, tf = array.unique((row * size + place)[place >= 0], return_counts=True)
+        row, place = array.divmod(key, size)
+        weight = tf * idf[place]
+        norm = array.sqrt(array.bincount(row, weight * weight, minlength=len(tokens)))
+        ends = arrow.array(array.searchsorted(row, array.arange(len(tokens) + 1)).astype("<i4"))
+        kind, length = arrow.array(array.zeros(len(tokens), "i1")), arrow.array(array.full(len(tokens), len(vocab), "<i4"))
+        lists = (arrow.ListArray.from_arrays(ends, arrow.array(x)) for x in (place.astype("<i4"), weight / norm[row]))
+        return arrow.StructArray.from_arrays([kind, length, *lists], names=["type", "size", "indices", "values"])
+
+    def weigh(tokens: arrow.Array) -> arrow.Array:
+        return arrow.concat_arrays([part(tokens.slice(at, rows)) for at in range(0, max(len(tokens), 1), rows)])
+
+    return weigh
+
+
 def _packer(rows: int, array, arrow):
     """Rows (label index, ids, vals) as blocks of at most ``rows`` rows in four arrays."""
     def pack(batches):
@@ -63,14 +85,14 @@ def _passer(sent, weight_of, size: int, array):
         loss, grad = {c: 0.0 for c in points}, {c: array.zeros(size + 1) for c in points}
         for y, n, ids, vals in blocks:
             y, n, ids, vals = (array.frombuffer(x, t) for x, t in ((y, "<i4"), (n, "<i4"), (ids, "<i4"), (vals, "<f8")))
-            row = array.repeat(array.arange(len(n)), n)
+            row, ids = array.repeat(array.arange(len(n)), n), ids.astype(array.intp)
             for c, w in points.items():
-                margin = array.bincount(row, vals * w[ids], minlength=len(n)) + w[size]
+                margin = array.bincount(row, vals * w.take(ids), minlength=len(n)) + w[size]
                 sign = array.where(y == c, 1.0, -1.0)
                 share = array.where(y == c, *weight_of[c])
                 loss[c] += float((share * array.logaddexp(0, -sign * margin)).sum())
                 pull = -share * sign / (1 + array.exp(array.clip(sign * margin, -500, 500)))
-                grad[c][:size] += array.bincount(ids, vals * pull[row], minlength=size)[:size]
+                grad[c][:size] += array.bincount(ids, vals * pull.take(row), minlength=size)[:size]
                 grad[c][size] += pull.sum()
         yield loss, grad
 
@@ -136,7 +158,9 @@ class TextClassifier:
             index = F.when(F.col(label) == c, i).otherwise(index)
         rows = sparse_parts(self.features(train).withColumn("y", index), "y", "features")
         size = self.features.size
-        blocks = stored(rows.where("y IS NOT NULL").mapInArrow(_packer(4096, np, pa), "y binary, n binary, ids binary, vals binary"), "blocks")
+        files = stored(rows.where("y IS NOT NULL").mapInArrow(_packer(256, np, pa), "y binary, n binary, ids binary, vals binary"), "blocks")
+        # every pass reads them as Python wants them, instead of decoding and pickling the files again
+        blocks = files.rdd.map(tuple).persist(StorageLevel.MEMORY_AND_DISK)
         counts = {r[0]: r[1] for r in train.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
         n = sum(counts.values())
         weight_of = {i: (n / (2.0 * max(counts.get(c, 0), 1)), n / (2.0 * max(n - counts.get(c, 0), 1))) for i, c in enumerate(self.classes)}
@@ -148,7 +172,7 @@ class TextClassifier:
             if self.passes >= self.max_iter:
                 raise RuntimeError(f"the fit has not converged after {self.max_iter} passes")
             sent = sc.broadcast({i: fits[i].trial for i in open_})
-            loss, grad = blocks.rdd.mapPartitions(_passer(sent, weight_of, size, np)).treeReduce(_added, 2)
+            loss, grad = blocks.mapPartitions(_passer(sent, weight_of, size, np)).treeReduce(_added, 2)
             self.passes += 1
             for i in list(open_):
                 w = fits[i].trial.copy()
@@ -157,6 +181,8 @@ class TextClassifier:
                 if np.abs(fits[i].slope).max() <= self.tol:
                     open_.remove(i)
             sent.unpersist()
+        blocks.unpersist()
+        discard(files)
         self.weights = np.array([f.at[:size] for f in fits.values()])
         self.intercepts = np.array([f.at[size] for f in fits.values()])
         self.gradients = np.array([np.abs(f.slope).max() if f.slope is not None else 0.0 for f in fits.values()])

@@ -4,12 +4,18 @@ Sparse vectors are rows (key, term, weight).  Terms are counted inside the row o
 their document, so raw text is never shuffled; only counts and weights are.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeline.functions.frames import pinned
 from gaugeline.functions.text import masked_tokens, ngrams_upto
 from gaugeline.sources.tables import stored
 
+#: Fixed value: texts counted at a time inside a task, few enough for the tables of their grams to stay in the processor's cache.
+ARROW_ROWS = 500
+
 
 def term_counts(docs: DataFrame, key: str, text: str, tokens=masked_tokens, n_max: int = 1, keep=()) -> DataFrame:
     """(key, term, tf) per row of ``docs``; terms are 1..n_max-grams, the key is unique.  The columns ``keep`` go with the key.
@@ -31,6 +37,54 @@ def document_frequency(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("total"))
 
 
+def gram_finder(n_max: int):
+    """A function of a batch of token lists: its distinct 1..n_max-grams, and for every occurrence its row and its number among them.
+
+    Words and then pairs of (gram so far, next word) are numbered by Arrow's hash tables, so text is joined once per distinct gram.
+    It is made here so that it travels to the tasks whole.
+    """
+    def grams(tokens):
+        words = tokens.flatten().dictionary_encode()
+        row = np.repeat(np.arange(len(tokens)), pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False))
+        word = words.indices.to_numpy().astype(np.int64)
+        words = words.dictionary
+        at, gram, texts = np.arange(len(word)), word, words
+        all_texts, rows, ids, known = [texts], [row], [word], len(texts)
+        for n in range(2, n_max + 1):
+            has = at + n - 1 < len(word)
+            at, gram = at[has], gram[has]
+            has = row[at] == row[at + n - 1]
+            at, gram = at[has], gram[has]
+            pairs = pa.array(gram * max(len(words), 1) + word[at + n - 1]).dictionary_encode()
+            head, last = np.divmod(pairs.dictionary.to_numpy(), max(len(words), 1))
+            texts = pc.binary_join_element_wise(texts.take(pa.array(head)), words.take(pa.array(last)), " ")
+            gram = pairs.indices.to_numpy().astype(np.int64)
+            all_texts.append(texts)
+            rows.append(row[at])
+            ids.append(gram + known)
+            known += len(texts)
+        same = pa.concat_arrays(all_texts).dictionary_encode()  # a token that holds a blank may equal a pair
+        return same.dictionary, np.concatenate(rows), same.indices.to_numpy().astype(np.int64)[np.concatenate(ids)]
+
+    return grams
+
+
+def term_statistics(docs: DataFrame, text: str, tokens=masked_tokens, n_max: int = 1) -> DataFrame:
+    """``document_frequency`` of the ``term_counts`` of ``docs``: terms are counted in Arrow batches, so a shuffled row is a term of a task and not of a document."""
+    grams = gram_finder(n_max)
+
+    def count(batches):
+        for batch in batches:
+            for at in range(0, len(batch), ARROW_ROWS):
+                terms, row, term = grams(batch.column(0).slice(at, ARROW_ROWS))
+                held = pc.unique(pa.array(row * max(len(terms), 1) + term)).to_numpy() % max(len(terms), 1)
+                df, total = (pa.array(np.bincount(x, minlength=len(terms))) for x in (held, term))
+                yield pa.RecordBatch.from_arrays([terms, df, total], names=["term", "df", "total"])
+
+    seen = docs.select(tokens(F.col(text)).alias("t")).mapInArrow(count, "term string, df long, total long")
+    return seen.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
+
+
 def vocabulary(df_table: DataFrame, size: int | None = 3000, min_df: int = 2, order="df") -> DataFrame:
     """Most frequent terms, ties by term; at most ``size`` rows, all terms with None."""
     known = df_table.where(F.col("df") >= min_df)

@@ -1,14 +1,19 @@
 """Fitted models against numpy: the semantic space, the classifier's optimum, the map."""
 
+import glob
 import math
+import os
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
 from gaugeline.functions import text as tx
 from gaugeline.operators import learned as ln
+from gaugeline.operators import textvec as tv
+from gaugeline.sources import tables
 
 TEXTS = ["the cat sat on the mat", "the dog sat on the log", "cats and dogs", "a quick brown fox", "the quick dog", "brown cat brown dog", "", "zebra"]
 
@@ -108,3 +113,42 @@ def test_absent_class_and_unlabelled_rows(spark):
     model = ln.TextClassifier(["x", "y", "z"], n_max=1, min_df=1).fit(df, "id")
     assert {r.id: r.y_pred for r in model.predict(df).collect() if r.id < 3} == {1: "x", 2: "y"}
     assert model.gradients.max() <= model.tol
+
+
+def test_term_statistics_are_the_counts_of_terms(spark, monkeypatch):
+    """Rows are counted in parts of a batch; copies, null and empty texts and tokens with a blank count as in ``term_counts``."""
+    texts = [*TEXTS, *TEXTS[:3], None, "the the the cat the cat", "été Straße 東京 été"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, body string").coalesce(2)
+    blanks = lambda c: F.split(F.regexp_replace(c, "the ", "the cat,cat,the,"), "[, ]")
+    pairs = lambda c: F.split(F.regexp_replace(c, "cat ", "the cat,"), ",")
+    for rows, tokens, n in ((1, tx.word_tokens, 2), (3, tx.masked_tokens, 1), (3, blanks, 2), (500, pairs, 3)):
+        monkeypatch.setattr(tv, "ARROW_ROWS", rows)
+        got = {r.term: (r.df, r.total) for r in tv.term_statistics(docs, "body", tokens, n).collect()}
+        want = tv.document_frequency(tv.term_counts(docs, "id", "body", tokens, n))
+        assert got == {r.term: (r.df, r.total) for r in want.collect()}
+
+
+def test_vectors_of_texts_without_known_terms_are_empty(spark):
+    docs = spark.createDataFrame([(1, "cat dog cat"), (2, "cat dog"), (3, None), (4, ""), (5, "zebra")], "id int, body string")
+    fit = ln.tfidf_vectors(docs, "id", "body")
+    got = {r.id: r.features for r in fit(docs.repartition(3)).collect()}
+    assert fit.size == 3 and [got[i].numNonzeros() for i in (3, 4, 5)] == [0, 0, 0]
+    assert {v.size for v in got.values()} == {3} and [got[i].norm(2) for i in (1, 2)] == pytest.approx([1, 1])
+    assert got[1].numNonzeros() == 3
+
+
+def test_fit_leaves_no_blocks_behind(spark):
+    """Passes read blocks that are kept as Python reads them, until the fit has ended."""
+    df = spark.createDataFrame([(i, TEXTS[i % 6], "xy"[i % 2]) for i in range(600)], "id int, text string, y_true string").coalesce(1)
+    read, packed = [], ln._packer
+    def packer(rows, array, arrow):
+        read.append(rows)
+        return packed(rows, array, arrow)
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    kept = set(glob.glob(os.path.join(os.path.dirname(tables.scratch(spark, "x")), "blocks-*")))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(ln, "_packer", packer)
+        model = ln.TextClassifier(["x", "y"], n_max=1).fit(df, "id")
+    assert model.gradients.max() <= model.tol and max(read) <= 256
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() == before
+    assert set(glob.glob(os.path.join(os.path.dirname(tables.scratch(spark, "x")), "blocks-*"))) <= kept
